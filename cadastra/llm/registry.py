@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name: module that has it.
 MODULES = {
     "op1_bpe_trie": "bpe",
+    "op4_language_by_compression": "langid",
+    "op6_toxicity_ngrams": "toxicity",
+    "op10_quality_by_compression": "quality",
 }
 
 
