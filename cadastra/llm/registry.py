@@ -7,9 +7,12 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadastra.llm.common import importable
+
 #: Query name: module that has it.
 MODULES = {
     "op1_bpe_trie": "bpe",
+    "op2_warc_index": "warc",
     "op4_language_by_compression": "langid",
     "op6_toxicity_ngrams": "toxicity",
     "op10_quality_by_compression": "quality",
@@ -18,6 +21,7 @@ MODULES = {
 
 def _query(module: str, function: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
         return getattr(import_module(f"cadastra.llm.{module}"), function)(spark, sf_dir)
 
     return run
