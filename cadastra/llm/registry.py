@@ -15,6 +15,7 @@ MODULES = {
     "op2_warc_index": "warc",
     "op4_language_by_compression": "langid",
     "op6_toxicity_ngrams": "toxicity",
+    "op7_multiset_hash": "multiset",
     "op10_quality_by_compression": "quality",
 }
 
