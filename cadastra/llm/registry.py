@@ -13,6 +13,7 @@ from cadastra.llm.common import importable
 MODULES = {
     "op1_bpe_trie": "bpe",
     "op2_warc_index": "warc",
+    "op3_minhash_forest": "forest",
     "op4_language_by_compression": "langid",
     "op6_toxicity_ngrams": "toxicity",
     "op7_multiset_hash": "multiset",
