@@ -17,6 +17,7 @@ MODULES = {
     "op4_language_by_compression": "langid",
     "op6_toxicity_ngrams": "toxicity",
     "op7_multiset_hash": "multiset",
+    "op8_pii_bootstrap": "pii",
     "op9_spaced_seeds": "decontaminate",
     "op10_quality_by_compression": "quality",
 }
