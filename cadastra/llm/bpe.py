@@ -23,6 +23,7 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cadastra.llm.common import table
 
@@ -202,11 +203,11 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
         yield part
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = False, texts: bool = False) -> DataFrame:
     """Encode and decode every whole text.
 
     Returns the columns of `keep` with n_tokens, ids_sha256 and decoded_sha256;
-    with `ids` also token_ids (array of int) and decoded (string).  A null text
+    with `ids` also token_ids (array of int), with `texts` decoded (string).  A null text
     counts as empty (no tokens); rows are independent, so repeated rows give
     repeated results, and other columns of `docs` are left out.  No shuffle.
     """
@@ -215,7 +216,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")):
         schema = schema.add(name, kind)
     if ids:
-        schema = schema.add("token_ids", "array<int>").add("decoded", "string")
+        schema = schema.add("token_ids", T.ArrayType(T.IntegerType()))
+    if texts:
+        schema = schema.add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
@@ -232,8 +235,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                 ]
                 names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if ids:
-                    columns += [pa.array([memoryview(p).cast("I").tolist() for p in packed], pa.list_(pa.int32())), pa.array([d.decode() for d in decoded], pa.string())]
-                    names += ["token_ids", "decoded"]
+                    columns.append(pa.array([memoryview(p).cast("I").tolist() for p in packed], pa.list_(pa.int32())))
+                    names.append("token_ids")
+                if texts:
+                    columns.append(pa.array([d.decode() for d in decoded], pa.string()))
+                    names.append("decoded")
                 done += len(part)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
