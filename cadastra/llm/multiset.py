@@ -25,6 +25,8 @@ from cadastra.llm.common import shared_dir, stored, table
 
 PIECE_CHARS, WIDE, SIGN_HASHES, FIELD_BITS, FIELDS = 256, 6, 2, 20, 3
 PIECE = rf"[^.!?\n]{{1,{PIECE_CHARS}}}[.!?\n]*|[.!?\n]+"
+#: Stands for a null key: the least, so that it comes last in descending order.
+NO_KEY = -(1 << 63)
 LANE_BITS = FIELD_BITS * FIELDS
 ALL, FIELD = (1 << LANE_BITS) - 1, (1 << FIELD_BITS) - 1
 SPREAD = sum(1 << (FIELD_BITS * k) for k in range(FIELDS))
@@ -105,24 +107,24 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return with_vector(docs, text, "fp_vector").withColumn("fingerprint", text_form(F.col("fp_vector")))
 
 
-def before(docs: DataFrame, key: str, path: str) -> DataFrame:
-    """For each distinct (key, h) of docs: the one before it in descending order of both, nulls last; before the first: the last.
+def before(docs: DataFrame, path: str) -> DataFrame:
+    """For each distinct (k, h) of docs: the one before it in descending order of both; before the first: the last.
 
     Only keys are moved.  They are cut into ranges, stored, and numbered in
     each range; the borders between ranges are one row for each range.
     """
-    order = [F.col(key).desc_nulls_last(), F.col("h").desc()]
-    keys = docs.groupBy(key, "h").agg(F.max("n_chars").alias("n"))
+    order = [F.col("k").desc(), F.col("h").desc()]
+    keys = docs.groupBy("k", "h").agg(F.max("n_chars").alias("n"))
     ids = stored(keys.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), path)
-    me = F.struct(F.col(key).alias("id"), "h", "n")
+    me = F.struct("k", "h", "n")
     w = Window.partitionBy("range").orderBy(*order)
-    numbered = ids.select(key, "h", "range", me.alias("me"), F.lag(me).over(w).alias("prev"), F.lead(F.lit(True)).over(w).isNull().alias("last"))
+    numbered = ids.select("k", "h", "range", me.alias("me"), F.lag(me).over(w).alias("prev"), F.lead(F.lit(True)).over(w).isNull().alias("last"))
     ends = numbered.where("last").select("range", "me")
     by = Window.orderBy("range")
     end = F.coalesce(F.lag("me").over(by), F.last("me").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     joined = numbered.join(ends.select("range", end.alias("end")), "range")
     prev = F.coalesce("prev", "end")
-    return joined.select(F.col(key).alias("k"), F.col("h").alias("kh"), prev["id"].alias("prev_id"), prev["h"].alias("prev_h"), prev["n"].alias("prev_n"))
+    return joined.select("k", "h", prev["k"].alias("prev_k"), prev["h"].alias("prev_h"), prev["n"].alias("prev_n"))
 
 
 def compare_with_edited(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -133,26 +135,24 @@ def compare_with_edited(docs: DataFrame, path: str, key: str = "doc_id", text: s
     document's next is the first.  A null text is empty; null keys come last;
     rows that share a key are ordered by a hash of their text, and rows equal
     in both count as one document, each of them returned.  An empty table
-    gives no rows.
+    gives no rows.  Texts are shuffled once, and half of each once more.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.col(key), body.alias("text"), F.xxhash64(body).alias("h"), F.length(body).cast("long").alias("n_chars"))
-    links = before(base, key, path)
+    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.xxhash64(body).alias("h"), body.alias("text"))
+    links = before(base.select("k", "h", F.length("text").cast("long").alias("n_chars")), path)
+    # both joins read the same columns of `own`, so that Spark shuffles it once
     own = with_vector(base, "text", "v")
-    after = (
-        own.join(links, own[key].eqNullSafe(links.k) & (own.h == links.kh))
-        .select("prev_id", "prev_h", F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("lent"), F.col("v").alias("next_v"))
-        .groupBy("prev_id", "prev_h")
-        .agg(F.min(F.struct("lent", "next_v")).alias("next"))
-    )
-    both = own.join(after, own[key].eqNullSafe(after.prev_id) & (own.h == after.prev_h))
-    kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
-    edited = both.select(key, "n_chars", "v", F.col("next.next_v").alias("next_v"), F.concat(kept, F.col("next.lent")).alias("edited"))
+    lent = F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int"))
+    after = own.join(links, ["k", "h"]).select(F.col("prev_k").alias("k"), F.col("prev_h").alias("h"), F.struct(lent.alias("lent"), F.col("v").alias("v")).alias("next"))
+    after = after.groupBy("k", "h").agg(F.min("next").alias("next"))
+    n = F.length("text")
+    kept = F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
+    edited = own.join(after, ["k", "h"]).select("k", n.cast("long").alias("n_chars"), "v", F.col("next.v").alias("next_v"), F.concat(kept, F.col("next.lent")).alias("edited"))
     hashed = with_vector(edited, "edited", "edited_v")
-    signs = hashed.select(key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "v", "next_v", "edited_v", signed(F.col("v")).alias("s"), signed(F.col("next_v")).alias("next_s"), signed(F.col("edited_v")).alias("edited_s"))
+    signs = hashed.select("k", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "v", "next_v", "edited_v", signed(F.col("v")).alias("s"), signed(F.col("next_v")).alias("next_s"), signed(F.col("edited_v")).alias("edited_s"))
     c = F.col
     return signs.select(
-        c(key),
+        F.nullif(c("k"), F.lit(NO_KEY)).alias(key),
         "n_chars",
         "edited_sha256",
         text_form(c("v")).alias("fingerprint"),
