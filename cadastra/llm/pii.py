@@ -9,7 +9,8 @@ occurs with.  What good patterns precede is trusted in the next round, and all
 mentions of instances trusted at the end are added to the base spans.
 
 Only DataFrame functions are used.  Texts are read twice (to find mentions,
-and to count how often the patterns occur) and never moved.
+and to count how often the patterns occur) and never moved.  A text with b base
+spans and c identifier-like strings takes b * c comparisons.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ IP = r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-#: Identifier-like: a string between white space that has a digit or an at sign.
-LIKE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Identifier-like: a string between white space, of five characters at least, that has two digits or at signs.
+LIKE = r"(?<!\S)(?=\S{5})[^\s0-9@]*+[0-9@][^\s0-9@]*+[0-9@]\S*+"
 EDGE = r"""["'()\[\]{}<>,.;:!?=]"""
 #: Characters of a discovered identifier; letters and digits it has at least; characters before a mention that hold its pattern.
 LEAST_CHARS, LEAST_DIGITS, CONTEXT = 5, 2, 80
@@ -37,25 +38,43 @@ SUPPORT, TRUST, ROUNDS = 3, 0.5, 3
 MOST_PATTERNS = 1_000_000
 
 
-def _found(text: Column, pattern: str) -> tuple[Column, Column]:
-    """Matches of a pattern and what lies before, between and after them."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _placed(matches: Column, pieces: Column) -> Column:
-    """Matches with places: array of (start, end, value, before); code points, end exclusive."""
-    empty = "array<struct<start:long,end:long,value:string,before:string>>"
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+def _placed(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    """Turns __m_x (matches) and __p_x (what lies before, between and after them) into __x: array of (start, end, value, before).
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["p"])
-        end = start + F.length(x["m"])
-        before = F.concat(acc["last"], x["p"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"), F.right(before, F.lit(CONTEXT)).alias("before"))
-        return F.struct(end.alias("at"), x["m"].alias("last"), F.array_append(acc["out"], one).alias("out"))
+    Places are code points, end exclusive.  Running totals come in two steps, of
+    runs of about sqrt(n) matches and within a run, so that a text with very
+    many matches takes n sqrt(n) steps and not n squared.
+    """
+    c = F.col
+
+    def run(x: str) -> Column:
+        return F.ceil(F.sqrt(F.size(f"__m_{x}") + 1)).cast("int")
+
+    def sums(x: str) -> Column:
+        return F.transform(F.sequence(F.lit(0), c(f"__r_{x}")), lambda j: _sum(F.slice(f"__l_{x}", j * c(f"__r_{x}") + 1, c(f"__r_{x}"))))
+
+    def offsets(x: str) -> Column:
+        return F.transform(f"__s_{x}", lambda _, j: _sum(F.slice(f"__s_{x}", F.lit(1), j)))
 
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("last"), F.array().cast(empty).alias("out"))
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(empty))
+    def places(x: str) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            j = F.floor(i / c(f"__r_{x}")).cast("int")
+            piece = F.get(c(f"__p_{x}"), i)
+            start = F.get(c(f"__o_{x}"), j) + _sum(F.slice(f"__l_{x}", j * c(f"__r_{x}") + 1, i - j * c(f"__r_{x}"))) + F.length(piece)
+            before = F.right(F.concat(F.coalesce(F.get(c(f"__m_{x}"), i - 1), F.lit("")), piece), F.lit(CONTEXT))
+            return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value"), before.alias("before"))
+
+        return F.transform(f"__m_{x}", one)
+
+    lengths = [F.zip_with(F.slice(f"__p_{x}", F.lit(1), F.size(f"__m_{x}")), f"__m_{x}", lambda p, m: (F.length(p) + F.length(m)).cast("long")).alias(f"__l_{x}") for x in names]
+    df = df.select("*", *lengths, *(run(x).alias(f"__r_{x}") for x in names))
+    df = df.select("*", *(sums(x).alias(f"__s_{x}") for x in names))
+    df = df.select("*", *(offsets(x).alias(f"__o_{x}") for x in names))
+    return df.select(*keep, *(places(x).alias(f"__{x}") for x in names))
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -79,14 +98,14 @@ def with_base(df: DataFrame, text: str, out: str, candidates: str | None = None)
     t = F.coalesce(F.col(text), F.lit(""))
     hints = {"email": F.contains(t, F.lit("@")), "phone": F.contains(t, F.lit("+"))}
     none = F.array().cast("array<string>")
-    cut = df
-    for kind, pattern in zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True):
-        matches = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
-        cut = cut.withColumn(f"__m_{kind}", F.when(hints[kind], matches).otherwise(none) if kind in hints else matches)
-    if candidates:
-        cut = cut.withColumn("__m_like", F.regexp_extract_all(t, F.lit(LIKE), F.lit(0)))
     patterns = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True)) | ({"like": LIKE} if candidates else {})
-    placed = cut.select(*keep, *(_placed(F.col(f"__m_{k}"), F.when(F.size(f"__m_{k}") > 0, F.split(t, p, -1)).otherwise(none)).alias(f"__{k}") for k, p in patterns.items()))
+    found = []
+    for kind, pattern in patterns.items():
+        matches = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        found.append((F.when(hints[kind], matches).otherwise(none) if kind in hints else matches).alias(f"__m_{kind}"))
+    cut = df.select("*", *found)
+    cut = cut.select("*", *(F.when(F.size(f"__m_{k}") > 0, F.split(t, p, -1)).otherwise(none).alias(f"__p_{k}") for k, p in patterns.items()))
+    placed = _placed(cut, list(patterns), keep)
 
     def ranked(rank: int, kind: str) -> Column:
         good = F.filter(f"__{kind}", lambda x: _valid(kind, x["value"]))
@@ -131,7 +150,7 @@ def mentions(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
-    """(pattern, n): how often each of the given patterns occurs, followed by a word, in all texts."""
+    """(pattern, n): how often each of the given patterns occurs, followed by a word, in all texts of docs."""
     words = F.split(normal(F.coalesce(F.col(text), F.lit(""))), r"\s++")
     n = F.size("w") - 2
     pairs = F.when(n > 0, F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: _key(F.concat(a, F.lit(" "), b))))
