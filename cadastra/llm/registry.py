@@ -15,6 +15,7 @@ MODULES = {
     "op2_warc_index": "warc",
     "op3_minhash_forest": "forest",
     "op4_language_by_compression": "langid",
+    "op5_context_mixing": "lm",
     "op6_toxicity_ngrams": "toxicity",
     "op7_multiset_hash": "multiset",
     "op8_pii_bootstrap": "pii",
