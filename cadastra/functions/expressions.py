@@ -71,7 +71,7 @@ def _column(node: ast.AST, names: dict[str, str]) -> Column:
             out = p if out is None else out & p
             left = right
         return out
-    if isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute):
+    if isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute) and node.func.attr in _METHODS:
         target = node.func.value
         # text methods are written x.str.method()
         target = target.value if isinstance(target, ast.Attribute) and target.attr in ("str", "dt") else target
