@@ -36,6 +36,10 @@ LEAST_CHARS, LEAST_DIGITS, CONTEXT = 5, 2, 80
 SUPPORT, TRUST, ROUNDS = 3, 0.5, 3
 #: Patterns up to which they are sent to every executor to count them; more are joined by shuffling.
 MOST_PATTERNS = 1_000_000
+#: Shares of the documents of which one is counted before the others.
+SHARES = 16
+#: Cells of the table that says which word pairs may be patterns.
+CELLS = 1 << 16
 
 
 def _sum(numbers: Column) -> Column:
@@ -149,17 +153,45 @@ def mentions(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
     return stored(with_base(base, "text", "base", "candidates").select("k", "th", "base", "candidates"), f"{path}/mentions")
 
 
+def _cells(patterns: DataFrame) -> DataFrame:
+    """One row: an array of CELLS booleans, true where some pattern has its key in that cell."""
+    used = patterns.select(F.pmod("pattern", F.lit(CELLS)).alias("cell"), F.lit(True).alias("used")).distinct()
+    every = patterns.sparkSession.range(CELLS).withColumnRenamed("id", "cell").join(used, "cell", "left")
+    both = F.struct("cell", F.coalesce("used", F.lit(False)).alias("used"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(both)), lambda x: x["used"]).alias("cells"))
+
+
 def occurrences(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
-    """(pattern, n): how often each of the given patterns occurs, followed by a word, in all texts of docs."""
+    """(pattern, n): how often each of the given patterns occurs, followed by a word, in all texts of docs.
+
+    Word pairs whose cell no pattern uses are dropped inside the row (a table of fixed size, so it may be
+    broadcast); only the others become rows and are looked up.
+    """
     words = F.split(normal(F.coalesce(F.col(text), F.lit(""))), r"\s++")
     n = F.size("w") - 2
     pairs = F.when(n > 0, F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: _key(F.concat(a, F.lit(" "), b))))
-    every = docs.select(words.alias("w")).select(F.explode(pairs).alias("pattern"))
+    keyed = docs.select(words.alias("w")).select(pairs.alias("p")).join(F.broadcast(_cells(patterns)))
+    every = keyed.select(F.explode(F.filter("p", lambda x: F.get(F.col("cells"), F.pmod(x, F.lit(CELLS)).cast("int")))).alias("pattern"))
     few = patterns.limit(MOST_PATTERNS + 1).count() <= MOST_PATTERNS
     wanted = patterns.select("pattern")
     return every.join(F.broadcast(wanted) if few else wanted, "pattern").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
 
 
+def totals(docs: DataFrame, text: str, patterns: DataFrame, path: str) -> DataFrame:
+    """(pattern, n) over all texts for every pattern (pattern, most) that can still reach the confidence TRUST.
+
+    One share of the documents is counted first.  Its counts are lower bounds:
+    a pattern that occurs there more than most / TRUST times, most being how
+    many mentions follow it in the corpus, is out whatever the rest holds.
+    Those left, mostly few, are counted in the rest.
+    """
+    share = F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(SHARES))
+    first = stored(patterns.join(occurrences(docs.where(share == 0), text, patterns), "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n0"), "most"), f"{path}/first")
+    able = stored(first.where(F.col("most") >= TRUST * F.col("n0")), f"{path}/able")
+    rest = occurrences(docs.where(share != 0), text, able)
+    return able.join(rest, "pattern", "left").select("pattern", (F.col("n0") + F.coalesce("n", F.lit(0))).alias("n")).where("n > 0")
+
+
 def discovered(docs: DataFrame, found: DataFrame, path: str, text: str) -> DataFrame:
     """(k, th, rank, start, end) of mentions outside the base spans whose instance is trusted at the end.
 
@@ -172,9 +204,10 @@ def discovered(docs: DataFrame, found: DataFrame, path: str, text: str) -> DataF
     every = stored(every, f"{path}/every")
     edges = every.where("has").groupBy("pattern", "instance", "rank").agg(F.count(F.lit(1)).alias("n"))
     supported = edges.where("rank >= 0").groupBy("pattern").agg(F.count_distinct("instance").alias("support")).where(F.col("support") >= SUPPORT)
-    supported = stored(supported, f"{path}/supported")
-    total = stored(occurrences(docs, text, supported), f"{path}/total")
     edges = stored(edges, f"{path}/edges")
+    most = edges.groupBy("pattern").agg(F.sum("n").alias("most"))
+    supported = stored(supported.join(most, "pattern").select("pattern", "most"), f"{path}/supported")
+    total = stored(totals(docs, text, supported, path), f"{path}/total")
     trust = stored(edges.where("rank >= 0").groupBy("instance").agg(F.max("rank").alias("rank")).withColumn("trust", F.lit(1.0)), f"{path}/trust0")
     for k in range(1, ROUNDS + 1):
         known = edges.drop("rank").join(trust, "instance")
