@@ -1,25 +1,24 @@
 """Language-model scores of whole texts: a unigram base, and total bits by context mixing.
 
-Texts are cut into pieces (a word with the white space after it, at most
-WORD_BYTES and SPACE_BYTES long) that are coded independently given the class
-of what came before, so that a piece has one cost wherever it occurs.  Counts
-and costs are worked out once for each distinct piece of the corpus, not for
-each occurrence:
+Both score a text as its tokens: words, A-Z lower-cased, and one end.  The
+mixture codes each word's bytes and an end mark, and the end of the text as an
+empty word.  Its contexts stay within a word, so that a word has one cost
+wherever it occurs: counts and costs are worked out once for each distinct
+word of the corpus, not for each occurrence.
 
 1. Documents are dealt into blocks of about BLOCK_CHARS; each block gives its
-   distinct words and pieces with their counts in training documents.
-2. Their sums over all blocks are the vocabulary.  Tasks turn the training
-   pieces into counts of hashed contexts, learn mixing weights online and
-   observe the refining map; the results, of fixed size, are summed.
-3. Every piece of the vocabulary gets its cost, every word its base.
-4. Each block gets the values of its own words and pieces, and with them
-   scores its documents.
+   distinct words with their counts in training documents.
+2. Their sums over all blocks are the vocabulary.  Tasks turn its words into
+   counts of hashed contexts, learn mixing weights online and observe the
+   refining map; the results, of fixed size, are summed.
+3. Every word of the vocabulary gets its base and its cost.
+4. Each block gets the values of its own words, and with them scores its
+   documents.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,47 +31,25 @@ from pyspark.sql import functions as F
 from cadastra.llm import mixing as mx
 from cadastra.llm.common import remainder, shared_dir, stored, table
 
-BLOCK_CHARS, WORD_BYTES, SPACE_BYTES = 40_000_000, 48, 16
-#: Distinct training pieces of a task that fits the model, and the most such tasks.
-TASK_PIECES, MOST_TASKS = 150_000, 64
-PIECE = re.compile(rb"[^\x20\x09-\x0d]{1,%d}[\x20\x09-\x0d]{0,%d}|[\x20\x09-\x0d]{1,%d}" % (WORD_BYTES, SPACE_BYTES, SPACE_BYTES))
+#: Characters of a block; bytes of a word that are coded at a time.
+BLOCK_CHARS, WORD_BYTES = 40_000_000, 48
+#: Distinct training words of a task that fits the model, and the most such tasks.
+TASK_WORDS, MOST_TASKS = 150_000, 64
 #: Slots whose counts travel in a row.
 CHUNK = 1 << 14
-WORD, PIECE_KIND = 0, 1
+#: Bytes before parts: the start of a word, and what goes on with one.
+STARTS, GOES_ON = b"\x01", b"\x02"
 
 
-def end_class(piece: bytes) -> int:
-    """What a piece leaves behind for the next one: the kind of its last character that isn't white space, and of its white space."""
-    body = piece.rstrip(b" \t\n\r\x0b\f")
-    space = piece[len(body) :]
-    if not body:
-        last = 0
-    else:
-        c = body[-1]
-        last = 1 if c >= 128 else 2 if 48 <= c <= 57 else 3 if chr(c).isalpha() else 4 if c in b".!?" else 5 if c in b",;:" else 6
-    return 8 + last * 4 + (0 if not space else 1 if space == b" " else 2 if b"\n" in space else 3)
+def parts(word: bytes) -> list[bytes]:
+    """A word as the parts that are coded: of at most WORD_BYTES, the last one shorter and before an end mark."""
+    cut = [word[i : i + WORD_BYTES] for i in range(0, len(word) + 1, WORD_BYTES)]
+    cut[-1] += b"\0"
+    return [(GOES_ON if i else STARTS) + c for i, c in enumerate(cut)]
 
 
-class _Ends(dict):
-    def __missing__(self, piece: bytes) -> bytes:
-        if len(self) > 300_000:
-            self.clear()
-        self[piece] = c = bytes([end_class(piece)])
-        return c
-
-
-_ends = _Ends()
-
-
-def pieces(raw: bytes) -> list[bytes]:
-    """Pieces of a text, each after the byte of its class; the last one ends with a zero byte, which stands for the end."""
-    cut = PIECE.findall(raw)
-    cut = [*cut[:-1], cut[-1] + b"\0"] if cut else [b"\0"]
-    return [a + b for a, b in zip([b"\x01", *map(_ends.__getitem__, cut[:-1])], cut, strict=True)]
-
-
-def key_of(kind: int, raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(raw, kind) - (1 << 63)
+def key_of(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
 def dealt(docs: DataFrame, text: str, train: Column, keep: list) -> DataFrame:
@@ -85,49 +62,52 @@ def dealt(docs: DataFrame, text: str, train: Column, keep: list) -> DataFrame:
 
 
 def gathered(rows: DataFrame) -> DataFrame:
-    """(block, kind, key, raw, n): distinct words and pieces of each block with their counts in training documents."""
+    """(block, key, word, n): distinct words of each block with their counts in training documents."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, found = None, (Counter(), Counter())
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for kind in (WORD, PIECE_KIND):
-                items = list(found[kind].items())
-                for i in range(0, len(items), 20_000):
-                    part = items[i : i + 20_000]
-                    raw = [r for r, _ in part]
-                    columns = [pa.array([at] * len(part), pa.int32()), pa.array([kind] * len(part), pa.int32()), pa.array([key_of(kind, r) for r in raw], pa.int64())]
-                    columns += [pa.array(raw if kind else [None] * len(part), pa.binary()), pa.array([n for _, n in part], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["block", "kind", "key", "raw", "n"])
+    def out(block: int, found: Counter) -> Iterator[pa.RecordBatch]:
+        items = list(found.items())
+        for i in range(0, len(items), 20_000):
+            part = items[i : i + 20_000]
+            columns = [pa.array([block] * len(part), pa.int32()), pa.array([key_of(w) for w, _ in part], pa.int64()), pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "key", "word", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, found = None, Counter()
         for batch in batches:
             for block, train, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != at:
                     if at is not None:
-                        yield from out()
-                    at, found = block, (Counter(), Counter())
-                raw = text.encode()
-                for kind, tokens in ((WORD, raw.lower().split()), (PIECE_KIND, pieces(raw))):
-                    if train:
-                        found[kind].update(tokens)
-                    else:
-                        for t in tokens:
-                            if t not in found[kind]:
-                                found[kind][t] = 0
+                        yield from out(at, found)
+                    at, found = block, Counter()
+                words = text.encode().lower().split()
+                if train:
+                    found.update(words)
+                else:
+                    for w in words:
+                        found.setdefault(w, 0)
         if at is not None:
-            yield from out()
+            yield from out(at, found)
 
     # ordered by block, so that a worker holds one block's words at a time
     ordered = rows.select("__block", "__train", "__text").repartition("__block").sortWithinPartitions("__block")
-    return ordered.mapInArrow(run, "block int, kind int, key long, raw binary, n long")
+    return ordered.mapInArrow(run, "block int, key long, word binary, n long")
+
+
+def divided(words: list[bytes], times: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct parts of words, how often they occur; for each part of each word, the word's place and the part's."""
+    at: dict[bytes, int] = {}
+    places = [(i, at.setdefault(p, len(at))) for i, w in enumerate(words) for p in parts(w)]
+    of = np.array(places, np.int64).reshape(-1, 2)
+    each = np.ones(len(words)) if times is None else times
+    return list(at), np.bincount(of[:, 1], each[of[:, 0]], minlength=len(at)), of[:, 0], of[:, 1]
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray]:
-    raw, times = [], []
+    words, times = [], []
     for batch in batches:
-        raw += batch.column(0).to_pylist()
+        words += batch.column(0).to_pylist()
         times += batch.column(1).to_pylist()
-    return raw, np.array(times, np.float64)
+    return words, np.array(times, np.float64)
 
 
 class MixtureModel:
@@ -137,19 +117,22 @@ class MixtureModel:
         self.table, self.trust = mx.odds(counts)
         self.weights, self.refine = weights, refine
 
-    def cost(self, raw: list[bytes]) -> np.ndarray:
-        return mx.cost(raw, self.table, self.trust, self.weights, self.refine)
+    def cost(self, words: list[bytes]) -> np.ndarray:
+        """log10 of the probability of each word with its end mark."""
+        own, _, word, part = divided(words)
+        return np.bincount(word, mx.cost(own, self.table, self.trust, self.weights, self.refine)[part], minlength=len(words))
 
 
 def fit(training: DataFrame, n: int, path: str) -> MixtureModel:
-    """training: (raw, n), distinct pieces with their counts.  Without any, all bits are equally likely."""
+    """training: (word, n), n of them, distinct, with their counts.  Without any, all bits are equally likely."""
     spark = training.sparkSession
-    tasks = max(1, min(MOST_TASKS, math.ceil(n / TASK_PIECES)))
-    rows = stored(training.select("raw", "n").repartition(tasks, "raw"), f"{path}/training").coalesce(tasks)
+    tasks = max(1, min(MOST_TASKS, math.ceil(n / TASK_WORDS)))
+    rows = stored(training.select("word", "n").repartition(tasks, "word"), f"{path}/training").coalesce(tasks)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, mx.INPUTS, mx.SLOTS), np.float32)
-        mx.count(*_arrays(batches), counts)
+        own, times, _, _ = divided(*_arrays(batches))
+        mx.count(own, times, counts)
         flat = counts.reshape(-1, CHUNK)
         for i in range(0, len(flat), 16):
             at = [k for k in range(i, min(i + 16, len(flat))) if flat[k].any()]
@@ -168,15 +151,15 @@ def fit(training: DataFrame, n: int, path: str) -> MixtureModel:
     shared = spark.sparkContext.broadcast(counts)
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, times = _arrays(batches)
-        if not raw:
+        own, times, _, _ = divided(*_arrays(batches))
+        if not own:
             return
-        # a repeatable order in which costs of long and short, rare and frequent pieces mix
-        order = np.argsort([key_of(2, r) for r in raw], kind="stable")
-        raw, times = [raw[i] for i in order], times[order]
+        # a repeatable order in which costs of long and short, rare and frequent parts mix
+        order = np.argsort([key_of(r) for r in own], kind="stable")
+        own, times = [own[i] for i in order], times[order]
         weights, seen = mx.first_weights(), np.zeros((2, 256 * mx.STEPS))
-        mx.learn(raw, times, shared.value, weights)
-        mx.observe(raw, times, shared.value, weights, seen)
+        mx.learn(own, times, shared.value, weights, seen)
+        weights = weights.astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array([float(times.sum())]), pa.array([weights.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())], names=["size", "weights", "seen"])
 
     size, weights, seen = 0.0, np.zeros((mx.GATES, mx.INPUTS)), np.zeros((2, 256 * mx.STEPS))
@@ -188,7 +171,7 @@ def fit(training: DataFrame, n: int, path: str) -> MixtureModel:
 
 
 def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "text") -> DataFrame:
-    """`keep`, n_tokens, n_known, train_tokens, base_score and score (log10 probability of the text by the mixture), for each row.
+    """`keep`, n_tokens, n_known, train_tokens, base_score and score (log10 probability of the tokens by the mixture), for each row.
 
     train marks the rows that are learnt from.  A null text is empty: one
     token, its end.  Repeated rows get equal results; other columns don't
@@ -199,66 +182,56 @@ def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "t
     rows = dealt(docs, text, train, keep)
     kept = [c for c in rows.columns if not c.startswith("__")]
     local = stored(gathered(rows), f"{path}/blocks")
-    words = stored(local.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.max("raw").alias("raw")), f"{path}/vocabulary")
+    words = stored(local.groupBy("key").agg(F.sum("n").alias("n"), F.max("word").alias("word")), f"{path}/vocabulary")
     ends = docs.where(train).count()
-    known, tokens = words.where(f"kind = {WORD} and n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    known, tokens = words.where("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     total, distinct = tokens + ends, known + (ends > 0)
     unit = math.log10(total + distinct + 1)
-    training = words.where(f"kind = {PIECE_KIND} and n > 0")
-    model = spark.sparkContext.broadcast(fit(training, training.count(), path))
+    # the end of a text is learnt as an empty word
+    empty = spark.createDataFrame([(bytearray(b""), ends)], "word binary, n long").where("n > 0")
+    model = fit(words.where("n > 0").select("word", "n").unionByName(empty), known + 1, path)
+    shared = spark.sparkContext.broadcast(model)
 
     def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            value = model.value.cost(batch.column(1).to_pylist()) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value, pa.float64())], names=["key", "value"])
+            value = shared.value.cost(batch.column(1).to_pylist()) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value, pa.float64()), batch.column(2)], names=["key", "cost", "n"])
 
-    of_pieces = words.where(f"kind = {PIECE_KIND}").select("key", "raw").mapInArrow(costs, "key long, value double")
-    of_pieces = of_pieces.select(F.lit(PIECE_KIND).alias("kind"), "key", "value", F.lit(False).alias("known"))
-    of_words = words.where(f"kind = {WORD}").select(F.lit(WORD).alias("kind"), "key", (F.log10(F.col("n") + 1.0) - F.lit(unit)).alias("value"), (F.col("n") > 0).alias("known"))
-    values = stored(of_words.unionByName(of_pieces), f"{path}/values")
-    own = local.select("block", "kind", "key").join(values, ["kind", "key"])
+    costed = words.select("key", "word", "n").mapInArrow(costs, "key long, cost double, n long")
+    values = stored(costed.select("key", "cost", (F.log10(F.col("n") + 1.0) - F.lit(unit)).alias("base"), (F.col("n") > 0).alias("known")), f"{path}/values")
+    own = local.select("block", "key").join(values, "key")
 
     nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in kept]
-    first = own.select(F.col("block").alias("__block"), F.lit(0).alias("__is"), "kind", "key", "value", "known", F.lit(None).cast("string").alias("__text"), *nothing)
-    then = rows.select("__block", F.lit(1).alias("__is"), F.lit(None).cast("int").alias("kind"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("value"), F.lit(None).cast("boolean").alias("known"), "__text", *kept)
+    first = own.select(F.col("block").alias("__block"), F.lit(0).alias("__is"), "key", "cost", "base", "known", F.lit(None).cast("string").alias("__text"), *nothing)
+    then = rows.select("__block", F.lit(1).alias("__is"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("cost"), F.lit(None).cast("double").alias("base"), F.lit(None).cast("boolean").alias("known"), "__text", *kept)
     both = first.unionByName(then).repartition("__block").sortWithinPartitions("__block", "__is")
-    end_value, end_known = math.log10(ends + 1) - unit, int(ends > 0)
+    end_base, end_cost, end_known = math.log10(ends + 1) - unit, float(model.cost([b""])[0]), int(ends > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, by_key, seen = None, {}, {}
-        flags: dict[int, bool] = {}
+        at = None
+        by_key: dict[int, tuple[float, float, bool]] = {}
 
         class Values(dict):
-            def __init__(self, kind: int):
-                self.kind = kind
-
-            def __missing__(self, raw: bytes) -> float:
-                key = key_of(self.kind, raw)
-                self[raw] = v = by_key[self.kind, key]
-                if self.kind == WORD and not flags[key]:
-                    seen[raw] = False
+            def __missing__(self, word: bytes) -> tuple[float, float, bool]:
+                self[word] = v = by_key[key_of(word)]
                 return v
 
-        of_word, of_piece = Values(WORD), Values(PIECE_KIND)
+        value_of = Values()
         for batch in batches:
-            block, kind_of_row = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            kinds, keys, value, flag, texts = (batch.column(i).to_pylist() for i in range(2, 7))
+            block, is_text, *values, texts = (batch.column(i).to_pylist() for i in range(7))
+            entries = zip(*values, strict=True)
             picked, results = [], []
-            for i, is_text in enumerate(kind_of_row):
+            for i, (key, cost, base, known) in enumerate(entries):
                 if block[i] != at:
                     at = block[i]
-                    for d in (by_key, seen, flags, of_word, of_piece):
-                        d.clear()
-                if not is_text:
-                    by_key[kinds[i], keys[i]] = value[i]
-                    if kinds[i] == WORD:
-                        flags[keys[i]] = flag[i]
+                    by_key.clear()
+                    value_of.clear()
+                if not is_text[i]:
+                    by_key[key] = (cost, base, known)
                     continue
-                raw = texts[i].encode()
-                tokens = raw.lower().split()
-                base = math.fsum(map(of_word.__getitem__, tokens)) + end_value
-                unknown = sum(map(seen.__contains__, tokens)) if seen else 0
-                results.append((len(tokens) + 1, len(tokens) - unknown + end_known, total, base, math.fsum(map(of_piece.__getitem__, pieces(raw)))))
+                found = list(map(value_of.__getitem__, texts[i].encode().lower().split()))
+                cost, base, known = map(math.fsum, zip(*found, strict=True)) if found else (0.0, 0.0, 0)
+                results.append((len(found) + 1, int(known) + end_known, total, base + end_base, cost + end_cost))
                 picked.append(i)
             own_columns = [batch.column(7 + j).take(pa.array(picked, pa.int64())) for j in range(len(kept))]
             columns = [pa.array([r[j] for r in results], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]

@@ -1,7 +1,7 @@
 """Bit predictors over hashed contexts, mixed by gated logistic weights and refined by an adaptive map.
 
-A piece is coded bit by bit.  Its contexts reach back to its start and to the
-class of what came before: the last 1, 2, 3, 4 and 6 bytes, and all bytes.
+A piece is coded bit by bit, after a byte that says what kind of piece it is.
+Its contexts are the last 1, 2, 3 and 4 bytes and all bytes so far.
 Each context, with the bits of the current byte so far, is hashed to a slot
 that holds how often a 0 and a 1 followed in training.  The logarithms of the
 odds are summed with weights that a gate selects (place in the piece, bit, and how
@@ -18,22 +18,24 @@ from collections.abc import Iterator
 
 import numpy as np
 
-ORDERS = (1, 2, 3, 4, 6)
+ORDERS = (1, 2, 3, 4)
 INPUTS = len(ORDERS) + 1
 BITS = 20
 SLOTS = 1 << BITS
 #: Added to both counts of a slot; places and levels of trust that gates tell apart; pieces walked at once.
 PRIOR, PLACES, LEVELS, BATCH = 0.3, 4, 4, 16384
 GATES = PLACES * 8 * LEVELS
-#: Learning: step, pieces of a step, and steps of a gate that a small corpus is gone through again for.
-RATE, STEP_PIECES, LEAST_STEPS = 0.5, 1024, 200
+#: Learning: step, pieces of a step at least and at most, and steps that a small corpus is gone through again for.
+RATE, LEAST_PIECES, MOST_PIECES, LEAST_STEPS = 0.5, 1024, 8192, 100
+#: Slots that are collected before they are counted at once.
+COLLECTED = 6_000_000
 #: Steps of the refining map, and how many observations its first guess is worth.
 STEPS, GUESS = 33, 40.0
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
 
 class Batch:
-    """Pieces, longest first, as a padded matrix; the first column is the class before the piece."""
+    """Pieces, longest first, as a padded matrix; the first column is the kind of the piece."""
 
     def __init__(self, pieces: list[bytes]):
         size = np.array([len(p) - 1 for p in pieces], np.int64)
@@ -74,13 +76,28 @@ def batches(pieces: list[bytes], size: int = BATCH) -> Iterator[tuple[int, Batch
 
 def count(pieces: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
     """Add what the pieces say to counts, of shape (2, INPUTS, SLOTS)."""
+    flat = counts.reshape(-1)
+    offset = (np.arange(INPUTS, dtype=np.int64) * SLOTS)[:, None]
+    cells: list[np.ndarray] = []
+    weights: list[np.ndarray] = []
+    held = 0
+
+    def add() -> None:
+        flat[:] += np.bincount(np.concatenate(cells), np.concatenate(weights), minlength=flat.size)
+        cells.clear()
+        weights.clear()
+
     for i, b in batches(pieces):
-        t = times[i : i + BATCH][b.order].astype(np.float64)
+        t = times[i : i + BATCH][b.order].astype(np.float32)
         for _, n, y, slots, _ in b.walk():
-            one = t[:n] * y
-            for k in range(INPUTS):
-                np.add.at(counts[1, k], slots[k], one)
-                np.add.at(counts[0, k], slots[k], t[:n] - one)
+            cells.append((slots + offset + y.astype(np.int64) * (INPUTS * SLOTS)).reshape(-1))
+            weights.append(np.tile(t[:n], INPUTS))
+            held += n * INPUTS
+            if held >= COLLECTED:
+                add()
+                held = 0
+    if cells:
+        add()
 
 
 def level(seen: np.ndarray) -> np.ndarray:
@@ -99,45 +116,52 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 def _without_own(counts: np.ndarray, slots: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Odds at the slots, and level, as they were without one occurrence of the bit itself."""
-    zero = np.stack([counts[0, k][s] for k, s in enumerate(slots)])
-    one = np.stack([counts[1, k][s] for k, s in enumerate(slots)])
-    one, zero = np.maximum(one - y, 0), np.maximum(zero + y - 1.0, 0)
-    return np.log(one + PRIOR) - np.log(zero + PRIOR), level(zero[-1] + one[-1])
+    zero, one = np.empty(slots.shape, np.float32), np.empty(slots.shape, np.float32)
+    for k, s in enumerate(slots):
+        np.take(counts[0, k], s, out=zero[k])
+        np.take(counts[1, k], s, out=one[k])
+    y = y.astype(np.float32)
+    one -= y
+    zero -= 1 - y
+    np.maximum(one, 0, out=one)
+    np.maximum(zero, 0, out=zero)
+    trust = level(zero[-1] + one[-1])
+    one += np.float32(PRIOR)
+    zero += np.float32(PRIOR)
+    return np.log(one / zero), trust
 
 
 def first_weights() -> np.ndarray:
-    return np.full((GATES, INPUTS), 1.5 / INPUTS)
-
-
-def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> None:
-    """Online passes: weights move with every step, place and bit."""
-    steps = -(-len(pieces) // STEP_PIECES)
-    for _ in range(max(1, min(20, -(-LEAST_STEPS // max(1, steps))))):
-        for i, b in batches(pieces, STEP_PIECES):
-            t = times[i : i + STEP_PIECES][b.order].astype(np.float64)
-            for first, n, y, slots, _ in b.walk():
-                x, trust = _without_own(counts, slots, y)
-                gate = first + trust.astype(np.int64)
-                error = t[:n] * (y - sigmoid(np.einsum("ki,ik->i", x, weights[gate])))
-                for g in np.unique(gate).tolist():
-                    own = gate == g
-                    weights[g] += RATE * (x[:, own] @ error[own]) / (t[:n][own].sum() + 50.0)
+    return np.full((GATES, INPUTS), 1.5 / INPUTS, np.float32)
 
 
 def step_of(z: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(z * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
-def observe(pieces: list[bytes], times: np.ndarray, counts: np.ndarray, weights: np.ndarray, seen: np.ndarray) -> None:
-    """Add to seen, of shape (2, 256 * STEPS), how often bits and ones came with each byte before and step of mixed odds."""
-    for i, b in batches(pieces):
-        t = times[i : i + BATCH][b.order].astype(np.float64)
-        for first, n, y, slots, before in b.walk():
-            x, trust = _without_own(counts, slots, y)
-            z = np.einsum("ki,ik->i", x, weights[first + trust.astype(np.int64)])
-            cell = before.astype(np.int64) * STEPS + step_of(z)
-            seen[0] += np.bincount(cell, t[:n], minlength=seen.shape[1])
-            seen[1] += np.bincount(cell, t[:n] * y, minlength=seen.shape[1])
+def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray, weights: np.ndarray, seen: np.ndarray) -> None:
+    """Online passes: weights move with every step, place and bit.
+
+    The last pass also adds to seen, of shape (2, 256 * STEPS), how often bits and ones came with each byte before and
+    step of mixed odds, as they were before the weights moved.
+    """
+    size = max(LEAST_PIECES, min(MOST_PIECES, len(pieces) // LEAST_STEPS))
+    passes = max(1, min(20, -(-LEAST_STEPS * size // max(1, len(pieces)))))
+    for left in range(passes - 1, -1, -1):
+        for i, b in batches(pieces, size):
+            t = times[i : i + size][b.order].astype(np.float32)
+            for first, n, y, slots, before in b.walk():
+                x, trust = _without_own(counts, slots, y)
+                gate = first + trust.astype(np.int64)
+                z = np.einsum("ki,ik->i", x, weights[gate])
+                error = t[:n] * (y - sigmoid(z))
+                total = np.bincount(trust, t[:n], minlength=LEVELS)
+                for k in range(INPUTS):
+                    weights[first : first + LEVELS, k] += RATE * np.bincount(trust, x[k] * error, minlength=LEVELS) / (total + 50.0)
+                if not left:
+                    cell = before.astype(np.int64) * STEPS + step_of(z)
+                    seen[0] += np.bincount(cell, t[:n], minlength=seen.shape[1])
+                    seen[1] += np.bincount(cell, t[:n] * y, minlength=seen.shape[1])
 
 
 def refining(seen: np.ndarray) -> np.ndarray:

@@ -27,9 +27,11 @@ def test_counts_and_base(spark, shared, monkeypatch):
         assert r.score < 0
 
 
-def test_pieces_tile_the_text():
-    for raw in (b"", b" ", b"a b", b"x" * 1000 + b"\n\n" * 50 + b"y", "é ü".encode()):
-        assert b"".join(p[1:] for p in lm.pieces(raw)) == raw + b"\0"
+def test_parts_make_up_the_word():
+    for word in (b"", b"a", b"x" * 48, b"x" * 1000):
+        cut = lm.parts(word)
+        assert b"".join(p[1:] for p in cut) == word + b"\0" and max(map(len, cut)) <= lm.WORD_BYTES + 2
+        assert [p[:1] for p in cut] == [lm.STARTS] + [lm.GOES_ON] * (len(cut) - 1)
 
 
 def test_no_training_rows_and_no_rows(spark, shared):
