@@ -15,6 +15,8 @@ from cadastra.llm import bpe, decontaminate, forest, pii, quality
 from cadastra.llm.common import importable, remainder, shared_dir, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Bytes of texts that travel to and from a Python worker at once; by default 10,000 rows do, whatever their length.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +67,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     path = shared_dir(spark)
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"{path}/stage{k}")
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stored(stage(spark, docs, sf_dir), f"{path}/stage{k}")
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
 
 
