@@ -1,19 +1,18 @@
 """Language-model scores of whole texts: a unigram base, and total bits by context mixing.
 
-Both score a text as its tokens: words, A-Z lower-cased, and one end.  The
-mixture codes each word's bytes and an end mark, and the end of the text as an
-empty word.  Its contexts stay within a word, so that a word has one cost
-wherever it occurs: counts and costs are worked out once for each distinct
-word of the corpus, not for each occurrence.
+The base scores a text as its tokens: words, A-Z lower-cased, and one end.
+The mixture codes every byte of the text as it stands, white space and case
+too, and an end; its contexts reach across words, so it reads each occurrence
+in its place.
 
 1. Documents are dealt into blocks of about BLOCK_CHARS; each block gives its
    distinct words with their counts in training documents.
-2. Their sums over all blocks are the vocabulary.  Tasks turn its words into
-   counts of hashed contexts, learn mixing weights online and observe the
-   refining map; the results, of fixed size, are summed.
-3. Every word of the vocabulary gets its base and its cost.
-4. Each block gets the values of its own words, and with them scores its
-   documents.
+2. Their sums over all blocks are the vocabulary, from which words get their base.
+3. Tasks turn training texts into counts of hashed contexts; then, with the
+   sums of all tasks, learn mixing weights online and observe the refining
+   map; the results, of fixed size, are summed.
+4. Each block gets the base of its own words, and scores its documents by
+   both.
 """
 
 from __future__ import annotations
@@ -33,10 +32,12 @@ from cadastra.llm.common import remainder, shared_dir, stored, table
 
 #: Characters of a block; bytes of a word that are coded at a time.
 BLOCK_CHARS, WORD_BYTES = 40_000_000, 48
-#: Distinct training words of a task that fits the model, and the most such tasks.
-TASK_WORDS, MOST_TASKS = 150_000, 64
+#: The most tasks that fit the model; bytes of texts that are walked together.
+MOST_TASKS, TOGETHER = 64, 1 << 20
 #: Slots whose counts travel in a row.
 CHUNK = 1 << 14
+#: Bytes before a text, and its end: no UTF-8 text has that byte.
+EDGE = b"\xff"
 #: Bytes before parts: the start of a word, and what goes on with one.
 STARTS, GOES_ON = b"\x01", b"\x02"
 
@@ -62,14 +63,14 @@ def dealt(docs: DataFrame, text: str, train: Column, keep: list) -> DataFrame:
 
 
 def gathered(rows: DataFrame) -> DataFrame:
-    """(block, key, word, n): distinct words of each block with their counts in training documents."""
+    """(block, key, n): distinct words of each block with their counts in training documents."""
 
     def out(block: int, found: Counter) -> Iterator[pa.RecordBatch]:
         items = list(found.items())
         for i in range(0, len(items), 20_000):
             part = items[i : i + 20_000]
-            columns = [pa.array([block] * len(part), pa.int32()), pa.array([key_of(w) for w, _ in part], pa.int64()), pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "key", "word", "n"])
+            columns = [pa.array([block] * len(part), pa.int32()), pa.array([key_of(w) for w, _ in part], pa.int64()), pa.array([n for _, n in part], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, found = None, Counter()
@@ -90,24 +91,21 @@ def gathered(rows: DataFrame) -> DataFrame:
 
     # ordered by block, so that a worker holds one block's words at a time
     ordered = rows.select("__block", "__train", "__text").repartition("__block").sortWithinPartitions("__block")
-    return ordered.mapInArrow(run, "block int, key long, word binary, n long")
+    return ordered.mapInArrow(run, "block int, key long, n long")
 
 
-def divided(words: list[bytes], times: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct parts of words, how often they occur; for each part of each word, the word's place and the part's."""
-    at: dict[bytes, int] = {}
-    places = [(i, at.setdefault(p, len(at))) for i, w in enumerate(words) for p in parts(w)]
-    of = np.array(places, np.int64).reshape(-1, 2)
-    each = np.ones(len(words)) if times is None else times
-    return list(at), np.bincount(of[:, 1], each[of[:, 0]], minlength=len(at)), of[:, 0], of[:, 1]
-
-
-def _arrays(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray]:
-    words, times = [], []
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Texts of the batches as the mixture's pieces, about TOGETHER bytes at a time."""
+    held, size = [], 0
     for batch in batches:
-        words += batch.column(0).to_pylist()
-        times += batch.column(1).to_pylist()
-    return words, np.array(times, np.float64)
+        for text in batch.column(0):
+            held.append(EDGE + (text.as_py() or "").encode() + EDGE)
+            size += len(held[-1])
+            if size >= TOGETHER:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 class MixtureModel:
@@ -117,22 +115,20 @@ class MixtureModel:
         self.table, self.trust = mx.odds(counts)
         self.weights, self.refine = weights, refine
 
-    def cost(self, words: list[bytes]) -> np.ndarray:
-        """log10 of the probability of each word with its end mark."""
-        own, _, word, part = divided(words)
-        return np.bincount(word, mx.cost(own, self.table, self.trust, self.weights, self.refine)[part], minlength=len(words))
+    def cost(self, texts: list[bytes]) -> np.ndarray:
+        """log10 of the probability of each text with its end."""
+        return mx.cost([EDGE + t + EDGE for t in texts], self.table, self.trust, self.weights, self.refine)
 
 
-def fit(training: DataFrame, n: int, path: str) -> MixtureModel:
-    """training: (word, n), n of them, distinct, with their counts.  Without any, all bits are equally likely."""
+def fit(training: DataFrame) -> MixtureModel:
+    """training: (text).  Without any, all bits are equally likely."""
     spark = training.sparkSession
-    tasks = max(1, min(MOST_TASKS, math.ceil(n / TASK_WORDS)))
-    rows = stored(training.select("word", "n").repartition(tasks, "word"), f"{path}/training").coalesce(tasks)
+    rows = training.coalesce(MOST_TASKS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, mx.INPUTS, mx.SLOTS), np.float32)
-        own, times, _, _ = divided(*_arrays(batches))
-        mx.count(own, times, counts)
+        for own in _texts(batches):
+            mx.count(own, np.ones(len(own)), counts)
         flat = counts.reshape(-1, CHUNK)
         for i in range(0, len(flat), 16):
             at = [k for k in range(i, min(i + 16, len(flat))) if flat[k].any()]
@@ -151,16 +147,13 @@ def fit(training: DataFrame, n: int, path: str) -> MixtureModel:
     shared = spark.sparkContext.broadcast(counts)
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, times, _, _ = divided(*_arrays(batches))
-        if not own:
-            return
-        # a repeatable order in which costs of long and short, rare and frequent parts mix
-        order = np.argsort([key_of(r) for r in own], kind="stable")
-        own, times = [own[i] for i in order], times[order]
-        weights, seen = mx.first_weights(), np.zeros((2, 256 * mx.STEPS))
-        mx.learn(own, times, shared.value, weights, seen)
-        weights = weights.astype(np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array([float(times.sum())]), pa.array([weights.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())], names=["size", "weights", "seen"])
+        size, weights, seen = 0, mx.first_weights(), np.zeros((2, 256 * mx.STEPS))
+        for own in _texts(batches):
+            mx.learn(own, np.ones(len(own)), shared.value, weights, seen)
+            size += sum(map(len, own))
+        if size:
+            weights = weights.astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array([float(size)]), pa.array([weights.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())], names=["size", "weights", "seen"])
 
     size, weights, seen = 0.0, np.zeros((mx.GATES, mx.INPUTS)), np.zeros((2, 256 * mx.STEPS))
     for r in rows.mapInArrow(learned, "size double, weights binary, seen binary").collect():
@@ -171,10 +164,10 @@ def fit(training: DataFrame, n: int, path: str) -> MixtureModel:
 
 
 def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "text") -> DataFrame:
-    """`keep`, n_tokens, n_known, train_tokens, base_score and score (log10 probability of the tokens by the mixture), for each row.
+    """`keep`, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the whole text by the mixture) and bits_per_byte, for each row.
 
     train marks the rows that are learnt from.  A null text is empty: one
-    token, its end.  Repeated rows get equal results; other columns don't
+    token, its end, and has no bits_per_byte (others pay for their end too).  Repeated rows get equal results; other columns don't
     matter.  Without training rows every count is 0 and the mixture is as it
     starts.  An empty table gives no rows.
     """
@@ -182,63 +175,63 @@ def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "t
     rows = dealt(docs, text, train, keep)
     kept = [c for c in rows.columns if not c.startswith("__")]
     local = stored(gathered(rows), f"{path}/blocks")
-    words = stored(local.groupBy("key").agg(F.sum("n").alias("n"), F.max("word").alias("word")), f"{path}/vocabulary")
+    words = stored(local.groupBy("key").agg(F.sum("n").alias("n")), f"{path}/vocabulary")
     ends = docs.where(train).count()
     known, tokens = words.where("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     total, distinct = tokens + ends, known + (ends > 0)
     unit = math.log10(total + distinct + 1)
-    # the end of a text is learnt as an empty word
-    empty = spark.createDataFrame([(bytearray(b""), ends)], "word binary, n long").where("n > 0")
-    model = fit(words.where("n > 0").select("word", "n").unionByName(empty), known + 1, path)
+    model = fit(docs.where(train).select(F.coalesce(F.col(text), F.lit("")).alias("text")))
     shared = spark.sparkContext.broadcast(model)
 
-    def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value = shared.value.cost(batch.column(1).to_pylist()) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value, pa.float64()), batch.column(2)], names=["key", "cost", "n"])
-
-    costed = words.select("key", "word", "n").mapInArrow(costs, "key long, cost double, n long")
-    values = stored(costed.select("key", "cost", (F.log10(F.col("n") + 1.0) - F.lit(unit)).alias("base"), (F.col("n") > 0).alias("known")), f"{path}/values")
+    values = stored(words.select("key", (F.log10(F.col("n") + 1.0) - F.lit(unit)).alias("base"), (F.col("n") > 0).alias("known")), f"{path}/values")
     own = local.select("block", "key").join(values, "key")
 
     nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in kept]
-    first = own.select(F.col("block").alias("__block"), F.lit(0).alias("__is"), "key", "cost", "base", "known", F.lit(None).cast("string").alias("__text"), *nothing)
-    then = rows.select("__block", F.lit(1).alias("__is"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("cost"), F.lit(None).cast("double").alias("base"), F.lit(None).cast("boolean").alias("known"), "__text", *kept)
+    first = own.select(F.col("block").alias("__block"), F.lit(0).alias("__is"), "key", "base", "known", F.lit(None).cast("string").alias("__text"), *nothing)
+    then = rows.select("__block", F.lit(1).alias("__is"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("base"), F.lit(None).cast("boolean").alias("known"), "__text", *kept)
     both = first.unionByName(then).repartition("__block").sortWithinPartitions("__block", "__is")
-    end_base, end_cost, end_known = math.log10(ends + 1) - unit, float(model.cost([b""])[0]), int(ends > 0)
+    end_base, end_known = math.log10(ends + 1) - unit, int(ends > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
-        by_key: dict[int, tuple[float, float, bool]] = {}
+        by_key: dict[int, tuple[float, bool]] = {}
 
         class Values(dict):
-            def __missing__(self, word: bytes) -> tuple[float, float, bool]:
+            def __missing__(self, word: bytes) -> tuple[float, bool]:
                 self[word] = v = by_key[key_of(word)]
                 return v
 
         value_of = Values()
         for batch in batches:
-            block, is_text, *values, texts = (batch.column(i).to_pylist() for i in range(7))
+            block, is_text, *values, texts = (batch.column(i).to_pylist() for i in range(6))
             entries = zip(*values, strict=True)
-            picked, results = [], []
-            for i, (key, cost, base, known) in enumerate(entries):
+            picked, results, raw, scores, size = [], [], [], [], 0
+            for i, (key, base, known) in enumerate(entries):
                 if block[i] != at:
                     at = block[i]
                     by_key.clear()
                     value_of.clear()
                 if not is_text[i]:
-                    by_key[key] = (cost, base, known)
+                    by_key[key] = (base, known)
                     continue
-                found = list(map(value_of.__getitem__, texts[i].encode().lower().split()))
-                cost, base, known = map(math.fsum, zip(*found, strict=True)) if found else (0.0, 0.0, 0)
-                results.append((len(found) + 1, int(known) + end_known, total, base + end_base, cost + end_cost))
+                raw.append(texts[i].encode())
+                found = list(map(value_of.__getitem__, raw[-1].lower().split()))
+                base, known = map(math.fsum, zip(*found, strict=True)) if found else (0.0, 0)
+                results.append((len(found) + 1, int(known) + end_known, total, base + end_base, len(raw[-1])))
                 picked.append(i)
-            own_columns = [batch.column(7 + j).take(pa.array(picked, pa.int64())) for j in range(len(kept))]
-            columns = [pa.array([r[j] for r in results], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*own_columns, *columns], names=[*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                size += len(raw[-1])
+                if size >= TOGETHER:
+                    scores.extend(shared.value.cost(raw).tolist())
+                    raw, size = [], 0
+            if raw:
+                scores.extend(shared.value.cost(raw).tolist())
+            results = [(*r[:4], s, -s * math.log2(10) / r[4] if r[4] else None) for r, s in zip(results, scores, strict=True)]
+            own_columns = [batch.column(6 + j).take(pa.array(picked, pa.int64())) for j in range(len(kept))]
+            columns = [pa.array([r[j] for r in results], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*own_columns, *columns], names=[*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
     schema = rows.select(*kept).schema
-    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
+    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"), ("bits_per_byte", "double")):
         schema = schema.add(name, kind)
     return both.mapInArrow(run, schema)
 

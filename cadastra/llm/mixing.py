@@ -1,15 +1,18 @@
 """Bit predictors over hashed contexts, mixed by gated logistic weights and refined by an adaptive map.
 
-A piece is coded bit by bit, after a byte that says what kind of piece it is.
-Its contexts are the last 1, 2, 3 and 4 bytes and all bytes so far.
+A piece is a byte that isn't coded, and bytes that are: all of a text and an
+end.  They are coded bit by bit.  The contexts are the last 1, 2, 3, 4 and 6
+bytes, and the word so far with the white space after it, or, at the first
+byte of a word, all of the word before; so contexts reach across white space.
 Each context, with the bits of the current byte so far, is hashed to a slot
 that holds how often a 0 and a 1 followed in training.  The logarithms of the
-odds are summed with weights that a gate selects (place in the piece, bit, and how
-often the longest context has been seen); weights are learned online, by
+odds are summed with weights that a gate selects (place in the word, bit, and how
+often the word's context has been seen); weights are learned online, by
 gradient steps on coding cost.  At last a table
 (previous byte, mixed odds) says what odds really meant, and both are averaged.
 
-All pieces of a batch are walked at once, longest first, one bit at a time.
+Every bit only depends on bytes before it, and those are known beforehand, so
+all places of a window are walked at once, one bit at a time.
 """
 
 from __future__ import annotations
@@ -18,85 +21,134 @@ from collections.abc import Iterator
 
 import numpy as np
 
-ORDERS = (1, 2, 3, 4)
+ORDERS = (1, 2, 3, 4, 6)
 INPUTS = len(ORDERS) + 1
 BITS = 20
 SLOTS = 1 << BITS
-#: Added to both counts of a slot; places and levels of trust that gates tell apart; pieces walked at once.
-PRIOR, PLACES, LEVELS, BATCH = 0.3, 4, 4, 16384
+#: Added to both counts of a slot; places and levels of trust that gates tell apart; places of a text walked at once.
+PRIOR, PLACES, LEVELS, WINDOW = 0.3, 4, 4, 1 << 16
 GATES = PLACES * 8 * LEVELS
-#: Learning: step, pieces of a step at least and at most, and steps that a small corpus is gone through again for.
-RATE, LEAST_PIECES, MOST_PIECES, LEAST_STEPS = 0.5, 1024, 8192, 100
-#: Slots that are collected before they are counted at once.
-COLLECTED = 6_000_000
+#: Learning: rate, and places of a step; one pass, whatever the size of the corpus.
+RATE, STEP = 0.5, 8192
+#: Bytes whose slots are counted at once.
+COLLECTED = 1 << 17
 #: Steps of the refining map, and how many observations its first guess is worth.
 STEPS, GUESS = 33, 40.0
-_A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
+#: What lies before a piece; no UTF-8 text has that byte.
+EDGE = 0xFF
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_R = 0xD6E8FEB86659FD93
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32, EDGE]] = True
+_MIX = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for k in range(INPUTS)]
 
 
-class Batch:
-    """Pieces, longest first, as a padded matrix; the first column is the kind of the piece."""
+def _powers(base: int, n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
 
-    def __init__(self, pieces: list[bytes]):
-        size = np.array([len(p) - 1 for p in pieces], np.int64)
-        self.order = np.argsort(-size, kind="stable")
-        self.size = size[self.order]
-        most = int(self.size[0]) + 1 if len(pieces) else 0
-        self.raw = np.frombuffer(b"".join(pieces[i].ljust(most, b"\0") for i in self.order), np.uint8).reshape(len(pieces), most).astype(np.uint32)
 
-    def walk(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(first gate, rows, bits, slots by input, byte before) for each place and bit."""
-        raw, n = self.raw, len(self.raw)
-        every = np.zeros(n, np.uint32)
+#: Powers of an odd number and of its inverse modulo 2^64: hashes of all spans of a window come from one running sum.
+_POWER, _BACK = _powers(_R, WINDOW), _powers(pow(_R, -1, 1 << 64), WINDOW)
+
+
+class Window:
+    """Places that are coded of some bytes: for each its piece, byte, byte before, place in the word, and hashes of contexts."""
+
+    def __init__(self, piece: np.ndarray, byte: np.ndarray, before: np.ndarray, place: np.ndarray, hashes: list[np.ndarray]):
+        self.piece, self.byte, self.before, self.place, self.hashes = piece, byte, before, place, hashes
+
+    def walk(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """(gate without trust, bit, slots by input) for each bit."""
+        byte, node = self.byte.astype(np.uint64), np.ones(len(self.byte), np.uint64)
         with np.errstate(over="ignore"):
-            for at in range(1, raw.shape[1]):
-                n = int(np.searchsorted(-self.size, -at, side="right"))
-                if not n:
-                    return
-                every = (every[:n] ^ raw[:n, at - 1]) * _A + _C
-                hashes, h, back = [], np.zeros(n, np.uint32), 0
-                for k in ORDERS:
-                    while back < k:
-                        back += 1
-                        h = (h ^ (raw[:n, at - back] if back <= at else np.uint32(511))) * _B + np.uint32(back)
-                    hashes.append(h * _A + np.uint32(k))
-                hashes.append(every ^ _C)
-                byte, node = raw[:n, at], np.ones(n, np.uint32)
-                for bit in range(7, -1, -1):
-                    slots = np.stack([((h + node * _A) * _B ^ (h >> np.uint32(15))) * _C >> np.uint32(32 - BITS) for h in hashes])
-                    y = (byte >> np.uint32(bit)) & np.uint32(1)
-                    yield (min(at - 1, PLACES - 1) * 8 + bit) * LEVELS, n, y, slots, raw[:n, at - 1]
-                    node = node * np.uint32(2) + y
-
-
-def batches(pieces: list[bytes], size: int = BATCH) -> Iterator[tuple[int, Batch]]:
-    for i in range(0, len(pieces), size):
-        yield i, Batch(pieces[i : i + size])
+            for bit in range(7, -1, -1):
+                m = node * _B
+                slots = [((h + m) * _C >> np.uint64(64 - BITS)).view(np.int64) for h in self.hashes]
+                y = byte >> np.uint64(bit) & np.uint64(1)
+                yield (self.place * 8 + bit) * LEVELS, y.astype(np.float32), slots
+                node = node * np.uint64(2) + y
+
+
+def windows(pieces: list[bytes], size: int = WINDOW) -> Iterator[Window]:
+    """All coded places of the pieces, about `size` at a time; a long piece goes on in the next window with its contexts whole."""
+    pad = bytes([EDGE]) * max(ORDERS)
+    raw = np.frombuffer(pad + b"".join(pad[1:] + p for p in pieces), np.uint8)
+    lead, length = len(pad), np.array([len(p) + len(pad) - 1 for p in pieces], np.int64)
+    ends = lead + np.cumsum(length)
+    first = ends - length
+    # the hash and the length of the word that reaches into the window
+    carry, reach, was_space = 0, 0, True
+    with np.errstate(over="ignore"):
+        for at in range(lead, len(raw), size):
+            part = raw[at - lead : at + size]
+            own = part[lead:].astype(np.uint64)
+            n = len(own)
+            here = np.arange(n)
+            piece = np.searchsorted(ends, at + here, side="right")
+            offset = at + here - first[piece]
+            space = _SPACE[part]
+            space[lead - 1] = was_space
+            # words begin after white space; so does each piece, with the bytes before it
+            starts = (~space[lead:] & space[lead - 1 : -1]) | (offset == 0)
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((own + np.uint64(1)) * _POWER[:n], dtype=np.uint64)])
+            since = np.maximum.accumulate(np.where(starts, here, -1))
+            since = np.concatenate([[-1], since[:-1]])
+            inside = since >= 0
+            word = np.where(inside, (total[:-1] - total[np.maximum(since, 0)]) * _BACK[np.maximum(since, 0)], np.uint64(carry) + np.uint64(pow(_R, reach, 1 << 64)) * total[:-1])
+            dist = np.where(inside, here - since, here + reach)
+            place = np.where(space[lead - 1 : -1], 0, np.minimum(dist, PLACES - 1))
+            # one byte at the end of the pads isn't coded either
+            coded = np.flatnonzero(offset >= lead)
+            last = int(np.flatnonzero(starts)[-1]) if starts.any() else -1
+            if last >= 0:
+                carry, reach = int((total[n] - total[last]) * _BACK[last]), n - last
+            else:
+                carry, reach = (carry + pow(_R, reach, 1 << 64) * int(total[n])) % (1 << 64), reach + n
+            was_space = bool(space[-1])
+            if not len(coded):
+                continue
+            hashes, context = [], np.zeros(len(coded), np.uint64)
+            for back in range(1, max(ORDERS) + 1):
+                context = context | part[lead - back + coded].astype(np.uint64) << np.uint64(8 * (back - 1))
+                if back in ORDERS:
+                    hashes.append(context)
+            hashes.append(word[coded] ^ dist[coded].astype(np.uint64) << np.uint64(48))
+            for k, h in enumerate(hashes):
+                h = (h + _MIX[k]) * _A
+                h = (h ^ h >> np.uint64(29)) * _B
+                hashes[k] = h ^ h >> np.uint64(32)
+            yield Window(piece[coded], own[coded], part[lead - 1 + coded].astype(np.int64), place[coded], hashes)
 
 
 def count(pieces: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
     """Add what the pieces say to counts, of shape (2, INPUTS, SLOTS)."""
-    flat = counts.reshape(-1)
-    offset = (np.arange(INPUTS, dtype=np.int64) * SLOTS)[:, None]
-    cells: list[np.ndarray] = []
+    ones = bool((times == 1).all())
+    cells: list[list[np.ndarray]] = [[] for _ in range(INPUTS)]
     weights: list[np.ndarray] = []
     held = 0
 
     def add() -> None:
-        flat[:] += np.bincount(np.concatenate(cells), np.concatenate(weights), minlength=flat.size)
-        cells.clear()
+        t = None if ones else np.concatenate(weights)
+        for k in range(INPUTS):
+            found = np.bincount(np.concatenate(cells[k]), t, minlength=2 * SLOTS)
+            counts[:, k] += found.reshape(2, SLOTS)
+            cells[k].clear()
         weights.clear()
 
-    for i, b in batches(pieces):
-        t = times[i : i + BATCH][b.order].astype(np.float32)
-        for _, n, y, slots, _ in b.walk():
-            cells.append((slots + offset + y.astype(np.int64) * (INPUTS * SLOTS)).reshape(-1))
-            weights.append(np.tile(t[:n], INPUTS))
-            held += n * INPUTS
-            if held >= COLLECTED:
-                add()
-                held = 0
-    if cells:
+    for w in windows(pieces):
+        t = None if ones else times[w.piece]
+        for _, y, slots in w.walk():
+            one = y.astype(np.int64) << BITS
+            for k in range(INPUTS):
+                cells[k].append(slots[k] + one)
+            if not ones:
+                weights.append(t)
+        held += len(w.piece)
+        if held >= COLLECTED:
+            add()
+            held = 0
+    if held:
         add()
 
 
@@ -114,13 +166,10 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _without_own(counts: np.ndarray, slots: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _without_own(counts: np.ndarray, slots: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Odds at the slots, and level, as they were without one occurrence of the bit itself."""
-    zero, one = np.empty(slots.shape, np.float32), np.empty(slots.shape, np.float32)
-    for k, s in enumerate(slots):
-        np.take(counts[0, k], s, out=zero[k])
-        np.take(counts[1, k], s, out=one[k])
-    y = y.astype(np.float32)
+    zero = np.stack([counts[0, k].take(s) for k, s in enumerate(slots)])
+    one = np.stack([counts[1, k].take(s) for k, s in enumerate(slots)])
     one -= y
     zero -= 1 - y
     np.maximum(one, 0, out=one)
@@ -139,29 +188,32 @@ def step_of(z: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(z * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
+def _mixed(x: list[np.ndarray] | np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    z = np.zeros(len(gate), np.float32)
+    for k in range(INPUTS):
+        z += weights[:, k].take(gate) * x[k]
+    return z
+
+
 def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray, weights: np.ndarray, seen: np.ndarray) -> None:
-    """Online passes: weights move with every step, place and bit.
+    """One online pass over all places: weights move with every step and bit.
 
-    The last pass also adds to seen, of shape (2, 256 * STEPS), how often bits and ones came with each byte before and
+    It also adds to seen, of shape (2, 256 * STEPS), how often bits and ones came with each byte before and
     step of mixed odds, as they were before the weights moved.
     """
-    size = max(LEAST_PIECES, min(MOST_PIECES, len(pieces) // LEAST_STEPS))
-    passes = max(1, min(20, -(-LEAST_STEPS * size // max(1, len(pieces)))))
-    for left in range(passes - 1, -1, -1):
-        for i, b in batches(pieces, size):
-            t = times[i : i + size][b.order].astype(np.float32)
-            for first, n, y, slots, before in b.walk():
-                x, trust = _without_own(counts, slots, y)
-                gate = first + trust.astype(np.int64)
-                z = np.einsum("ki,ik->i", x, weights[gate])
-                error = t[:n] * (y - sigmoid(z))
-                total = np.bincount(trust, t[:n], minlength=LEVELS)
-                for k in range(INPUTS):
-                    weights[first : first + LEVELS, k] += RATE * np.bincount(trust, x[k] * error, minlength=LEVELS) / (total + 50.0)
-                if not left:
-                    cell = before.astype(np.int64) * STEPS + step_of(z)
-                    seen[0] += np.bincount(cell, t[:n], minlength=seen.shape[1])
-                    seen[1] += np.bincount(cell, t[:n] * y, minlength=seen.shape[1])
+    for w in windows(pieces, STEP):
+        t = times[w.piece].astype(np.float32)
+        for first, y, slots in w.walk():
+            x, trust = _without_own(counts, slots, y)
+            gate = first + trust
+            z = _mixed(x, gate, weights)
+            error = t * (y - sigmoid(z))
+            total = np.bincount(gate, t, minlength=GATES) + 50.0
+            for k in range(INPUTS):
+                weights[:, k] += RATE * np.bincount(gate, x[k] * error, minlength=GATES) / total
+            cell = w.before * STEPS + step_of(z)
+            seen[0] += np.bincount(cell, t, minlength=seen.shape[1])
+            seen[1] += np.bincount(cell, t * y, minlength=seen.shape[1])
 
 
 def refining(seen: np.ndarray) -> np.ndarray:
@@ -173,14 +225,12 @@ def cost(pieces: list[bytes], table: np.ndarray, trust: np.ndarray, weights: np.
     """log10 of the probability of each piece."""
     out = np.zeros(len(pieces))
     w = weights.astype(np.float32)
-    for i, b in batches(pieces):
-        total = np.zeros(len(b.order))
-        for first, n, y, slots, before in b.walk():
-            own = w[first : first + LEVELS][trust[slots[-1]]]
-            z = np.zeros(n, np.float32)
-            for k in range(INPUTS):
-                z += own[:, k] * table[k][slots[k]]
-            p = 0.5 * (sigmoid(z) + refine[before.astype(np.int64) * STEPS + step_of(z)])
-            total[:n] += np.log10(np.clip(np.where(y == 1, p, 1 - p), 1e-7, 1.0))
-        out[i + b.order] = total
+    for part in windows(pieces):
+        total = np.zeros(len(part.piece))
+        for first, y, slots in part.walk():
+            z = _mixed([table[k].take(s) for k, s in enumerate(slots)], first + trust.take(slots[-1]), w)
+            p = 0.5 * (sigmoid(z) + refine.take(part.before * STEPS + step_of(z)))
+            p = np.clip(p.astype(np.float64), 1e-7, 1 - 1e-7)
+            total += np.log10(np.where(y == 1, p, 1 - p))
+        out += np.bincount(part.piece, total, minlength=len(pieces))
     return out

@@ -50,3 +50,34 @@ def test_probabilities_of_a_byte_add_up():
     cost = mixing.cost([b"\x01a" + bytes([b]) for b in range(256)], table, trust, mixing.first_weights(), mixing.refining(np.zeros((2, 256 * mixing.STEPS))))
     first = mixing.cost([b"\x01a"], table, trust, mixing.first_weights(), mixing.refining(np.zeros((2, 256 * mixing.STEPS))))
     assert math.isclose(sum(10 ** (cost - first)), 1.0, rel_tol=1e-3)
+
+
+def test_whole_text_is_coded(spark, shared):
+    """Case, white space and the order of words all cost bits, and every byte of a text has its share."""
+    texts = ["The cat sat on the mat. ", "the dog ran to the old barn.\n"] * 40
+    asked = ["the cat sat on the mat.", "THE CAT SAT ON THE MAT.", "the  cat\nsat on the\tmat.", "mat. the on sat cat the", "the cat sat on the mat.", "", "é" * 70_000 + " \0x"]
+    docs = spark.createDataFrame([(i, t, i < len(texts)) for i, t in enumerate(texts + asked)], "doc_id long, text string, train boolean")
+    rows = {r.doc_id - len(texts): r for r in lm.scored(docs, shared, F.col("train"), ["doc_id"]).collect()}
+    assert len({rows[i].score for i in range(4)}) == 4 and rows[0].score == rows[4].score
+    assert rows[0].score > max(rows[i].score for i in (1, 2, 3))
+    assert rows[5].bits_per_byte is None
+    for i in (0, 1, 2, 3, 6):
+        assert math.isclose(rows[i].bits_per_byte, -rows[i].score * math.log2(10) / len(asked[i].encode()))
+
+
+def test_windows_do_not_change_contexts():
+    """A piece has the same contexts wherever windows are cut and whatever lies before it."""
+    import numpy as np
+
+    pieces = [b"\xffab cd  ef\xff", b"\xff" + b"word" * 50 + b" and on\xff", b"\xff\xff", b"\xff  x y\xff"]
+
+    def contexts(pieces, size):
+        parts = list(mixing.windows(pieces, size))
+        return np.concatenate([np.stack([w.piece.astype(np.uint64), w.byte.astype(np.uint64), w.place.astype(np.uint64), *w.hashes]) for w in parts], axis=1)
+
+    whole = contexts(pieces, 1 << 16)
+    assert whole.shape[1] == sum(len(p) - 1 for p in pieces)
+    for size in (1, 7, 64):
+        assert (contexts(pieces, size) == whole).all()
+    for i, p in enumerate(pieces):
+        assert (contexts([p], 64)[1:] == whole[1:, whole[0] == i]).all()
