@@ -5,11 +5,13 @@ entity are its lexical pattern.  Patterns and instances (the identifier-like
 strings of the corpus) form a bipartite graph, which Spark scores in rounds: a
 pattern is as good as the share of its occurrences in the whole corpus that
 precede a trusted instance, and an instance is as good as the patterns it
-occurs with.  What good patterns precede is trusted in the next round, and all
-mentions of instances trusted at the end are added to the base spans.
+occurs with.  What good patterns precede is trusted in the next round, and may
+support patterns that no seed did; rounds end when no trust grows any more.
+All mentions of instances trusted then are added to the base spans.
 
-Only DataFrame functions are used.  Texts are read twice (to find mentions,
-and to count how often the patterns occur) and never moved.  A text with b base
+Only DataFrame functions are used.  Texts are read to find mentions, and once
+more in each round that brings new patterns, to count how often these occur;
+they are never moved.  A text with b base
 spans and c identifier-like strings takes b * c comparisons.
 """
 
@@ -32,8 +34,10 @@ LIKE = r"(?<!\S)(?=\S{5})[^\s0-9@]*+[0-9@][^\s0-9@]*+[0-9@]\S*+"
 EDGE = r"""["'()\[\]{}<>,.;:!?=]"""
 #: Characters of a discovered identifier; letters and digits it has at least; characters before a mention that hold its pattern.
 LEAST_CHARS, LEAST_DIGITS, CONTEXT = 5, 2, 80
-#: Distinct trusted instances that a pattern needs; confidence from which patterns and instances are trusted; rounds.
-SUPPORT, TRUST, ROUNDS = 3, 0.5, 3
+#: Distinct trusted instances that a pattern needs; confidence from which patterns and instances are trusted.
+SUPPORT, TRUST = 3, 0.5
+#: Rounds end when the trust of all instances together grows by less than this, so that no single one does by more.
+SETTLED = 1e-3
 #: Patterns up to which they are sent to every executor to count them; more are joined by shuffling.
 MOST_PATTERNS = 1_000_000
 #: Shares of the documents of which one is counted before the others.
@@ -203,22 +207,35 @@ def discovered(docs: DataFrame, found: DataFrame, path: str, text: str) -> DataF
     every = seeds.unionByName(others).select("k", "th", "start", "end", "rank", F.xxhash64(F.lower("value")).alias("instance"), _key(pattern_of(F.col("before"))).alias("pattern"), pattern_of(F.col("before")).isNotNull().alias("has"))
     every = stored(every, f"{path}/every")
     edges = every.where("has").groupBy("pattern", "instance", "rank").agg(F.count(F.lit(1)).alias("n"))
-    supported = edges.where("rank >= 0").groupBy("pattern").agg(F.count_distinct("instance").alias("support")).where(F.col("support") >= SUPPORT)
     edges = stored(edges, f"{path}/edges")
-    most = edges.groupBy("pattern").agg(F.sum("n").alias("most"))
-    supported = stored(supported.join(most, "pattern").select("pattern", "most"), f"{path}/supported")
-    total = stored(totals(docs, text, supported, path), f"{path}/total")
-    trust = stored(edges.where("rank >= 0").groupBy("instance").agg(F.max("rank").alias("rank")).withColumn("trust", F.lit(1.0)), f"{path}/trust0")
-    for k in range(1, ROUNDS + 1):
+    most = stored(edges.groupBy("pattern").agg(F.sum("n").alias("most")), f"{path}/most")
+    seeds_only = stored(edges.where("rank >= 0").groupBy("instance").agg(F.max("rank").alias("rank")).withColumn("trust", F.lit(1.0)), f"{path}/trust0")
+    learnt = seeds_only.limit(0)
+    trust, before, k = seeds_only, 0.0, 0
+    asked, total = most.select("pattern").limit(0), most.select("pattern", F.col("most").alias("n")).limit(0)
+    while True:
+        k += 1
         known = edges.drop("rank").join(trust, "instance")
         good = known.groupBy("pattern", "rank").agg(F.sum(F.col("trust") * F.col("n")).alias("weight"), F.count_distinct("instance").alias("support"))
         good = good.groupBy("pattern").agg(F.sum("weight").alias("weight"), F.sum("support").alias("support"), F.max(F.struct("weight", "rank"))["rank"].alias("rank"))
-        scored = good.where(F.col("support") >= SUPPORT).join(total, "pattern").select("pattern", "rank", F.least(F.lit(1.0), F.col("weight") / F.col("n")).alias("confidence"))
+        good = stored(good.where(F.col("support") >= SUPPORT), f"{path}/good{k}")
+        fresh = stored(good.select("pattern").join(asked, "pattern", "left_anti").join(most, "pattern"), f"{path}/fresh{k}")
+        if not fresh.isEmpty():
+            total = stored(total.unionByName(totals(docs, text, fresh, f"{path}/round{k}")), f"{path}/total{k}")
+            asked = stored(asked.unionByName(fresh.select("pattern")), f"{path}/asked{k}")
+        scored = good.join(total, "pattern").select("pattern", "rank", F.least(F.lit(1.0), F.col("weight") / F.col("n")).alias("confidence"))
         scored = scored.where(F.col("confidence") >= TRUST)
         doubt = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))
         new = edges.where("rank < 0").select("pattern", "instance").distinct().join(scored, "pattern").groupBy("instance").agg((1 - doubt).alias("trust"), F.max(F.struct("confidence", "rank"))["rank"].alias("rank"))
-        seeds_only = trust.where("trust = 1.0") if k == 1 else trust
-        trust = stored(seeds_only.unionByName(new.join(seeds_only.select("instance"), "instance", "left_anti").select("instance", "rank", "trust")), f"{path}/trust{k}")
+        new = new.join(seeds_only.select("instance"), "instance", "left_anti").select("instance", "rank", "trust")
+        # trust only grows, and has a bound, so rounds come to an end
+        best = F.max(F.struct("trust", "rank"))
+        learnt = stored(learnt.unionByName(new).groupBy("instance").agg(best.alias("b")).select("instance", "b.rank", "b.trust"), f"{path}/trust{k}")
+        trust = seeds_only.unionByName(learnt)
+        now = learnt.agg(F.coalesce(F.sum("trust"), F.lit(0.0))).first()[0]
+        if now - before < SETTLED:
+            break
+        before = now
     late = trust.where(F.col("trust") >= TRUST).select("instance", F.col("rank").alias("as"))
     return every.where("rank < 0").join(late, "instance").select("k", "th", F.col("as").alias("rank"), "start", "end")
 

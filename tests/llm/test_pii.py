@@ -97,3 +97,19 @@ def test_redaction(spark, shared):
 
 def test_hash_of_no_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+@pytest.mark.parametrize("steps", [1, 5])
+def test_discovered_instances_support_new_patterns(spark, shared, steps):
+    """A chain: seeds, a pattern, instances, the next pattern, and so on; what only the last pattern precedes is found."""
+    names = ["alpha", "beta", "gamma", "delta", "kappa", "sigma"][: steps + 1]
+    rows = [f"note alpha code u{i}@site{i}.example end" for i in range(12)]
+    for j, (a, b) in enumerate(zip(names, names[1:], strict=False)):
+        for i in range(4):
+            rows += [f"note {a} code k{j}{i}zz end"] + [f"note {b} code k{j}{i}zz end"] * 3
+    rows += [f"note {names[-1]} code last77 end", "note omega code other88 end"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.k: r.spans for r in pii.personal_data(docs, shared).select("k", pii.joined(pii.F.col("spans")).alias("spans")).collect()}
+    start = rows[-2].index("last77")
+    assert found[len(rows) - 2] == f"email:{start}:{start + 6}" and found[len(rows) - 1] == ""
+    assert all(v for k, v in found.items() if k < len(rows) - 1)
