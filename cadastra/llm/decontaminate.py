@@ -6,7 +6,9 @@ and ignores those between, so that a replaced token there leaves the hash as it
 is.  Every seed of every document is looked up among those of the benchmark; a
 hit fixes how the item lies in the document.  The item is then compared along
 that diagonal, token by token: the overlap counts if within some WINDOW
-neighbouring tokens at least NEED agree.
+neighbouring tokens at least NEED agree.  The masks are chosen so that whatever
+so counts has a hit by some mask.  Items shorter than SPAN are looked up whole,
+by the hash of all their tokens.
 
 Only DataFrame functions are used.  Of a document, nothing is moved but its
 hits; texts are read again for documents that have any.
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.common import shared_dir, stored, table
 
-#: Fixed masks, as the places of the pairs of neighbouring tokens that are hashed: 110110011 and 1100011011.
-PAIRS = ((0, 3, 7), (0, 5, 8))
+#: Fixed masks, as the places of the pairs of neighbouring tokens that are hashed: 110110011, 1100011011, 1111011 and 111100011.
+PAIRS = ((0, 3, 7), (0, 5, 8), (0, 2, 5), (0, 2, 7))
 SPAN = max(p[-1] for p in PAIRS) + 2
 #: Neighbouring tokens that are judged together, and how many of them must agree.
 WINDOW, NEED = 12, 10
@@ -39,36 +41,47 @@ def _pairs(h: Column) -> Column:
     return F.when(n > 0, F.zip_with(F.slice(h, 1, F.greatest(n, F.lit(1))), F.slice(h, 2, F.greatest(n, F.lit(1))), lambda a, b: F.xxhash64(a, b))).otherwise(F.array().cast("array<long>"))
 
 
+def _placed(last: Column, seed) -> Column:
+    """Array of (at, seed(at)) for places from 0 to last; empty where last is negative."""
+    one = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(i.alias("at"), seed(i).alias("seed")))
+    return F.when(last >= 0, one).otherwise(F.array().cast("array<struct<at: int, seed: bigint>>"))
+
+
 def _seeds(pairs: Column, mask: tuple[int, ...], number: int) -> Column:
-    def seed(i: Column) -> Column:
-        return F.xxhash64(F.lit(number), *(F.get(pairs, i + p) for p in mask))
+    return _placed(F.size(pairs) - 1 - mask[-1], lambda i: F.xxhash64(F.lit(number), *(F.get(pairs, i + p) for p in mask)))
+
 
-    last = F.size(pairs) + 1 - SPAN
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), seed)).otherwise(F.array().cast("array<long>"))
+def _wholes(h: Column, n: int) -> Column:
+    """Seeds of all runs of n tokens; numbered apart from the masks."""
+    return _placed(F.size(h) - n, lambda i: F.xxhash64(F.lit(len(PAIRS) + n), *(F.get(h, i + j) for j in range(n))))
 
 
-def seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """rows with the column h (token hashes) as (keep, at, seed): one row for each mask and place."""
-    paired = rows.select(*keep, _pairs(F.col("h")).alias("p"))
-    lists = paired.select(*keep, *(_seeds(F.col("p"), m, k).alias(f"m{k}") for k, m in enumerate(PAIRS)))
-    every = lists.select(*keep, F.size("m0").alias("n"), F.posexplode(F.concat(*(F.col(f"m{k}") for k in range(len(PAIRS))))).alias("i", "seed"))
-    return every.select(*keep, (F.col("i") % F.col("n")).alias("at"), "seed")
+def seeds(rows: DataFrame, keep: list[str], short: list[int]) -> DataFrame:
+    """rows with the column h (token hashes) as (keep, at, seed): one row for each mask, and each length in `short`, and place."""
+    paired = rows.select(*keep, "h", _pairs(F.col("h")).alias("p"))
+    lists = F.concat(*(_seeds(F.col("p"), m, k) for k, m in enumerate(PAIRS)), *(_wholes(F.col("h"), n) for n in short))
+    return paired.select(*keep, F.explode(lists).alias("s")).select(*keep, "s.at", "s.seed")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, path: str, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(k, th, item, matched): rows of docs (by key and hash of text) with an overlap, and the most tokens that agree along one diagonal.
 
-    Null and empty texts have no tokens.  Items of fewer than SPAN tokens are
-    not looked for: so little agrees by chance.  Items between SPAN and WINDOW
-    tokens are judged whole, at the same share.  A null key is kept as it is;
+    Null and empty texts have no tokens.  Items of fewer than SPAN tokens must
+    occur whole, token by token: so little agrees by chance.  Items between SPAN
+    and WINDOW tokens are judged whole, at the same share.  A null key is kept as it is;
     rows equal in key and text are one document.
     """
-    items = stored(benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("h")).where(F.size("h") >= SPAN).distinct(), f"{path}/items")
-    wanted = stored(seeds(items.select("item", "h"), ["item"]).distinct(), f"{path}/seeds")
+    items = stored(benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("h")).where(F.size("h") > 0).distinct(), f"{path}/items")
+    long, size = items.where(F.size("h") >= SPAN).select("item", "h"), F.size("h")
+    short = sorted(r.n for r in items.where(size < SPAN).select(size.alias("n")).distinct().collect())
+    wanted = seeds(long, ["item"], [])
+    for n in short:
+        wanted = wanted.unionByName(items.where(size == n).select("item", F.explode(_wholes(F.col("h"), n)).alias("s")).select("item", "s.at", "s.seed"))
+    wanted = stored(wanted.distinct(), f"{path}/seeds")
     few = wanted.limit(MOST_SEEDS + 1).count() <= MOST_SEEDS
     wanted = wanted.select("item", F.col("at").alias("item_at"), "seed")
     base = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text"))
-    own = seeds(base.select("k", "th", tokens(F.col("text")).alias("h")), ["k", "th"])
+    own = seeds(base.select("k", "th", tokens(F.col("text")).alias("h")), ["k", "th"], short)
     hits = own.join(F.broadcast(wanted) if few else wanted, "seed")
     cases = stored(hits.select("k", "th", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), f"{path}/cases")
 
@@ -83,7 +96,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, path: str, key: str = "doc_i
     agree = F.zip_with(F.slice("h", start + 1, length), F.slice("ih", skipped + 1, length), lambda a, b: (a == b).cast("int"))
     lined = laid.select("k", "th", "item", F.size("ih").alias("n"), agree.alias("agree"))
     window = F.least(F.lit(WINDOW), F.col("n"))
-    need = F.ceil(window * NEED / WINDOW)
+    need = F.when(F.col("n") < SPAN, F.col("n")).otherwise(F.ceil(window * NEED / WINDOW))
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("agree") - window + 1)), lambda i: F.aggregate(F.slice("agree", i, window), F.lit(0), lambda s, x: s + x)))
     judged = lined.select("k", "th", "item", F.aggregate("agree", F.lit(0), lambda s, x: s + x).alias("matched"), (best >= need).alias("found"))
     return judged.where("found").groupBy("k", "th", "item").agg(F.max("matched").alias("matched"))

@@ -28,3 +28,19 @@ def test_overlaps(spark, shared):
 def test_empty_tables(spark, shared):
     assert found(spark, f"{shared}/a", [], [(1, ITEM)]) == {}
     assert found(spark, f"{shared}/b", [ITEM], []) == {}
+
+
+def test_all_that_counts_has_a_hit(spark, shared):
+    """Every way to replace 1 of 10, 1 of 11 and 2 of 12 tokens of a lone passage; any longer overlap has one of these in it."""
+    from itertools import combinations
+
+    cases = [(n, bad) for n, most in ((10, 1), (11, 1), (12, 2)) for bad in combinations(range(n), most)]
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in (10, 11, 12)]
+    texts = [" ".join("other" if i in bad else f"w{n}x{i}" for i in range(n)) for n, bad in cases]
+    got = found(spark, shared, texts, items)
+    assert {k: v[0] for k, v in got.items()} == {k: str(n) for k, (n, _) in enumerate(cases)}
+
+
+def test_short_items_are_looked_up_whole(spark, shared):
+    texts = ["so we ask: What is the CAPITAL of France? yes", "what is the capital of spain", "what is the capital of", "word", "a sword"]
+    assert found(spark, shared, texts, [(1, "What is the capital of France"), (2, "word")]) == {0: ("1", 6), 3: ("2", 1)}
