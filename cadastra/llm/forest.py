@@ -310,7 +310,9 @@ def links(docs: DataFrame, units: DataFrame, loose: DataFrame, path: str, key: s
 
 
 def near_duplicates(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of docs: k, th, n_shingles and component, the least key of all rows that links lead to.
+    """Per row of docs: k, th, n_shingles, component (the least key of all rows that links lead to) and group.
+
+    group tells components apart whose least keys are equal; null without shingles.
 
     Null and blank texts have no shingles and no links; equal sets are always
     linked.  Rows without key count as having the largest; rows that repeat
@@ -323,8 +325,8 @@ def near_duplicates(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     found = components(links(docs, units, loose, path, key, text, width, percent), f"{path}/found")
     member = units.select("node", "k").join(found, "node", "left")
     least = member.where("root is not null").groupBy("root").agg(F.min("k").alias("least"))
-    named = stored(member.join(least, "root", "left").select("node", F.coalesce("least", "k").alias("component")), f"{path}/named")
-    return rows.select("k", "th", "n_shingles", "node").join(named, "node", "left").select("k", "th", "n_shingles", F.coalesce("component", "k").alias("component"))
+    named = stored(member.join(least, "root", "left").select("node", F.coalesce("least", "k").alias("component"), F.coalesce("root", "node").alias("group")), f"{path}/named")
+    return rows.select("k", "th", "n_shingles", "node").join(named, "node", "left").select("k", "th", "n_shingles", F.coalesce("component", "k").alias("component"), "group")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,11 +27,23 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity from 0.8) the document with the least id stays."""
-    found = forest.near_duplicates(docs, shared_dir(spark), width=5, percent=80)
-    gone = found.where(F.col("k") != F.col("component")).select("k", "th").distinct()
-    key = F.coalesce(F.col("doc_id"), F.lit(forest.NO_KEY))
-    return docs.join(gone, (key == gone.k) & (F.xxhash64("text") == gone.th), "left_anti").select(*COLUMNS)
+    """Of each group of near duplicates (five-word shingles, similarity from 0.8) one row stays.
+
+    It is the one with the least id, then the least hash of its text, then the least of rows equal in both; a missing id
+    counts as the largest.  Texts without shingles (null or blank) are in no group, and stay.
+    """
+    path = shared_dir(spark)
+    found = forest.near_duplicates(docs, path, width=5, percent=80).where("group is not null")
+    each = stored(found.groupBy("group", "k", "th").agg(F.count(F.lit(1)).alias("n")), f"{path}/each")
+    first = each.groupBy("group").agg(F.min(F.struct("k", "th")).alias("first"))
+    stays = F.struct("k", "th") == F.col("first")
+    # of what stays, only rows that others equal are looked at again
+    judged = stored(each.join(first, "group").where(~stays | (F.col("n") > 1)).select("k", "th", stays.alias("stays")), f"{path}/judged")
+    key, th = F.coalesce(F.col("doc_id"), F.lit(forest.NO_KEY)), F.xxhash64("text")
+    single = docs.join(judged, (key == judged.k) & (th == judged.th), "left_anti").select(*COLUMNS)
+    equal = judged.where("stays")
+    same = docs.join(equal, (key == equal.k) & (th == equal.th), "left_semi").select(key.alias("k"), th.alias("th"), F.struct(*COLUMNS).alias("row"))
+    return single.unionByName(same.groupBy("k", "th").agg(F.min("row").alias("row")).select("row.*"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

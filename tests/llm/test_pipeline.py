@@ -71,3 +71,12 @@ def test_token_ids(stages):
     for r in rows:
         ids = theirs.encode(before[r.doc_id] or "", add_special_tokens=False).ids
         assert list(r.token_ids) == ids and r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+
+
+def test_one_row_stays_without_or_with_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(None, a), (None, a + " more"), (None, b), (None, b), (7, c), (7, c), (7, c + " more"), (3, d), (None, d), (None, None), (None, None), (7, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    out = cp.drop_near_duplicates(spark, docs, "").collect()
+    left = [(r.doc_id, (r.text or " ")[0]) for r in out]
+    assert sorted(left, key=str) == sorted([(None, "a"), (None, "b"), (7, "c"), (3, "d"), (None, " "), (None, " "), (7, " ")], key=str)
