@@ -81,3 +81,22 @@ def test_windows_do_not_change_contexts():
         assert (contexts(pieces, size) == whole).all()
     for i, p in enumerate(pieces):
         assert (contexts([p], 64)[1:] == whole[1:, whole[0] == i]).all()
+
+
+def test_small_corpora_are_learnt_from_once():
+    """What is learnt from two full steps is what is learnt from one, then the other, however few they are."""
+    import numpy as np
+
+    # with what is laid between pieces, just one step
+    piece = (b"\xff" + b"ab c" * mixing.STEP)[: mixing.STEP - max(mixing.ORDERS) + 1]
+    counts = np.zeros((2, mixing.INPUTS, mixing.SLOTS), np.float32)
+    mixing.count([piece] * 2, np.ones(2), counts)
+
+    def learnt(*parts):
+        weights, seen = mixing.first_weights(), np.zeros((2, 256 * mixing.STEPS))
+        for p in parts:
+            mixing.learn(p, np.ones(len(p)), counts, weights, seen)
+        return weights, seen
+
+    (a, sa), (b, sb) = learnt([piece] * 2), learnt([piece], [piece])
+    assert (a == b).all() and (sa == sb).all() and sa[0].sum() == 2 * 8 * (len(piece) - 1)
