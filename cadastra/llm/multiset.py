@@ -12,11 +12,13 @@ equality; NEAR lanes, each of three 20-bit fields that count in how many
 paragraphs a hash bit is set.  The bits are random signs, so the inner product
 of two signed field vectors estimates how many paragraphs two texts share.
 
-Everything is a column expression: no Python on the executors, no shuffle.
+Everything is a column expression: no Python on the executors.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -107,24 +109,35 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return with_vector(docs, text, "fp_vector").withColumn("fingerprint", text_form(F.col("fp_vector")))
 
 
-def before(docs: DataFrame, path: str) -> DataFrame:
-    """For each distinct (k, h) of docs: the one before it in descending order of both; before the first: the last.
+def ranges(keys: DataFrame, parts: int) -> list[tuple[tuple[int, int], tuple[int, int]]]:
+    """The least and the largest (k, h) of up to `parts` ranges of about as many keys each, in ascending order."""
+    dealt = keys.select("k", "h").repartitionByRange(parts, "k", "h").groupBy(F.spark_partition_id().alias("range"))
+    me = F.struct("k", "h")
+    found = dealt.agg(F.min(me).alias("least"), F.max(me).alias("most")).collect()
+    return sorted((tuple(r.least), tuple(r.most)) for r in found) or [((0, 0), (0, 0))]
+
+
+def _pairs(of: list[tuple[int, int]]) -> Column:
+    return F.array(*(F.struct(F.lit(k).cast("long").alias("k"), F.lit(h).cast("long").alias("h")) for k, h in of))
 
-    Only keys are moved.  They are cut into ranges, stored, and numbered in
-    each range; the borders between ranges are one row for each range.
+
+def with_range(base: DataFrame, cut: list[tuple[tuple[int, int], tuple[int, int]]]) -> DataFrame:
+    """base, whose (k, h) are distinct, with the number of the range of each row and `lent`, false.
+
+    The last row of each range comes once more, lent to the range after it
+    (that of the last range to the first), where it stands before all others.
     """
-    order = [F.col("k").desc(), F.col("h").desc()]
-    keys = docs.groupBy("k", "h").agg(F.max("n_chars").alias("n"))
-    ids = stored(keys.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), path)
-    me = F.struct("k", "h", "n")
-    w = Window.partitionBy("range").orderBy(*order)
-    numbered = ids.select("k", "h", "range", me.alias("me"), F.lag(me).over(w).alias("prev"), F.lead(F.lit(True)).over(w).isNull().alias("last"))
-    ends = numbered.where("last").select("range", "me")
-    by = Window.orderBy("range")
-    end = F.coalesce(F.lag("me").over(by), F.last("me").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    joined = numbered.join(ends.select("range", end.alias("end")), "range")
-    prev = F.coalesce("prev", "end")
-    return joined.select("k", "h", prev["k"].alias("prev_k"), prev["h"].alias("prev_h"), prev["n"].alias("prev_n"))
+    me, n = F.struct("k", "h"), len(cut)
+    starts, step = [least for least, _ in cut[1:]], max(1, math.isqrt(n))
+    # first among every step-th border, then among those between two of them
+    large = F.size(F.filter(_pairs(starts[step - 1 :: step]), lambda x: x <= me)) if starts else F.lit(0)
+    small = F.size(F.filter(F.slice(_pairs(starts), F.col("__large") * step + 1, step), lambda x: x <= me)) if starts else F.lit(0)
+    placed = base.withColumn("__large", large).withColumn("range", F.col("__large") * step + small).drop("__large")
+    own = F.struct(F.col("range"), F.lit(False).alias("lent"))
+    end = F.get(_pairs([most for _, most in cut]), F.col("range"))
+    more = F.struct(F.pmod(F.col("range") + 1, F.lit(n)).alias("range"), F.lit(True).alias("lent"))
+    each = placed.select(*base.columns, F.explode(F.when(me == end, F.array(own, more)).otherwise(F.array(own))).alias("at"))
+    return each.select("at.range", "at.lent", *base.columns)
 
 
 def compare_with_edited(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,23 +148,34 @@ def compare_with_edited(docs: DataFrame, path: str, key: str = "doc_id", text: s
     document's next is the first.  A null text is empty; null keys come last;
     rows that share a key are ordered by a hash of their text, and rows equal
     in both count as one document, each of them returned.  An empty table
-    gives no rows.  Texts are shuffled once, and half of each once more.
+    gives no rows.
+
+    Keys alone are read first, to cut their order into ranges, as many as there
+    are shuffle partitions.  Then texts are shuffled once, to their ranges; in a
+    range, the next document is the row before, in ascending order.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.xxhash64(body).alias("h"), body.alias("text"))
-    links = before(base.select("k", "h", F.length("text").cast("long").alias("n_chars")), path)
-    # both joins read the same columns of `own`, so that Spark shuffles it once
-    own = with_vector(base, "text", "v")
-    lent = F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int"))
-    after = own.join(links, ["k", "h"]).select(F.col("prev_k").alias("k"), F.col("prev_h").alias("h"), F.struct(lent.alias("lent"), F.col("v").alias("v")).alias("next"))
-    after = after.groupBy("k", "h").agg(F.min("next").alias("next"))
+    keys = stored(base.groupBy("k", "h").agg(F.count(F.lit(1)).alias("copies")), f"{path}/keys")
+    copies = keys.where("copies > 1")
+    repeated = not copies.isEmpty()
+    if repeated:
+        base = base.groupBy("k", "h").agg(F.max("text").alias("text"))
+    cut = ranges(keys, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sorted_rows = with_range(base, cut).repartition("range").sortWithinPartitions("range", F.col("lent").desc(), "k", "h")
+    own = with_vector(sorted_rows, "text", "v")
+    w = Window.partitionBy("range").orderBy(F.col("lent").desc(), "k", "h")
+    both = own.select("*", F.lag("text").over(w).alias("next"), F.lag("v").over(w).alias("next_v")).where(~F.col("lent"))
     n = F.length("text")
     kept = F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
-    edited = own.join(after, ["k", "h"]).select("k", n.cast("long").alias("n_chars"), "v", F.col("next.v").alias("next_v"), F.concat(kept, F.col("next.lent")).alias("edited"))
+    given = F.substring("next", F.lit(1), F.floor(n / 2).cast("int"))
+    edited = both.select("k", "h", n.cast("long").alias("n_chars"), "v", "next_v", F.concat(kept, given).alias("edited"))
     hashed = with_vector(edited, "edited", "edited_v")
-    signs = hashed.select("k", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "v", "next_v", "edited_v", signed(F.col("v")).alias("s"), signed(F.col("next_v")).alias("next_s"), signed(F.col("edited_v")).alias("edited_s"))
+    signs = hashed.select("k", "h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "v", "next_v", "edited_v", signed(F.col("v")).alias("s"), signed(F.col("next_v")).alias("next_s"), signed(F.col("edited_v")).alias("edited_s"))
     c = F.col
-    return signs.select(
+    out = signs.select(
+        "k",
+        "h",
         F.nullif(c("k"), F.lit(NO_KEY)).alias(key),
         "n_chars",
         "edited_sha256",
@@ -160,6 +184,11 @@ def compare_with_edited(docs: DataFrame, path: str, key: str = "doc_id", text: s
         likeness(c("v"), c("edited_v"), c("s"), c("edited_s")).alias("near_edited"),
         likeness(c("v"), c("next_v"), c("s"), c("next_s")).alias("near_next"),
     )
+    if repeated:
+        times = copies.select("k", "h", F.sequence(F.lit(2), F.col("copies")).alias("more"))
+        again = out.join(times, ["k", "h"]).withColumn("more", F.explode("more")).drop("more")
+        out = out.unionByName(again)
+    return out.drop("k", "h")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
