@@ -29,10 +29,13 @@ def reduce_column(c: str, how: str, order: Column) -> Column:
         return F.count_distinct(x)
     if how == "mode":
         return F.mode(x, True)
-    if how in ("distinct", "join_nonnull"):
+    if how == "join_nonnull":
         pairs = F.array_sort(F.collect_list(F.when(x.isNotNull(), F.struct(order.alias("o"), x.cast("string").alias("v")))))
-        values = F.transform(pairs, lambda p: p["v"])
-        return F.nullif(F.array_join(F.array_distinct(values) if how == "distinct" else values, " | " if how == "distinct" else " + "), F.lit(""))
+        return F.nullif(F.array_join(F.transform(pairs, lambda p: p["v"]), " + "), F.lit(""))
+    if how == "distinct":
+        # a value's copies are dropped as they come, and only its first place is kept at the end
+        pairs = F.array_sort(F.collect_set(F.when(x.isNotNull(), F.struct(order.alias("o"), x.cast("string").alias("v")))))
+        return F.nullif(F.array_join(F.array_distinct(F.transform(pairs, lambda p: p["v"])), " | "), F.lit(""))
     if how == "list":
         return F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), x.alias("v")))), lambda p: p["v"])
     raise ValueError(f"unknown reduction: {how}")
@@ -89,3 +92,20 @@ def require_unique(df: DataFrame, *key: str) -> DataFrame:
     if again:
         raise ValueError(f"key {key} repeats: {again[0].asDict()}")
     return df
+
+
+def distinct_join(df: DataFrame, by: list[str], column: str, order: Column, out: str, separator: str = " | ") -> DataFrame:
+    """Distinct values of a column by key, joined in order of first appearance; repeated values are dropped before any list is made."""
+    stated = df.where(F.col(column).isNotNull()).dropna(subset=by)
+    once = stated.groupBy(*by, F.col(column).cast("string").alias("__v")).agg(F.min(order).alias("__o"))
+    listed = F.array_sort(F.collect_list(F.struct("__o", "__v")))
+    return once.groupBy(*by).agg(F.array_join(F.transform(listed, lambda p: p["__v"]), separator).alias(out))
+
+
+def join_addresses(df: DataFrame, by: list[str], column: str, order: Column, out: str) -> DataFrame:
+    """Addresses by key, joined by ' + ' in order; of those that differ in their unit or in case only, the first one."""
+    from cadastra.functions.addresses import without_unit
+
+    stated = df.where(F.trim(column) != "").dropna(subset=by)
+    once = stated.groupBy(*by, F.lower(without_unit(F.col(column))).alias("__base")).agg(F.min(F.struct(order.alias("o"), F.col(column).alias("v"))).alias("__first"))
+    return once.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list("__first")), lambda p: p["v"]), " + ").alias(out))

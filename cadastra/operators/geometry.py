@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BOX = ("xmin", "ymin", "xmax", "ymax")
+from cadastra.operators.overlays import BOX, meeting
 
 
 def cells(df: DataFrame, size: float, cx: str = "cx", cy: str = "cy") -> DataFrame:
@@ -22,16 +22,14 @@ def area(prefix: str = "") -> Column:
 def overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float) -> DataFrame:
     """(left id, right id, area, iou) of pairs that intersect and don't merely touch.
 
-    Pairs meet in grid cells; of the cells that both are in, only the one of the lower left corner of their
-    intersection reports them, so there is nothing to deduplicate afterwards.
+    Pairs meet in grid cells of their level (`overlays.meeting`): a box lies in a few cells however large it is.
     """
-    a = cells(left.select(left_id, *(F.col(c).alias(f"a_{c}") for c in BOX), *BOX), size).drop(*BOX)
-    b = cells(right.select(right_id, *(F.col(c).alias(f"b_{c}") for c in BOX), *BOX), size).drop(*BOX)
+    a = left.select(left_id, *(F.col(c).alias(f"a_{c}") for c in BOX))
+    b = right.select(right_id, *(F.col(c).alias(f"b_{c}") for c in BOX))
     x0, y0 = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin")
     x1, y1 = F.least("a_xmax", "b_xmax"), F.least("a_ymax", "b_ymax")
-    met = a.join(b, ["cx", "cy"]).where((x0 < x1) & (y0 < y1) & (F.floor(x0 / size) == F.col("cx")) & (F.floor(y0 / size) == F.col("cy")))
     inter = (x1 - x0) * (y1 - y0)
-    return met.select(left_id, right_id, inter.alias("area"), F.try_divide(inter, area("a_") + area("b_") - inter).alias("iou"))
+    return meeting(a, b, size).select(left_id, right_id, inter.alias("area"), F.try_divide(inter, area("a_") + area("b_") - inter).alias("iou"))
 
 
 def shares(pairs: DataFrame, entities: DataFrame, entity_id: str, reference_id: str) -> DataFrame:

@@ -48,8 +48,8 @@ def rank_in(df: DataFrame, by: str, value: str, row_id: str, out: str, qualifies
 
 
 def impute(df: DataFrame, by: str, value: str, statistic: str, least: int = 1, marker: str = "imputed") -> DataFrame:
-    """Gaps filled with the group's mean, median, or smallest most frequent value; {value}_source says `imputed`."""
-    stat = {"mean": F.avg(value), "median": F.median(value), "mode": F.mode(F.col(value), True)}[statistic]
+    """Gaps filled with the group's mean, median, least, largest, or smallest most frequent value; {value}_source says `imputed`."""
+    stat = {"mean": F.avg(value), "median": F.median(value), "mode": F.mode(F.col(value), True), "min": F.min(value), "max": F.max(value)}[statistic]
     stats = df.where(F.col(by).isNotNull()).groupBy(by).agg(F.when(F.count(value) >= least, stat).alias("__fill"))
     joined = df.join(stats, by, "left")
     filled = F.coalesce(F.col(value), F.col("__fill"))

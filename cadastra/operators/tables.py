@@ -113,3 +113,10 @@ def withhold(df: DataFrame, columns: list[str], restricted: list[str], admin: st
         hit = reduce(lambda a, b: a | b, (named[b] for b in bases))
         out[c] = F.when(~hit, F.col(c))
     return df.withColumns(out)
+
+
+def flag_reported(df: DataFrame, keys: list[str], kind: str, flagged: str, reference: str, out: str) -> DataFrame:
+    """Flags rows of one kind whose keys, all stated, a row of the other kind has too; nothing is dropped."""
+    known = df.where(F.col(kind) == reference).dropna(subset=keys).select(*keys).distinct().withColumn("__known", F.lit(True))
+    joined = df.join(known, keys, "left")
+    return joined.withColumn(out, F.coalesce((F.col(kind) == flagged) & F.col("__known"), F.lit(False))).drop("__known")

@@ -54,9 +54,13 @@ def link_by_id_flag(spark, d):
     return ln.link_by_id(load(spark, d, "customer").select("c_custkey"), _orders(spark, d).withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", {}, F.lit(0), mode="flag")
 
 
-@query("link_degenerate_keys", "select l_orderkey, l_linenumber from lineitem where l_suppkey not in (select l_suppkey from lineitem group by 1 having count(*) > greatest(100, (select count(*) * 0.001 from lineitem)))")
+@query("link_degenerate_keys", """with l as (select *, case when l_linenumber = 1 then l_returnflag else cast(l_orderkey as varchar) end as k from lineitem where l_linenumber <> 7)
+    select l_orderkey, l_linenumber from l where k not in (select k from l group by 1 having count(*) > greatest(100, (select count(*) * 0.001 from l)) and k <> 'R') and k <> '3'""")
 def link_degenerate_keys(spark, d):
-    return ln.blank_keys(_lines(spark, d), "l_suppkey").select("l_orderkey", "l_linenumber")
+    """First lines have one of three flags as key, far too many rows each; one of the flags is the key of just one row of the spine."""
+    rows = _lines(spark, d).where("l_linenumber <> 7").withColumn("k", F.when(c("l_linenumber") == 1, c("l_returnflag")).otherwise(c("l_orderkey").cast("string")))
+    spine = load(spark, d, "region").select(F.when(c("r_regionkey") == 0, "R").otherwise("A").alias("k"))
+    return ln.blank_keys(rows, "k", ("3",), spine=spine).select("l_orderkey", "l_linenumber")
 
 
 def _pairs(spark, d):
@@ -117,15 +121,15 @@ query("asof_forward", AS_OF.format("forward", "<="))(_as_of("forward"))
 
 @query(
     "transaction_cascade",
-    """with u as (select o_totalprice as k, min(o_orderkey) as r from orders group by 1 having count(*) = 1), n as (select c_nationkey as k, min(c_custkey) as r from customer where c_acctbal > 9000 group by 1 having count(*) = 1),
+    """with u as (select o_totalprice as k, min(o_orderkey) as r from orders group by 1 having count(*) = 1), n as (select c_custkey as k, min(c_nationkey) as r from customer group by 1 having count(*) = 1),
     s as (select s_suppkey as k, min(s_suppkey) as r from supplier group by 1 having count(*) = 1)
-    select l_orderkey, l_linenumber, coalesce(u.r, n.r, s.r) as target, case when u.r is not null then 'price' when n.r is not null then 'nation' when s.r is not null then 'supplier' end as link_method
-    from lineitem left join u on u.k = l_extendedprice left join n on n.k = l_linenumber left join s on s.k = l_suppkey""",
+    select l_orderkey, l_linenumber, coalesce(u.r, n.r, s.r) as target, case when u.r is not null then 'price' when n.r is not null then 'customer' when s.r is not null then 'supplier' end as link_method
+    from lineitem left join u on u.k = l_extendedprice left join n on n.k = l_partkey left join s on s.k = l_suppkey""",
 )
 def transaction_cascade(spark, d):
     passes = [
         ("price", _orders(spark, d).select(c("o_totalprice").alias("l_extendedprice"), c("o_orderkey").alias("r")), "l_extendedprice", "r"),
-        ("nation", load(spark, d, "customer").where("c_acctbal > 9000").select(c("c_nationkey").alias("l_linenumber"), c("c_custkey").alias("r")), "l_linenumber", "r"),
+        ("customer", load(spark, d, "customer").select(c("c_custkey").alias("l_partkey"), c("c_nationkey").cast("long").alias("r")), "l_partkey", "r"),
         ("supplier", load(spark, d, "supplier").select(c("s_suppkey").alias("l_suppkey"), c("s_suppkey").alias("r")), "l_suppkey", "r"),
     ]
     out = ln.cascade(_lines(spark, d), "l_orderkey", passes, "target")
@@ -198,11 +202,77 @@ def nominal_floor(spark, d):
     return sa.nominal_price_floor(_lines(spark, d), "l_returnflag", "l_quantity", cap=50.0, min_share=0.01, isolation=0.4)
 
 
-@query("connected_components")
+@query(
+    "connected_components",
+    """with m as (select c_nationkey as nk, min('c' || c_custkey) as component from customer group by 1)
+    select 'c' || c_custkey as node, component from customer join m on nk = c_nationkey union all select 'n' || nk, component from m
+    union all select 'o' || o_orderkey, component from orders join customer on c_custkey = o_custkey join m on nk = c_nationkey""",
+)
 def connected_components(spark, d):
-    """Parts and suppliers linked by line items of many pieces."""
+    """Orders linked to their customers, and these to their nations."""
     from cadastra.sources.store import scratch
 
-    rows = _lines(spark, d).where("l_quantity >= 50")
-    edges = rows.select(F.concat(F.lit("p"), "l_partkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b"))
-    return ln.chained_components(edges, "a", "b", scratch(spark))
+    customers = load(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("a"), F.concat(F.lit("n"), "c_nationkey").alias("b"))
+    orders = _orders(spark, d).select(F.concat(F.lit("o"), "o_orderkey").alias("a"), F.concat(F.lit("c"), "o_custkey").alias("b"))
+    return ln.chained_components(customers.union(orders), "a", "b", scratch(spark))
+
+
+# One key for all, and missing keys and dates: the hot cases of an as-of join.
+HOT = """with p as (select case when user_id % 3 = 0 then 0 else user_id end as u, ts, max(value) as price from events where event_type = 'purchase' group by 1, 2),
+v as (select event_id, case when user_id % 3 = 0 then 0 when user_id % 7 = 0 then null else user_id end as u, case when event_id % 11 <> 0 then ts end as ts from events where event_type <> 'purchase')
+select v.event_id, p.price, p.ts as at, case when v.u is null then 'no_key' when v.ts is null then 'no_date' when p.ts is null then null when p.ts = v.ts then 'exact' else '{0}_fallback' end as match_type from v asof left join p on v.u = p.u and v.ts {1} p.ts"""
+
+
+def _hot(direction: str):
+    def run(spark, d):
+        e = load(spark, d, "events")
+        hot = F.when(c("user_id") % 3 == 0, 0)
+        prices = e.where("event_type = 'purchase'").groupBy(hot.otherwise(c("user_id")).alias("u"), c("ts").alias("at")).agg(F.max("value").alias("price"))
+        views = e.where("event_type <> 'purchase'").select("event_id", hot.when(c("user_id") % 7 != 0, c("user_id")).alias("u"), F.when(c("event_id") % 11 != 0, c("ts")).alias("ts"))
+        return ln.as_of(views, prices, ["u"], "ts", "at", ["price"], direction).select("event_id", "price", "at", "match_type")
+
+    return run
+
+
+query("asof_hot_backward", HOT.format("backward", ">="))(_hot("backward"))
+query("asof_hot_forward", HOT.format("forward", "<="))(_hot("forward"))
+
+
+@query(
+    "asof_exact",
+    """with p as (select o_custkey as k, year(o_orderdate) as y, min(o_totalprice) as price from orders group by 1, 2) select c_custkey, p.price, p.y as at, case when p.y is not null then 'exact' end as match_type from customer left join p on k = c_custkey and y = 1995""",
+)
+def asof_exact(spark, d):
+    people = load(spark, d, "customer").select("c_custkey", F.lit(1995).alias("year"))
+    prices = _orders(spark, d).select(c("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("at"), c("o_totalprice").alias("price"))
+    return ln.as_of(people, prices, ["c_custkey"], "year", "at", ["price"], "exact").select("c_custkey", "price", "at", "match_type")
+
+
+@query(
+    "asof_ordered_keys",
+    """with p as (select o_custkey as k, o_orderstatus as s, year(o_orderdate) as y, min(o_totalprice) as price from orders group by 1, 2, 3), q as (select k, y, min(price) as price from p group by 1, 2),
+    n as (select c_custkey, case when c_custkey % 2 = 0 then 'P' else 'F' end as s, 1995 as year from customer),
+    a as (select n.*, p.price, p.y as "at" from n asof left join p on n.c_custkey = p.k and n.s = p.s and n.year >= p.y),
+    b as (select r.c_custkey, q.price, q.y as "at" from (select * from a where "at" is null) r asof left join q on r.c_custkey = q.k and r.year >= q.y)
+    select c_custkey, price, "at", case when "at" = 1995 then 'exact' else 'backward_fallback' end as match_type from a where "at" is not null
+    union all select c_custkey, price, "at", case when "at" is null then null when "at" = 1995 then 'exact' else 'backward_fallback' end from b""",
+)
+def asof_ordered_keys(spark, d):
+    """By customer and status first, by customer alone then."""
+    people = load(spark, d, "customer").select("c_custkey", F.when(c("c_custkey") % 2 == 0, "P").otherwise("F").alias("status"), F.lit(1995).alias("year"))
+    rows = _orders(spark, d).groupBy(c("o_custkey").alias("c_custkey"), c("o_orderstatus").alias("status"), F.year("o_orderdate").alias("at")).agg((-F.min("o_totalprice")).alias("minus"))
+    out = ln.as_of_by_turns(people, rows, [["c_custkey", "status"], ["c_custkey"]], "year", "at", ["minus"])
+    return out.select("c_custkey", (-c("minus")).alias("price"), "at", "match_type")
+
+
+@query(
+    "link_by_id_degenerate",
+    """with l as (select case when l_linenumber = 1 then 1 else l_orderkey end as k, l_quantity as q from lineitem), good as (select k from l group by 1 having count(*) <= greatest(100, (select count(*) * 0.001 from lineitem)))
+    select o_orderkey, count(q) as n from orders left join (select * from l where k in (select k from good)) on k = o_orderkey group by 1""",
+)
+def link_by_id_degenerate(spark, d):
+    """Counts by key, the key that first lines share left out: two rows of the spine have it."""
+    ref = _lines(spark, d).select(F.when(c("l_linenumber") == 1, 1).otherwise(c("l_orderkey")).alias("o_orderkey"), "l_quantity")
+    spine = _orders(spark, d).select("o_orderkey")
+    again = spine.union(spine.where("o_orderkey = 1"))
+    return ln.link_by_id(again, ref, "o_orderkey", {}, F.lit(0), mode="count", placeholders=()).distinct()
