@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 #: Modules that register queries.
-MODULES = ("scalar_queries", "join_queries", "group_queries", "table_queries", "space_queries", "address_queries", "shape_queries", "estimate_queries", "layer_queries", "recipe_queries")
+MODULES = ("scalar_queries", "join_queries", "group_queries", "table_queries", "space_queries", "address_queries", "shape_queries", "estimate_queries", "parcel_queries", "layer_queries", "recipe_queries")
 
 
 def query(name: str, sql: str | None = None):

@@ -283,8 +283,8 @@ def value_caps(spark, d):
     return im.clipped(rows, caps, "p_brand", "value", "p_size").select("p_partkey", F.round("value", 4).alias("value"))
 
 
-INDEX = "(select c_nationkey as r, c_nationkey % 5 as s, year(o_orderdate) as y, avg(o_totalprice) as v from orders join customer on c_custkey = o_custkey where year(o_orderdate) < 1996 or c_nationkey % 2 = 0 group by 1, 2, 3)"
-WIDER = "(select c_nationkey % 5 as s, year(o_orderdate) as y, avg(o_totalprice) as v from orders join customer on c_custkey = o_custkey group by 1, 2)"
+INDEX = "(select c_nationkey as r, c_nationkey % 5 as s, cast(year(o_orderdate) as int) as y, avg(o_totalprice) as v from orders join customer on c_custkey = o_custkey where year(o_orderdate) < 1996 or c_nationkey % 2 = 0 group by 1, 2, 3)"
+WIDER = "(select c_nationkey % 5 as s, cast(year(o_orderdate) as int) as y, avg(o_totalprice) as v from orders join customer on c_custkey = o_custkey group by 1, 2)"
 
 
 def _index(spark, d):

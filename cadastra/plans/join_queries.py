@@ -240,7 +240,7 @@ query("asof_hot_forward", HOT.format("forward", "<="))(_hot("forward"))
 
 @query(
     "asof_exact",
-    """with p as (select o_custkey as k, year(o_orderdate) as y, min(o_totalprice) as price from orders group by 1, 2) select c_custkey, p.price, p.y as at, case when p.y is not null then 'exact' end as match_type from customer left join p on k = c_custkey and y = 1995""",
+    """with p as (select o_custkey as k, cast(year(o_orderdate) as int) as y, min(o_totalprice) as price from orders group by 1, 2) select c_custkey, p.price, p.y as at, case when p.y is not null then 'exact' end as match_type from customer left join p on k = c_custkey and y = 1995""",
 )
 def asof_exact(spark, d):
     people = load(spark, d, "customer").select("c_custkey", F.lit(1995).alias("year"))
@@ -250,7 +250,7 @@ def asof_exact(spark, d):
 
 @query(
     "asof_ordered_keys",
-    """with p as (select o_custkey as k, o_orderstatus as s, year(o_orderdate) as y, min(o_totalprice) as price from orders group by 1, 2, 3), q as (select k, y, min(price) as price from p group by 1, 2),
+    """with p as (select o_custkey as k, o_orderstatus as s, cast(year(o_orderdate) as int) as y, min(o_totalprice) as price from orders group by 1, 2, 3), q as (select k, y, min(price) as price from p group by 1, 2),
     n as (select c_custkey, case when c_custkey % 2 = 0 then 'P' else 'F' end as s, 1995 as year from customer),
     a as (select n.*, p.price, p.y as "at" from n asof left join p on n.c_custkey = p.k and n.s = p.s and n.year >= p.y),
     b as (select r.c_custkey, q.price, q.y as "at" from (select * from a where "at" is null) r asof left join q on r.c_custkey = q.k and r.year >= q.y)
