@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadastra.llm.held import held
+
 
 def score_texts(docs: DataFrame, keep: list, text: str, out: str, make: Callable[[], Callable[[str], tuple]]) -> DataFrame:
     """The columns `keep` with those of the schema string `out`, which make()() gives for each text (null: empty).
@@ -25,6 +27,7 @@ def score_texts(docs: DataFrame, keep: list, text: str, out: str, make: Callable
     types = [kinds[f.dataType.simpleString()] for f in added.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(("scores",), dict)  # lets go of what other operators keep
         score = make()
         for batch in batches:
             rows = [score(x.as_py()) for x in batch.column(n)]

@@ -18,7 +18,6 @@ import json
 import re
 import struct
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -26,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cadastra.llm.common import table
+from cadastra.llm.held import held
 
 #: How a byte-level tokenizer cuts text before merging.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 RUN = re.compile(r"\s\s")
-#: Encoded words that a worker keeps between batches, and characters dealt with at a time.
-CACHE_WORDS, SLICE_CHARS = 300_000, 2_000_000
+#: Encoded words and their characters that a worker keeps between batches, and characters dealt with at a time.
+CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 250_000, 16_000_000, 2_000_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -72,6 +72,7 @@ class TrieBpe:
         #: Packed ids by piece, and by what follows a single space.
         self.known: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
+        self.chars = 0
 
     def stay_apart(self, a: int, b: int) -> bool:
         """Whether greedy merging of the two tokens' bytes ends in just these two.
@@ -167,14 +168,20 @@ class TrieBpe:
         is dealt with as its parts between spaces; each part, with its space,
         is encoded once.  Other texts go whole.
         """
-        for kept in (self.after_space, self.known, self.found, self.apart):
+        for kept in (self.known, self.found, self.apart):
             if len(kept) > CACHE_WORDS:
                 kept.clear()
         self.known.update({s: struct.pack("<I", i) for s, i in self.special.items()})
         parts = [None if RUN.search(t) or any(s in t for s in self.special) else t.split(" ") for t in texts]
         heads = self.encode_units({p[0] if p else t for t, p in zip(texts, parts, strict=True)})
         after = self.after_space
-        new = set().union(*(p[1:] for p in parts if p)).difference(after)
+        words = set().union(*(p[1:] for p in parts if p))
+        if len(after) > CACHE_WORDS or self.chars > CACHE_CHARS:
+            # what the next texts use stays, frequent words among it
+            after = self.after_space = {w: after[w] for w in words if w in after}
+            self.chars = sum(map(len, after))
+        new = words.difference(after)
+        self.chars += sum(map(len, new))
         after.update((u[1:], ids) for u, ids in self.encode_units([f" {p}" for p in new]).items())
         get = after.__getitem__
         return [heads[p[0]] + b"".join(map(get, p[1:])) if p else heads[t] for t, p in zip(texts, parts, strict=True)]
@@ -185,9 +192,9 @@ class TrieBpe:
         return raw.decode("utf-8", "replace").encode()
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> TrieBpe:
-    return TrieBpe(path)
+    """The encoder that this process keeps while it encodes."""
+    return held(("bpe", path), lambda: TrieBpe(path))
 
 
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from cadastra.llm.held import held
+
 #: Trees of the forest, MinHash values along each, and all values of a signature.
 TREES, DEPTH = 16, 8
 VALUES = TREES * DEPTH
@@ -12,7 +14,7 @@ VALUES = TREES * DEPTH
 #: at a similarity of 0.8, 128 values disagree in two bits at 19.2 places on average with a deviation of 4.
 SKETCH_BITS, MOST_APART = 2, 36
 #: Word hashes that a worker keeps.
-CACHE = 300_000
+CACHE = 200_000
 _EVEN = np.uint64(0x5555555555555555)
 _rng = np.random.RandomState(20_25)
 _A = (_rng.randint(0, 1 << 31, VALUES).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -28,7 +30,10 @@ class _Words(dict):
         return h
 
 
-_words = _Words()
+
+def _words() -> _Words:
+    """The word hashes that this process keeps."""
+    return held(("words",), _Words)
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -39,7 +44,7 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
     k = min(width, len(w))
     with np.errstate(over="ignore"):
         h = np.full(len(w) - k + 1, k, np.uint64)
