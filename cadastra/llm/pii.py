@@ -32,8 +32,9 @@ KINDS = ("email", "ip", "card", "phone")
 #: Identifier-like: a string between white space, of five characters at least, that has two digits or at signs.
 LIKE = r"(?<!\S)(?=\S{5})[^\s0-9@]*+[0-9@][^\s0-9@]*+[0-9@]\S*+"
 EDGE = r"""["'()\[\]{}<>,.;:!?=]"""
-#: Characters of a discovered identifier; letters and digits it has at least; characters before a mention that hold its pattern.
-LEAST_CHARS, LEAST_DIGITS, CONTEXT = 5, 2, 80
+#: Characters of a discovered identifier; digits and at signs it has at least; characters before a mention that are looked at
+#: first for its pattern (where two whole words don't lie in them, all of the text before it is).
+LEAST_CHARS, LEAST_DIGITS, CONTEXT = 5, 2, 200
 #: Distinct trusted instances that a pattern needs; confidence from which patterns and instances are trusted.
 SUPPORT, TRUST = 3, 0.5
 #: Rounds end when the trust of all instances together grows by less than this, so that no single one does by more.
@@ -50,10 +51,10 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _placed(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+def _placed(df: DataFrame, text: Column, names: list[str], keep: list[str]) -> DataFrame:
     """Turns __m_x (matches) and __p_x (what lies before, between and after them) into __x: array of (start, end, value, before).
 
-    Places are code points, end exclusive.  Running totals come in two steps, of
+    before has the last two words of what precedes the match in the text; it is empty where there aren't two.  Places are code points, end exclusive.  Running totals come in two steps, of
     runs of about sqrt(n) matches and within a run, so that a text with very
     many matches takes n sqrt(n) steps and not n squared.
     """
@@ -73,7 +74,11 @@ def _placed(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
             j = F.floor(i / c(f"__r_{x}")).cast("int")
             piece = F.get(c(f"__p_{x}"), i)
             start = F.get(c(f"__o_{x}"), j) + _sum(F.slice(f"__l_{x}", j * c(f"__r_{x}") + 1, i - j * c(f"__r_{x}"))) + F.length(piece)
-            before = F.right(F.concat(F.coalesce(F.get(c(f"__m_{x}"), i - 1), F.lit("")), piece), F.lit(CONTEXT))
+            near = [F.coalesce(F.get(c(f"__{a}_{x}"), i - d), F.lit("")) for a, d in (("m", 2), ("p", 1), ("m", 1))]
+            # read backwards, an expression for the last two words is tried at one place only
+            short = F.regexp_extract(F.reverse(F.right(F.concat(*near, piece), F.lit(CONTEXT))), r"^\s*+\S++\s++\S++(?=\s)", 0)
+            whole = F.regexp_extract(F.reverse(F.substring(text, F.lit(1), start.cast("int"))), r"^\s*+\S++\s++\S++", 0)
+            before = F.reverse(F.when(short != "", short).otherwise(whole))
             return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value"), before.alias("before"))
 
         return F.transform(f"__m_{x}", one)
@@ -113,7 +118,7 @@ def with_base(df: DataFrame, text: str, out: str, candidates: str | None = None)
         found.append((F.when(hints[kind], matches).otherwise(none) if kind in hints else matches).alias(f"__m_{kind}"))
     cut = df.select("*", *found)
     cut = cut.select("*", *(F.when(F.size(f"__m_{k}") > 0, F.split(t, p, -1)).otherwise(none).alias(f"__p_{k}") for k, p in patterns.items()))
-    placed = _placed(cut, list(patterns), keep)
+    placed = _placed(cut, t, list(patterns), keep)
 
     def ranked(rank: int, kind: str) -> Column:
         good = F.filter(f"__{kind}", lambda x: _valid(kind, x["value"]))

@@ -113,3 +113,19 @@ def test_discovered_instances_support_new_patterns(spark, shared, steps):
     start = rows[-2].index("last77")
     assert found[len(rows) - 2] == f"email:{start}:{start + 6}" and found[len(rows) - 1] == ""
     assert all(v for k, v in found.items() if k < len(rows) - 1)
+
+
+def test_contexts_equal_plain_python(spark):
+    """Adjacent mentions, words longer than what is looked at first, white space of all kinds, and too few words."""
+    texts = ["ref code 12345 67890 A1B2C3 x", "w" * 900 + " " + "v" * 300 + " 12345", "12345 one 67890", "a\n\tb  12345,67890;a1@b2.cd,9.9.9.9", "a b " + "y" * 500 + "12345@x.yz 1.2.3.4", "x@y.zz" * 60 + " 12345 " + "x@y.zz," * 60, " 😀 é 12345", "nix"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    rows = pii.with_base(docs, "text", "base", "candidates").collect()
+    seen = 0
+    for r in rows:
+        for m in [*r.base, *r.candidates]:
+            words = re.findall(r"\S+", texts[r.i][: m.start] if "before" in m else "")
+            # of the candidate with quotes or brackets around it, what precedes these counts
+            want = " ".join(words[-2:]) if len(words) > 1 else ""
+            assert " ".join(m.before.split()) == want, (r.i, m)
+            seen += 1
+    assert seen > 100
