@@ -30,15 +30,21 @@ def importable(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see.
 
-    It lies below spark.checkpoint.dir; only where the session has no such
-    setting (tests on one machine) a temporary folder serves instead.
+    It lies below spark.checkpoint.dir, as a URI of the session's file system;
+    only where a session on one machine has no such setting (tests) a
+    temporary folder serves instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="cadastra-")
         spark.sparkContext.setCheckpointDir(base)
+    if "://" not in base:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+        base = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

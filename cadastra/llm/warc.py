@@ -13,10 +13,12 @@ name it and its payload's digest and length.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,24 +33,39 @@ LEAST_BYTES, ARCHIVE_BYTES = 1000, 256 << 20
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
 INDEX = "archive string, offset long, length long, key long, url string, digest string, record_type string"
 RECORD = "key long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
+#: Bytes of records that a task reads back.
+TASK_BYTES = 32 << 20
+BREAKS = re.compile(r"[\s\x00-\x1f\x7f]")
 _END, _DATE = b"\r\n\r\n", b"1970-01-01T00:00:00Z"
 
 
+def record_id(key: int | None, digest: str) -> bytes:
+    """Follows from key and payload, so that a revisit can name the response; rows equal in both share it."""
+    return b"<urn:uuid:%s>" % str(uuid.uuid5(uuid.NAMESPACE_URL, f"{key} {digest}")).encode()
+
+
 def record_bytes(key: int | None, url: str, payload: bytes, kind: str, refers_to: int | None, payload_bytes: int, digest: str) -> bytes:
-    """One WARC/1.1 record.  Header values have no line ends: those of a URL are percent-encoded."""
-    target = re.sub(r"[\s%]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url or "")
+    """One WARC/1.1 record.
+
+    Header values have no white space or control characters: a URL that has any gets them, and its percent signs,
+    percent-encoded, and a header that says so; other URLs stand as they are.
+    """
+    escaped = bool(BREAKS.search(url or ""))
+    target = re.sub(rf"{BREAKS.pattern}|%", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url) if escaped else url or ""
     head = [
         b"WARC/1.1",
         b"WARC-Type: " + kind.encode(),
-        b"WARC-Record-ID: <urn:uuid:%s>" % str(uuid.uuid5(uuid.NAMESPACE_URL, f"{key} {digest} {target}")).encode(),
+        b"WARC-Record-ID: " + record_id(key, digest),
         b"WARC-Date: " + _DATE,
         b"WARC-Target-URI: " + target.encode(),
         b"WARC-Payload-Digest: sha1:" + digest.encode(),
     ]
+    if escaped:
+        head.append(b"X-Target-Escaped: percent")
     if key is not None:
         head.append(b"X-Row-Key: %d" % key)
     if kind == "revisit":
-        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"X-Refers-To-Key: %d" % refers_to, b"X-Payload-Length: %d" % payload_bytes]
+        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + record_id(refers_to, digest), b"X-Refers-To-Key: %d" % refers_to, b"X-Payload-Length: %d" % payload_bytes]
         payload = b""
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d" % payload_bytes + _END + payload
     head += [b"Content-Type: application/http; msgtype=response", b"Content-Length: %d" % len(block)]
@@ -146,13 +163,14 @@ def read(index: DataFrame, path: str, payloads: bool = False) -> DataFrame:
         fields, payload = parse(zlib.decompress(raw, 31))
         kind, said = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
         key = int(fields["X-Row-Key"]) if "X-Row-Key" in fields else None
+        target = unquote(fields["WARC-Target-URI"]) if "X-Target-Escaped" in fields else fields["WARC-Target-URI"]
         if kind == "revisit":
-            out = (key, fields["WARC-Target-URI"], kind, int(fields["X-Refers-To-Key"]), int(fields["X-Payload-Length"]), said)
+            out = (key, target, kind, int(fields["X-Refers-To-Key"]), int(fields["X-Payload-Length"]), said)
             return (*out, None) if payloads else out
         digest = hashlib.sha1(payload).hexdigest()
         if digest != said:
             raise ValueError(f"record {key}: payload digest {digest}, but its header says {said}")
-        out = (key, fields["WARC-Target-URI"], kind, None, len(payload), digest)
+        out = (key, target, kind, None, len(payload), digest)
         return (*out, payload) if payloads else out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +189,9 @@ def read(index: DataFrame, path: str, payloads: bool = False) -> DataFrame:
 
     kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     types, names = [kinds[f.dataType.simpleString()] for f in schema], schema.fieldNames()
-    wanted = index.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # by the bytes that are read, not by those of the index
+    tasks = max(1, math.ceil((index.agg(F.sum("length")).first()[0] or 0) / TASK_BYTES))
+    wanted = index.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return wanted.mapInArrow(run, schema)
 
 
