@@ -18,7 +18,7 @@ from cadastra.llm.arrow import score_texts
 from cadastra.llm.common import remainder, table
 from cadastra.llm.zdict import Dictionaries
 
-#: Bound of the sample: texts of each language and characters of each; bytes of each dictionary.
+#: Bound of the sample: texts of each language and characters of each (fewer where sample.MOST_CHARS says so); bytes of each dictionary.
 PER_LANG, CHARS, DICT_BYTES = 512, 4096, 64_000
 #: Relative margin below which an answer is rejected; how steeply the margin turns into a score.
 NARROW, STEEP = 0.01, 60.0
@@ -48,10 +48,11 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text") -> LanguageModel:
-    """Fit on rows with text, language and key; the bound of the sample is PER_LANG texts a language."""
+    """Fit on rows with text, language and key; the sample is bounded for each language and in all, whatever their number."""
     usable = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    picked = sample.chosen(usable, key, lang, PER_LANG)
-    return LanguageModel({k: [t for _, t in v] for k, v in sample.texts(usable, picked, key, text, CHARS, label=lang).items()})
+    texts, chars = sample.bounds(usable.select(lang).distinct().count(), PER_LANG, CHARS)
+    picked = sample.chosen(usable, key, lang, texts)
+    return LanguageModel({k: [t for _, t in v] for k, v in sample.texts(usable, picked, key, text, chars, label=lang).items()})
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep: list, text: str = "text") -> DataFrame:

@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labels that a sample may have at most; more raise an error instead of growing what the driver holds.
-MOST_LABELS = 256
+#: Characters that a sample has at most: with many labels, each has fewer and shorter texts.
+MOST_CHARS = 64 << 20
+
+
+def bounds(labels: int, per_label: int, chars: int) -> tuple[int, int]:
+    """Texts of each label, and characters of each, that a sample of so many labels takes."""
+    share = max(1, MOST_CHARS // max(1, labels))
+    fewer = max(1, min(per_label, share // chars))
+    return fewer, min(chars, max(1, share // fewer))
 
 
 def chosen(keys: DataFrame, key: str, label: str, per_label: int) -> list[tuple[str, int]]:
@@ -23,19 +30,16 @@ def chosen(keys: DataFrame, key: str, label: str, per_label: int) -> list[tuple[
         .groupBy("label", "slot")
         .agg(F.min("h").alias("h"))
         .select("label", "h")
-        .limit(MOST_LABELS * per_label + 1)
         .collect()
     )
-    if len(rows) > MOST_LABELS * per_label:
-        raise ValueError(f"more than {MOST_LABELS} labels")
     return sorted((r.label, r.h) for r in rows)
 
 
 def texts(docs: DataFrame, picked: list[tuple[str, int]], key: str, text: str, chars: int, label: str | None = None) -> dict[str, list[tuple[int, str]]]:
     """Label: (hash, piece of text) in order of hash, for the chosen keys.
 
-    A piece is at most `chars` characters of a fitting text; the whole sample
-    is bounded by the number of chosen keys times that.  Of rows that repeat a
+    A piece is at most `chars` characters of a fitting text, from a place that
+    its hash chooses; the whole sample is bounded by the number of chosen keys times that.  Of rows that repeat a
     key, the one with the smallest text serves.
     """
     spark = docs.sparkSession
@@ -43,7 +47,8 @@ def texts(docs: DataFrame, picked: list[tuple[str, int]], key: str, text: str, c
     if not picked:
         return out
     want = spark.createDataFrame(picked, "label string, h long")
-    have = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.substring(text, 1, chars).alias("piece"), *([F.col(label).cast("string").alias("label")] if label else []))
+    place = F.pmod(F.xxhash64(F.col(text)), F.greatest(F.lit(1), F.length(text) - chars + 1)).cast("int") + 1
+    have = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.substring(F.col(text), place, F.lit(chars)).alias("piece"), *([F.col(label).cast("string").alias("label")] if label else []))
     rows = have.join(F.broadcast(want), ["label", "h"] if label else ["h"]).groupBy("label", "h").agg(F.min("piece").alias("piece")).collect()
     for r in sorted(rows, key=lambda r: (r.label, r.h)):
         out[r.label].append((r.h, r.piece))

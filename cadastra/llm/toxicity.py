@@ -60,7 +60,8 @@ class ToxicityModel:
                 b_squares += e * e
                 b -= STEP * e / math.sqrt(b_squares)
         self.square, self.value = ratio * ratio, ratio * w
-        self.bias = b
+        # the sample is even where labels exceed its bound; the share of toxic texts is that of all training labels
+        self.bias = b + math.log(n_toxic / n_clean) - math.log(len(toxic) / len(clean))
 
     def present(self, text: str) -> np.ndarray:
         """Distinct hashed n-grams of the whole text."""
