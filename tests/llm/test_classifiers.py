@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.llm import langid, quality, toxicity
+from cadastra.llm import langid, quality, sample, toxicity
+from cadastra.llm.zdict import Dictionaries
 
 LARGER = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, score string"
@@ -51,3 +52,32 @@ def test_label_edges(spark, module, label):
     for part in (labels.where("false"), labels.where(f"{label} = 1")):
         assert module.score(docs, module.fit(docs, part), [F.col("doc_id")]).where("score between 0 and 1").count() == docs.count()
     assert module.score(docs.where("false"), module.fit(docs, labels), [F.col("doc_id")]).count() == 0
+
+
+def test_any_number_of_languages(spark):
+    rows = [(i, f"word{i % 400} and sign{i % 400} " * 9, f"l{i % 400}", None) for i in range(800)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit(docs)
+    assert len(model.dictionaries.labels) == 400
+    assert langid.predict(docs.limit(20), model, [F.col("doc_id")]).where("score between 0 and 1").count() == 20
+    assert sample.bounds(2, 512, 4096) == (512, 4096) and sample.bounds(1 << 20, 512, 4096) == (1, 64) and sample.bounds(0, 5, 6) == (5, 6)
+
+
+def test_ties_go_to_the_first_language():
+    model = langid.LanguageModel({"b": ["same text here"] * 3, "a": ["same text here"] * 3})
+    assert model.predict("same text here")[0] == "a" and model.predict("same text here")[3]
+
+
+def test_dictionaries_take_pieces_from_all_over_the_texts():
+    texts = ["".join(f"<{i}:{k}>" for k in range(400)) for i in range(100)]
+    raw = Dictionaries.content(texts, 20_000).decode()
+    assert len(raw) <= 20_000 and sum(f"<{i}:" in raw for i in range(100)) > 90
+    assert sum(f":{k}>" in raw for k in range(200, 400)) > 100
+    assert Dictionaries.content(["x" * 500] * 50, 10_000) == b"x" * 200
+
+
+def test_toxic_share_of_uneven_labels():
+    """Where labels exceed the sample, scores are those of the corpus's share, not of the even sample."""
+    clean, toxic = [f"fine words number {i}" for i in range(40)], [f"bad words number {i}" for i in range(40)]
+    even, rare = toxicity.ToxicityModel(clean, toxic, 40, 40), toxicity.ToxicityModel(clean, toxic, 40_000, 40)
+    assert rare.bias < even.bias - 6 and rare.score("words number 7") < even.score("words number 7")

@@ -40,3 +40,21 @@ def test_ranges_join_neighbours_only():
     rows = [("a", 0, 10), ("a", 10, 10), ("a", 25, 5), ("a", 1000, 5), ("b", 0, 5)]
     assert list(warc.ranges(rows, gap=8, most=100)) == [("a", 0, 30, [0, 1, 2]), ("a", 1000, 1005, [3]), ("b", 0, 5, [4])]
     assert [r[3] for r in warc.ranges(rows, gap=8, most=20)] == [[0, 1], [2], [3], [4]]
+
+
+def test_urls_come_back_and_revisits_name_their_response(spark, shared):
+    urls = ["http://a/b%20c", "http://a/b c", "http://a/é?q=%C3%A9&x=1", "http://a/\t\r\nX: 1%", "", None, "http://a/100%"]
+    pages = spark.createDataFrame([(i, u, BIG) for i, u in enumerate(urls)], "page_id long, url string, html string").coalesce(2)
+    index = warc.write(pages, shared)
+    assert {r.key: r.url for r in warc.read(index, shared).collect()} == {i: u or "" for i, u in enumerate(urls)}
+    first = warc.record_bytes(6, "http://x", b"p", "response", None, 1, "d")
+    later = warc.record_bytes(2, "http://y", b"", "revisit", 6, 1, "d")
+    said = warc.parse(first)[0]["WARC-Record-ID"]
+    assert warc.parse(later)[0]["WARC-Refers-To"] == said != warc.parse(later)[0]["WARC-Record-ID"]
+
+
+def test_a_tie_on_the_largest_key(spark, shared):
+    """Rows with the largest key and other URLs are all responses; others refer to that key."""
+    pages = spark.createDataFrame([(5, "http://a", BIG), (5, "http://b", BIG), (4, "http://c", BIG)], "page_id long, url string, html string")
+    found = warc.read(warc.write(pages, shared), shared).collect()
+    assert sorted((r.key, r.record_type, r.refers_to) for r in found) == [(4, "revisit", 5), (5, "response", None), (5, "response", None)]
