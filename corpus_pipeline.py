@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir), docs having the columns of `documents`,
 and returns a DataFrame; run() writes what a stage returns as Parquet to the
 shared folder and rereads it for the next.  Nothing is collected on the driver
 but the bounded samples that the quality classifier is fitted on.
+
+All stages take nulls in any column, empty, blank and very long texts, repeated
+rows and repeated or missing ids, and empty tables (which stay empty); columns
+of docs beyond COLUMNS are left out, whatever their names.  A null text counts
+as empty where it is judged and stays null where it is kept.
 """
 
 from __future__ import annotations
@@ -20,7 +25,12 @@ BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 <<
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps what the quality classifier scores at or above its threshold; fitted on the labels outside the held-out fold."""
+    """Keeps what the quality classifier scores at or above its threshold; fitted on the labels outside the held-out fold.
+
+    Rows are judged one by one: equal texts fare alike, a score that ties with the threshold is kept, and an empty
+    text has the score of an empty text.  Without labels of both kinds all scores are equal.
+    """
+    docs = docs.select(*COLUMNS)
     labels = table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(remainder("doc_id", 5) != 0))
     return quality.score(docs, model, list(COLUMNS)).where(F.col("score") >= quality.THRESHOLD).select(*COLUMNS)
@@ -32,6 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     It is the one with the least id, then the least hash of its text, then the least of rows equal in both; a missing id
     counts as the largest.  Texts without shingles (null or blank) are in no group, and stay.
     """
+    docs = docs.select(*COLUMNS)
     path = shared_dir(spark)
     found = forest.near_duplicates(docs, path, width=5, percent=80).where("group is not null")
     each = stored(found.groupBy("group", "k", "th").agg(F.count(F.lit(1)).alias("n")), f"{path}/each")
@@ -47,13 +58,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap with a benchmark item go."""
+    """Documents that overlap with a benchmark item go, with all rows equal in id and text; null and blank texts stay."""
+    docs = docs.select(*COLUMNS)
     found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"), shared_dir(spark)).select("k", "th").distinct()
     return docs.join(found, docs.doc_id.eqNullSafe(found.k) & (F.xxhash64("text") == found.th), "left_anti").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each span of personal data is replaced by its kind in brackets; n_chars follows."""
+    """Each span of personal data is replaced by its kind in brackets; n_chars follows where something was.
+
+    All rows stay.  Of spans that overlap, the first gives the kind; what is learnt from one document masks others.
+    """
+    docs = docs.select(*COLUMNS)
     found = pii.personal_data(docs, shared_dir(spark)).where(F.size("spans") > 0).select("k", "th", "spans").distinct()
     both = docs.join(found, docs.doc_id.eqNullSafe(found.k) & (F.xxhash64("text") == found.th), "left")
     clean = F.when(F.col("spans").isNull(), F.col("text")).otherwise(pii.redacted(F.col("text"), F.col("spans")))
@@ -62,7 +78,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, with the digests of ids and of the decoded text."""
+    """Token ids of each text, with the digests of ids and of the decoded text; none for null and empty texts.  All rows stay."""
     return bpe.encode(docs, bpe.vocabulary(), keep=("doc_id", "lang", "source"), ids=True)
 
 
