@@ -80,3 +80,41 @@ def test_one_row_stays_without_or_with_repeated_ids(spark):
     out = cp.drop_near_duplicates(spark, docs, "").collect()
     left = [(r.doc_id, (r.text or " ")[0]) for r in out]
     assert sorted(left, key=str) == sorted([(None, "a"), (None, "b"), (7, "c"), (3, "d"), (None, " "), (None, " "), (7, " ")], key=str)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, k string, th int, spans string, score double, `group` string, item int"
+
+
+@pytest.fixture
+def edges(spark):
+    """Nulls in every column, empty, blank and very long texts, repeated rows, ties, and columns named as the stages' own."""
+    long = " ".join(f"word{i % 997} and x{i}" for i in range(60_000))
+    text = " ".join(f"the quiet river number {i} runs to the sea" for i in range(30))
+    rows = [(1, text), (1, text), (2, text + " again"), (None, text), (None, None), (3, None), (4, ""), (5, " \n\t "), (6, long), (7, "mail a@b.cd or 10.0.0.1 " * 3)]
+    every = [(i, t, "en", "s", len(t or ""), "k", 1, "s", 0.5, "g", 2) for i, t in rows] + [(None,) * 11, (8, "plain text of a few words", *[None] * 9)]
+    return spark.createDataFrame(every, SCHEMA)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_edges_and_empty_tables(spark, sf_dir, edges, stage):
+    name, f = cp.STAGES[stage]
+    none = f(spark, edges.where("false"), sf_dir)
+    assert none.count() == 0
+    out = f(spark, edges, sf_dir)
+    rows, before = out.collect(), edges.collect()
+    if stage < 4:
+        assert out.columns == list(cp.COLUMNS) and none.columns == list(cp.COLUMNS)
+    if name == "near-duplicates":
+        # the texts of one river are one group, of which the least id stays, once; texts without words are in no group
+        assert sorted((r.doc_id or 0) for r in rows if (r.text or "").startswith("the quiet")) == [1]
+        assert sum(not (r.text or "").strip() for r in rows) == sum(not (r.text or "").strip() for r in before)
+        assert {6, 7, 8} <= {r.doc_id for r in rows}
+    elif name in ("decontamination", "personal data"):
+        assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in before)
+        masked = [r.text for r in rows if r.doc_id == 7]
+        assert masked == (["mail [EMAIL] or [IP] " * 3] if name == "personal data" else ["mail a@b.cd or 10.0.0.1 " * 3])
+    elif name == "token ids":
+        assert len(rows) == len(before) and {len(r.token_ids) for r in rows if r.doc_id in (3, 4)} == {0}
+        assert next(r for r in rows if r.doc_id == 6).n_tokens > 100_000
+    else:
+        assert len(rows) <= len(before) and all(r.doc_id is None or r.doc_id < 9 for r in rows)
