@@ -33,6 +33,8 @@ from cadastra.llm.components import components
 LEAST_DEPTH, REGION = 3, 4096
 #: Classes of a group that is compared whole; members and queries of a block of a larger one.
 GROUP, MEMBERS, QUERIES = 256, 512, 256
+#: Tasks among which the members of a large group are dealt where a fact of the group is joined to them.
+SALTS = 64
 #: Key of rows that have none: the largest, so that it names a component only where there is no other.
 NO_KEY = (1 << 63) - 1
 _NODE = pa.binary()
@@ -247,6 +249,12 @@ def with_items(docs: DataFrame, key: str, text: str, width: int, wanted: DataFra
     return joined.mapInArrow(run, f"{fields}, items binary")
 
 
+def to_members(members: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """members (g, node and more) with `salt` and what facts (one row for each g) say of their group: no group meets in one task."""
+    dealt = members.withColumn("salt", F.pmod(F.xxhash64(F.lit(2), F.col("node")), F.lit(SALTS)).cast("int"))
+    return dealt.join(facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"], how)
+
+
 def middle(members: DataFrame) -> DataFrame:
     """(g, pivot): of each group, the class whose sketch is nearest to the commonest value at each place."""
 
@@ -271,16 +279,19 @@ def middle(members: DataFrame) -> DataFrame:
     common = partial.groupBy("g").applyInArrow(commonest, "g binary, m0 long, m1 long, m2 long, m3 long")
     even = 0x5555555555555555
     apart = sum(F.bit_count((x := F.col(f"s{i}").bitwiseXOR(F.col(f"m{i}"))).bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(even))) for i in range(4))
-    return members.join(common, "g").groupBy("g").agg(F.min(F.struct(apart.alias("apart"), "node"))["node"].alias("pivot"))
+    near = to_members(members, common).groupBy("g", "salt").agg(F.min(F.struct(apart.alias("apart"), "node")).alias("near"))
+    return near.groupBy("g").agg(F.min("near")["node"].alias("pivot"))
 
 
 def links(docs: DataFrame, units: DataFrame, loose: DataFrame, path: str, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Edges that span all links, from candidate components (node, root)."""
-    sizes = stored(loose.groupBy("root").count(), f"{path}/sizes")
-    members = loose.join(sizes, "root").join(units, "node").select("node", "k", "th", F.col("root").alias("g"), F.col("count").alias("size"), "s0", "s1", "s2", "s3")
+    # only large groups have their size noted: the table of these is small, and the others are bounded
+    sizes = stored(loose.groupBy(F.col("root").alias("g")).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > GROUP), f"{path}/sizes")
+    sized = to_members(loose.withColumnRenamed("root", "g"), sizes, "left")
+    members = sized.join(units, "node").select("node", "k", "th", "g", "size", "s0", "s1", "s2", "s3")
     sets = stored(with_items(docs, key, text, width, members), f"{path}/sets")
-    small = sets.where(F.col("size") <= GROUP).select("g", F.lit(False).alias("query"), "node", "items")
-    large = sets.where(F.col("size") > GROUP)
+    small = sets.where("size is null").select("g", F.lit(False).alias("query"), "node", "items")
+    large = sets.where("size is not null")
     found = stored(confirmed(small, ["g"], percent), f"{path}/small")
     if large.isEmpty():
         return found
@@ -298,7 +309,7 @@ def links(docs: DataFrame, units: DataFrame, loose: DataFrame, path: str, key: s
     if alone.isEmpty():
         return found
     counts = stored(alone.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("blocks")), f"{path}/counts")
-    with_blocks = large.join(counts, "g")
+    with_blocks = to_members(large, counts)
     block = F.pmod(F.xxhash64(F.lit(1), F.col("node")), F.col("blocks")).cast("int")
     dealt = with_blocks.select("g", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("query"), "node", "items")
     asked = with_blocks.join(alone.select("node"), "node").select("g", every.alias("part"), block.alias("block"), F.lit(True).alias("query"), "node", "items")
