@@ -81,7 +81,12 @@ def raster_focal(spark, d):
     return ge.focal_coverage(_pixels(spark, d), 2, "v", "coverage").withColumn("coverage", F.round("coverage", 6))
 
 
-@query("quadkeys")
+@query(
+    "quadkeys",
+    f"""with p as (select event_id, y - 45 as lat, x - 50 as lon from {POINTS}), t as (select event_id, cast(floor(least(511, greatest(0, (lon + 180) / 360 * 512))) as bigint) as tx,
+    cast(floor(least(511, greatest(0, (0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi())) * 512))) as bigint) as ty from p)
+    select event_id, {" || ".join(f"cast(((tx >> {k}) & 1) + 2 * ((ty >> {k}) & 1) as varchar)" for k in range(8, -1, -1))} as quadkey from t""",
+)
 def quadkeys(spark, d):
     """Map tile of each event's point, taken as degrees."""
     return _points(spark, d).select("event_id", ge.quadkey(c("y") - 45, c("x") - 50, 9).alias("quadkey"))
