@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from cadastra.llm import forest
+from cadastra.llm import shingles as sh
 
 
 def brute(docs: dict, width: int) -> dict:
@@ -65,3 +67,18 @@ def test_null_keys_repeats_and_empty(spark, shared):
     none = forest.NO_KEY
     assert found == [(5, 5), (5, 5), (7, 7), (none, 5), (none, none)]
     assert forest.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), f"{shared}/b").count() == 0
+
+
+@pytest.mark.parametrize(("depth", "least"), [(3, 0.997), (5, 0.99), (8, 0.9)])
+def test_recall_at_the_threshold(depth, least):
+    """Share of pairs at a similarity of just 0.8 that some tree brings together at a depth, and the sketch lets through."""
+    rng = np.random.default_rng(7)
+    found, n = 0, 600
+    for _ in range(n):
+        x = rng.integers(0, 1 << 63, 100, dtype=np.int64).astype(np.uint64)
+        pair = np.stack([sh.signature(np.sort(x[:90])), sh.signature(np.sort(np.concatenate([x[:80], x[90:]])))])
+        values = (pair & np.uint32(0xFFFF)).reshape(2, sh.TREES, sh.DEPTH)
+        prefix = np.cumprod(values[0] == values[1], axis=1).sum(axis=1).max()
+        sketch = sh.sketches(pair)
+        found += prefix >= depth and sh.apart(sketch[0], sketch[1]) <= sh.MOST_APART
+    assert found / n >= least
