@@ -51,6 +51,7 @@ def to_date(c: Column, pattern: str | None = None, latest_year: int | None = Non
 
 
 UNARY = {
+    # null for 0 and below, as Spark has it, where a floating-point logarithm gives minus infinity or no number
     "log": lambda c: F.ln(c),
     "arcsinh": lambda c: F.asinh(c),
     "sqrt": lambda c: F.sqrt(c),

@@ -115,3 +115,61 @@ def minted_ids(df: DataFrame, scope: Column, document: str, content: list[str],
     base = df.withColumn("__id", F.when(F.col(document).isNotNull(), stated).otherwise(finger))
     k = F.row_number().over(Window.partitionBy("__id").orderBy(*order))
     return base.withColumn(out, F.when(k > 1, F.concat_ws("-", "__id", k)).otherwise(F.col("__id"))).drop("__id")
+
+
+#: What a pair of sale records is, in order of precedence.  Only the last leaves both as sales of their own.
+PAIR_LABELS = ("deed_echo_document", "deed_echo_period_price", "roll_restated", "double_closing", "restates_document", "resale_within_window")
+
+
+def sale_things(properties: DataFrame, parcels: DataFrame, sale: str, method: str = "link_method") -> DataFrame:
+    """(sale, thing): the properties that a sale is linked with, else its parcels; links by stacked units or shared keys don't tell what was sold."""
+    told = ~F.coalesce(F.contains(method, F.lit("stacked_units")) | F.contains(method, F.lit("_shared_key")), F.lit(False))
+
+    def named(df: DataFrame, column: str, kind: str) -> DataFrame:
+        return df.where(told & F.col(sale).isNotNull() & F.col(column).isNotNull()).select(sale, F.concat(F.lit(f"{kind}:"), F.col(column).cast("string")).alias("thing")).distinct()
+
+    own = named(properties, "property_id", "property")
+    return own.unionByName(named(parcels, "parcel_id", "parcel").join(own.select(sale).distinct(), sale, "left_anti"))
+
+
+def sale_record_pairs(sales: DataFrame, things: DataFrame, floor: float, deed: str = "deed", roll: str = "assessor_last_sale", corrections: tuple[str, ...] = ()) -> DataFrame:
+    """(transaction_id, other_transaction_id, label): pairs of records of one sale, the first in question and the other kept, or two sales close in time.
+
+    sales: transaction_id, kind, document, period (year * 12 + month), day, price, read (order of reading), previous (a document
+    that is corrected) and reason; things: transaction_id, thing.  Each rule is an equi join on all that must be equal; the
+    next month is looked up as such.  A pair keeps its first label by PAIR_LABELS.  A pair isn't turned around: two records may
+    be in question for each other.
+    """
+    this, other = "transaction_id", "other_transaction_id"
+    s = sales.withColumn("kind", F.coalesce("kind", F.lit(deed)))
+    deeds, rolls = s.where(F.col("kind") == deed), s.where(F.col("kind") == roll)
+    t = things.join(s.select(this, "kind", "period", "day", "price", "read"), this).where(F.col("period").isNotNull() & F.col("price").isNotNull())
+
+    def as_other(df: DataFrame, *keys: str) -> DataFrame:
+        return df.select(*(F.col(c) if c in keys else F.col(c).alias("other_" + c) for c in df.columns))
+
+    def labelled(df: DataFrame, rank: int) -> DataFrame:
+        return df.select(this, other, F.lit(rank).alias("rank"))
+
+    cited = F.when(F.startswith("document", F.lit(f"{roll}:")), F.substring("document", len(roll) + 2, 1_000_000))
+    by_document = rolls.select(this, cited.alias("cited")).join(deeds.select(F.col(this).alias(other), F.col("document").alias("cited")), "cited")
+    key = ["thing", "period", "price"]
+    roll_things, deed_things = t.where(F.col("kind") == roll), t.where(F.col("kind") == deed)
+    by_price = roll_things.select(this, *key).join(as_other(deed_things.select(this, *key), *key), key)
+    again = roll_things.select(this, "read", *key).join(as_other(roll_things.select(this, "read", *key), *key), key).where("read > other_read")
+    market = deed_things.where(F.col("price") > floor).select(this, "thing", "period", "day", "price")
+    partner = as_other(market, "thing", "period")
+    same_month = market.join(partner, ["thing", "period"]).where(F.col(this) < F.col(other))
+    next_month = market.withColumn("period", F.col("period") + 1).join(partner, ["thing", "period"]).where(F.col(this) != F.col(other))
+    near = same_month.unionByName(next_month).where(F.col("day").isNull() | F.col("other_day").isNull() | (F.col("day") == F.col("other_day")))
+    text = lambda c: F.nullif(F.upper(F.regexp_replace(F.trim(c), r"\s+", " ")), F.lit(""))
+    correcting = deeds.where(F.col("reason").isin(*corrections)).select(F.col(this).alias(other), text("previous").alias("doc"))
+    corrected = correcting.join(deeds.select(this, text("document").alias("doc")), "doc").where(F.col(this) != F.col(other))
+    corrected = corrected.join(things, this).join(things.select(F.col(this).alias(other), "thing"), [other, "thing"])
+    closing = F.col("price") == F.col("other_price")
+    rules = [by_document, by_price, again, near.where(closing), corrected, near.where(~closing)]
+    every = labelled(rules[0], 0)
+    for k, df in enumerate(rules[1:], 1):
+        every = every.unionByName(labelled(df, k))
+    names = F.element_at(F.array(*map(F.lit, PAIR_LABELS)), F.col("rank") + 1)
+    return every.groupBy(this, other).agg(F.min("rank").alias("rank")).select(this, other, names.alias("label"))

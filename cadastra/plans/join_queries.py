@@ -276,3 +276,30 @@ def link_by_id_degenerate(spark, d):
     spine = _orders(spark, d).select("o_orderkey")
     again = spine.union(spine.where("o_orderkey = 1"))
     return ln.link_by_id(again, ref, "o_orderkey", {}, F.lit(0), mode="count", placeholders=()).distinct()
+
+
+RECORDS = """(select o_orderkey as i, case when o_orderkey % 3 = 0 then 'assessor_last_sale' else 'deed' end as kind, case when o_orderkey % 3 = 0 then 'assessor_last_sale:D' || (o_orderkey + 1) else 'D' || o_orderkey end as doc, cast(year(o_orderdate) * 12 + month(o_orderdate) as int) as p,
+case when o_orderkey % 2 = 0 then cast(o_orderdate as date) end as day, cast(o_custkey % 3 as double) as price, case when o_orderkey % 5 = 0 then 'D' || (o_orderkey - 5) end as prev, case when o_orderkey % 10 = 0 then 'correct' end as reason, o_custkey % 200 as thing from orders)"""
+
+
+@query(
+    "sale_record_pairs",
+    f"""with s as {RECORDS}, x as (select a.i as a, b.i as b, case when a.kind <> b.kind and a.kind like 'a%' and a.doc = 'assessor_last_sale:' || b.doc then 0
+    when a.kind like 'a%' and b.kind = 'deed' and a.thing = b.thing and a.p = b.p and a.price = b.price then 1
+    when a.kind like 'a%' and b.kind like 'a%' and a.thing = b.thing and a.p = b.p and a.price = b.price and a.i > b.i then 2
+    when a.kind = 'deed' and b.kind = 'deed' and a.thing = b.thing and a.price > 0.5 and a.price = b.price and (a.p = b.p and a.i < b.i or a.p + 1 = b.p) and (a.day is null or b.day is null or a.day = b.day) then 3
+    when a.kind = 'deed' and b.kind = 'deed' and b.reason = 'correct' and b.prev = a.doc and a.thing = b.thing then 4
+    when a.kind = 'deed' and b.kind = 'deed' and a.thing = b.thing and a.price > 0.5 and b.price > 0.5 and a.price <> b.price and (a.p = b.p and a.i < b.i or a.p + 1 = b.p) and (a.day is null or b.day is null or a.day = b.day) then 5 end as k
+    from s a join s b on a.i <> b.i and (a.thing = b.thing or a.doc = 'assessor_last_sale:' || b.doc))
+    select a as transaction_id, b as other_transaction_id, case k when 0 then 'deed_echo_document' when 1 then 'deed_echo_period_price' when 2 then 'roll_restated' when 3 then 'double_closing' when 4 then 'restates_document' else 'resale_within_window' end as label from x where k is not null""",
+)
+def sale_record_pairs(spark, d):
+    k = c("o_orderkey")
+    rows = _orders(spark, d).select(
+        k.alias("transaction_id"), F.when(k % 3 == 0, "assessor_last_sale").alias("kind"), F.when(k % 3 == 0, F.concat(F.lit("assessor_last_sale:D"), k + 1)).otherwise(F.concat(F.lit("D"), k)).alias("document"),
+        (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("period"), F.when(k % 2 == 0, F.to_date("o_orderdate")).alias("day"), (c("o_custkey") % 3).cast("double").alias("price"), k.alias("read"),
+        F.when(k % 5 == 0, F.concat(F.lit("D"), k - 5)).alias("previous"), F.when(k % 10 == 0, "correct").alias("reason"),
+    )
+    links = _orders(spark, d).select(k.alias("transaction_id"), (c("o_custkey") % 200).alias("parcel_id"), F.lit("key").alias("link_method"))
+    stacked = links.where("transaction_id % 2 = 0").select("transaction_id", F.lit(1).alias("property_id"), F.lit("stacked_units").alias("link_method"))
+    return sa.sale_record_pairs(rows, sa.sale_things(stacked, links, "transaction_id"), 0.5, corrections=("correct",))
