@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RINGS = T.ArrayType(T.ArrayType(T.DoubleType()))
-#: Edges of a shape that meet all edges of another at a time.
-BLOCK = 512
+#: Edges of a shape that meet all edges of another at a time; numbers of an array in which small shapes are worked out together.
+BLOCK, TOGETHER = 512, 1 << 20
 #: Fixed values of the open location code: digits, and units of its tenth and eleventh digit.
 OLC_DIGITS, OLC_PAIR, OLC_ROWS, OLC_COLUMNS = "23456789CFGHJMPQRVWX", 8000, 5, 4
 
@@ -178,17 +178,73 @@ def overlap(a, b) -> tuple[float, float, float]:
     return float(total[0]), float(total[1]), float(total[2])
 
 
+def _overlaps(e: np.ndarray, valid: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """overlap() of many pairs at once: edges (pairs, places, 4), which places hold one, and which of them are of the second shape."""
+    x0, y0, x1, y1 = (e[..., i] for i in range(4))
+    i, j = np.triu_indices(e.shape[1], 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slope = (x1 - x0) / (y1 - y0)
+        dx, dy, gx, gy = x1[:, i] - x0[:, i], y1[:, i] - y0[:, i], x1[:, j] - x0[:, j], y1[:, j] - y0[:, j]
+        d = dx * gy - dy * gx
+        t = ((x0[:, j] - x0[:, i]) * gy - (y0[:, j] - y0[:, i]) * gx) / d
+        u = ((x0[:, j] - x0[:, i]) * dy - (y0[:, j] - y0[:, i]) * dx) / d
+        hit = (t > 0) & (t < 1) & (u > 0) & (u < 1) & valid[:, i] & valid[:, j]
+        crossed = np.where(hit, y0[:, i] + t * dy, np.nan)
+        heights = np.sort(np.concatenate([np.where(valid, y0, np.nan), np.where(valid, y1, np.nan), crossed], 1), 1)
+        high, mid = np.diff(heights, axis=1), (heights[:, 1:] + heights[:, :-1]) / 2
+        on = (np.minimum(y0, y1)[:, None, :] <= mid[:, :, None]) & (mid[:, :, None] < np.maximum(y0, y1)[:, None, :]) & valid[:, None, :]
+        x = np.where(on, x0[:, None, :] + (mid[:, :, None] - y0[:, None, :]) * slope[:, None, :], np.inf)
+        order = np.argsort(x, axis=2)
+        x = np.take_along_axis(x, order, 2)
+        way = np.where(on, np.where(y1 > y0, 1, -1)[:, None, :], 0)
+        turn, owner = np.take_along_axis(way, order, 2), np.take_along_axis(np.broadcast_to(second[:, None, :], order.shape), order, 2)
+        in_a, in_b = np.cumsum(np.where(owner, 0, turn), 2)[..., :-1] != 0, np.cumsum(np.where(owner, turn, 0), 2)[..., :-1] != 0
+        area = np.where(np.isfinite(x[..., 1:]), np.diff(x, axis=2), 0.0) * np.where(np.isfinite(high), high, 0.0)[:, :, None]
+    return np.stack([np.where(inside, area, 0.0).sum((1, 2)) for inside in (in_a, in_b, in_a & in_b)], 1)
+
+
+def overlaps(pairs: list[tuple]) -> np.ndarray:
+    """overlap() of each pair of shapes, as rows; pairs of few edges are worked out together."""
+    out = np.zeros((len(pairs), 3))
+    edges = [(_edges(a), _edges(b)) for a, b in pairs]
+    sizes = np.array([len(a) + len(b) for a, b in edges], int)
+    for least, places in ((0, 8), (8, 16), (16, 32)):
+        some = np.flatnonzero((sizes > least) & (sizes <= places))
+        step = max(1, TOGETHER // (places * (2 * places + places * (places - 1) // 2)))
+        for k in range(0, len(some), step):
+            part = some[k : k + step]
+            e, valid, second = np.zeros((len(part), places, 4)), np.zeros((len(part), places), bool), np.zeros((len(part), places), bool)
+            for row, at in enumerate(part):
+                a, b = edges[at]
+                e[row, : len(a)], e[row, len(a) : sizes[at]] = a, b
+                valid[row, : sizes[at]], second[row, len(a) : sizes[at]] = True, True
+            out[part] = _overlaps(e, valid, second)
+    for at in np.flatnonzero(sizes > 32):
+        out[at] = overlap(*pairs[at])
+    return out
+
+
 @F.pandas_udf(T.StructType([T.StructField(k, T.DoubleType()) for k in ("first", "second", "both")]))
 def overlap_areas(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Areas of two shapes and of their intersection; null where one is."""
-    rows = [(None, None, None) if x is None or y is None else overlap(x, y) for x, y in zip(a, b, strict=True)]
-    return pd.DataFrame(rows, columns=["first", "second", "both"]).astype("float64")
+    whole = a.notna() & b.notna()
+    out = pd.DataFrame(np.nan, index=a.index, columns=["first", "second", "both"])
+    if whole.any():
+        out.loc[whole, :] = overlaps(list(zip(a[whole], b[whole], strict=True)))
+    return out
+
+
+#: Worked out once, and not again where its result is filtered.
+overlap_areas = overlap_areas.asNondeterministic()
 
 
 @F.pandas_udf(T.DoubleType())
 def union_area(rings: pd.Series) -> pd.Series:
     """Area that the rings cover, places covered twice counted once."""
-    return pd.Series([None if r is None else overlap(r, [])[0] for r in rings], dtype="float64")
+    out = pd.Series(np.nan, index=rings.index)
+    if rings.notna().any():
+        out[rings.notna()] = overlaps([(r, []) for r in rings[rings.notna()]])[:, 0]
+    return out
 
 
 def coverage(rings, x0: float, y0: float, size: float, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -203,9 +259,9 @@ def coverage(rings, x0: float, y0: float, size: float, rows: np.ndarray, cols: n
             wind += ((y <= py) & (v > py) & (side > 0)).astype(int) - ((y > py) & (v <= py) & (side < 0))
             touched |= (max(x, u) > left) & (min(x, u) < left + size) & (max(y, v) > low) & (min(y, v) < low + size)
     out = (wind != 0).astype(float)
-    for i in np.flatnonzero(touched):
-        a, b = left[i], low[i]
-        out[i] = overlap(rings, [[a, b, a + size, b, a + size, b + size, a, b + size, a, b]])[2] / (size * size)
+    cut = np.flatnonzero(touched)
+    squares = [[[a, b, a + size, b, a + size, b + size, a, b + size, a, b]] for a, b in zip(left[cut].tolist(), low[cut].tolist(), strict=True)]
+    out[cut] = overlaps([(rings, q) for q in squares])[:, 2] / (size * size)
     return out
 
 

@@ -110,3 +110,15 @@ def test_meeting_finds_all_pairs_once(spark):
     whole = [x for x in boxes if x[1] is not None]
     want = sorted((p[0], q[0]) for p in whole for q in whole if max(p[1], q[1]) < min(p[3], q[3]) and max(p[2], q[2]) < min(p[4], q[4]))
     assert got == want
+
+
+def test_many_pairs_at_once_equal_one_by_one():
+    rng = np.random.default_rng(4)
+
+    def shape(n):
+        at = np.sort(rng.uniform(0, 2 * np.pi, n))
+        r = rng.uniform(0.3, 2, n)
+        return [ring(*zip((r * np.cos(at)).tolist(), (r * np.sin(at) + rng.uniform(-1, 1)).tolist(), strict=True))]
+
+    pairs = [(shape(int(rng.integers(3, 14))), shape(int(rng.integers(3, 14))) + shape(4)) for _ in range(60)] + [(shape(30), shape(30)), ([], shape(5)), ([], []), (SQUARE, HOLED), (SQUARE, SQUARE)]
+    assert sh.overlaps(pairs) == pytest.approx(np.array([sh.overlap(a, b) for a, b in pairs]), abs=1e-9)
