@@ -72,3 +72,22 @@ def minimum(*columns: Column) -> Column:
     for c in columns[1:]:
         absent = absent | c.isNull()
     return F.when(~absent, F.least(*columns))
+
+
+def impute_rate(df: DataFrame, value: str, size: str, tiers: list[tuple[str, list[str], int]], cap: float | None = None) -> DataFrame:
+    """Gaps filled with size times the rate (sum of values over sum of sizes) of the first tier whose group has enough donors.
+
+    tiers: (name, keys, least number of donors), finest first; cap: the most a filled value may be.  {value}_source has the tier's
+    name.  Rates are one row for each group; rows that no tier reaches keep their gap.
+    """
+    donors = df.where(F.col(value).isNotNull() & (F.col(size) > 0))
+    out, rates = df, []
+    for k, (name, keys, least) in enumerate(tiers):
+        rate = donors.groupBy(*keys).agg((F.sum(value) / F.sum(size)).alias(f"__rate{k}"), F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= least).drop("__n")
+        out = out.join(rate, keys, "left")
+        rates.append((name, F.col(f"__rate{k}")))
+    filled = F.coalesce(*(r for _, r in rates)) * F.col(size)
+    filled = F.least(filled, F.lit(cap)) if cap is not None else filled
+    label = F.coalesce(*(F.when(r.isNotNull(), F.lit(name)) for name, r in rates))
+    out = out.withColumn(f"{value}_source", F.when(F.col(value).isNull() & filled.isNotNull(), label))
+    return out.withColumn(value, F.coalesce(F.col(value), filled)).drop(*(f"__rate{k}" for k in range(len(tiers))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadastra.functions import scalar as sc
+from cadastra.functions.estimates import filled_number
 from cadastra.operators import aggregates as ag
 from cadastra.operators import groups as gr
 from cadastra.plans.catalogue import load, query
@@ -171,7 +172,7 @@ def impute_group_mode(spark, d):
 
 @query("fill_numeric", f"select p_partkey, coalesce(size, 0) as size from {GAPS}")
 def fill_numeric(spark, d):
-    return _gaps(spark, d).select("p_partkey", F.coalesce("size", F.lit(0)).alias("size"))
+    return _gaps(spark, d).select("p_partkey", filled_number(c("size"), 0, "int").alias("size"))
 
 
 @query(
@@ -182,11 +183,5 @@ def fill_numeric(spark, d):
 def land_rate_impute(spark, d):
     """Rate per size from the first tier with enough donors, capped."""
     rows = load(spark, d, "part").withColumn("land", F.when(c("p_partkey") % 7 != 0, c("p_retailprice")))
-    donors = rows.where("land is not null")
-    out = rows
-    for name, keys, least in (("brand+type", ["p_brand", "p_type"], 5), ("brand", ["p_brand"], 1)):
-        rate = donors.groupBy(*keys).agg((F.sum("land") / F.sum("p_size")).alias(f"rate_{len(keys)}"), F.count(F.lit(1)).alias("n")).where(c("n") >= least).drop("n")
-        out = out.join(rate, keys, "left")
-    value = F.least(F.lit(10000.0), F.coalesce("rate_2", "rate_1") * c("p_size"))
-    source = F.when(c("land").isNull(), F.when(c("rate_2").isNotNull(), "brand+type").when(c("rate_1").isNotNull(), "brand"))
-    return out.select("p_partkey", F.round(F.coalesce("land", value), 4).alias("land"), source.alias("land_source"))
+    out = gr.impute_rate(rows, "land", "p_size", [("brand+type", ["p_brand", "p_type"], 5), ("brand", ["p_brand"], 1)], 10000.0)
+    return out.select("p_partkey", F.round("land", 4).alias("land"), "land_source")
