@@ -33,7 +33,7 @@ from cadastra.llm.common import remainder, shared_dir, stored, table
 #: Characters of a block; bytes of a word that are coded at a time.
 BLOCK_CHARS, WORD_BYTES = 40_000_000, 48
 #: The most tasks that fit the model; bytes of texts that are walked together.
-MOST_TASKS, TOGETHER = 64, 1 << 20
+MOST_TASKS, TOGETHER = 64, mx.STEP - (1 << 18)
 #: Slots whose counts travel in a row.
 CHUNK = 1 << 14
 #: Bytes before a text, and its end: no UTF-8 text has that byte.
@@ -144,12 +144,12 @@ def fit(training: DataFrame) -> MixtureModel:
     for r in rows.mapInArrow(counted, "chunk int, counts binary").groupBy("chunk").applyInArrow(summed, "chunk int, counts binary").toLocalIterator():
         flat[r.chunk] = np.frombuffer(bytes(r.counts), np.float32)
     counts = flat.reshape(2, mx.INPUTS, mx.SLOTS)
-    shared = spark.sparkContext.broadcast(counts)
+    shared = spark.sparkContext.broadcast(mx.without_own(counts))
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, weights, seen = 0, mx.first_weights(), np.zeros((2, 256 * mx.STEPS))
         for own in _texts(batches):
-            mx.learn(own, np.ones(len(own)), shared.value, weights, seen)
+            mx.learn(own, np.ones(len(own)), None, weights, seen, shared.value)
             size += sum(map(len, own))
         if size:
             weights = weights.astype(np.float64)
@@ -160,6 +160,8 @@ def fit(training: DataFrame) -> MixtureModel:
         size += r["size"]
         weights += r["size"] * np.frombuffer(bytes(r.weights)).reshape(weights.shape)
         seen += np.frombuffer(bytes(r.seen)).reshape(seen.shape)
+    # workers are used again: what they learnt from goes before the model comes
+    shared.destroy()
     return MixtureModel(counts, weights / size if size else mx.first_weights(), mx.refining(seen))
 
 

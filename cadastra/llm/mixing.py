@@ -12,7 +12,10 @@ gradient steps on coding cost.  At last a table
 (previous byte, mixed odds) says what odds really meant, and both are averaged.
 
 Every bit only depends on bytes before it, and those are known beforehand, so
-all places of a window are walked at once, one bit at a time.
+many places are walked at once.  What a byte costs, and what is learned from
+it, depends on its contexts only: among every STEP bytes, places with equal
+contexts and bytes are found by sorting and dealt with once, as often as they
+came.
 """
 
 from __future__ import annotations
@@ -28,10 +31,14 @@ SLOTS = 1 << BITS
 #: Added to both counts of a slot; places and levels of trust that gates tell apart; places of a text walked at once.
 PRIOR, PLACES, LEVELS, WINDOW = 0.3, 4, 4, 1 << 16
 GATES = PLACES * 8 * LEVELS
-#: Learning: rate, and places of a step; one pass, whatever the size of the corpus.
-RATE, STEP = 0.5, 8192
-#: Bytes whose slots are counted at once.
-COLLECTED = 1 << 17
+#: Learning: rate, and distinct places of a step; one pass, whatever the size of the corpus.
+RATE, LEARNED = 0.5, 4096
+#: Bytes among which equal places are dealt with as one; distinct places walked at once elsewhere.
+STEP, WALKED = 1 << 22, 1 << 14
+#: Bits of the number of a place among them.
+_LOW = 22
+#: What costs are multiples of.
+UNIT = 2.0**-30
 #: Steps of the refining map, and how many observations its first guess is worth.
 STEPS, GUESS = 33, 40.0
 #: What lies before a piece; no UTF-8 text has that byte.
@@ -40,6 +47,11 @@ _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 _R = 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32, EDGE]] = True
+#: By byte, for its bits from the highest: the bits before in that half of the byte, after a one; the bit; its gate in place 0.
+_NODES = np.array([[(16 | v) >> (4 - j) for v in half] for half in ([b >> 4 for b in range(256)], [b & 15 for b in range(256)]) for j in range(4)], np.int64)
+_ONES = np.array([[b >> j & 1 for b in range(256)] for j in range(7, -1, -1)], np.uint8)
+_GATE = np.arange(7, -1, -1)[:, None] * LEVELS
+_HERE = np.arange(WINDOW)
 _MIX = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for k in range(INPUTS)]
 
 
@@ -53,103 +65,199 @@ _POWER, _BACK = _powers(_R, WINDOW), _powers(pow(_R, -1, 1 << 64), WINDOW)
 
 
 class Window:
-    """Places that are coded of some bytes: for each its piece, byte, byte before, place in the word, and hashes of contexts."""
+    """Places that are coded of some bytes: for each its piece, byte, byte before, place in the word, last bytes and word.
 
-    def __init__(self, piece: np.ndarray, byte: np.ndarray, before: np.ndarray, place: np.ndarray, hashes: list[np.ndarray]):
-        self.piece, self.byte, self.before, self.place, self.hashes = piece, byte, before, place, hashes
+    Places may stand for several equal ones; times says for how many.
+    """
+
+    def __init__(self, piece: np.ndarray, byte: np.ndarray, place: np.ndarray, last: np.ndarray, word: np.ndarray, times: np.ndarray | None = None):
+        self.piece, self.byte, self.place, self.last, self.word, self.times = piece, byte, place, last, word, times
+        #: Bytes that were looked at for them.
+        self.size = len(piece)
 
-    def walk(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-        """(gate without trust, bit, slots by input) for each bit."""
-        byte, node = self.byte.astype(np.uint64), np.ones(len(self.byte), np.uint64)
+    @property
+    def before(self) -> np.ndarray:
+        return (self.last & np.uint64(255)).astype(np.int64)
+
+    @property
+    def hashes(self) -> list[np.ndarray]:
+        """Hashes of the contexts."""
+        out = []
+        with np.errstate(over="ignore"):
+            for k in range(INPUTS):
+                h = self.last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else self.word.copy()
+                h += _MIX[k]
+                h *= _A
+                h ^= h >> np.uint64(29)
+                h *= _B
+                h ^= h >> np.uint64(32)
+                out.append(h)
+        return out
+
+    def parts(self, size: int, scattered: bool = False) -> Iterator[Window]:
+        """About size places at a time: neighbours, or scattered over all of them."""
+        n = -(-len(self.byte) // size)
+        for i in range(n):
+            at = slice(i, None, n) if scattered else slice(i * size, (i + 1) * size)
+            yield Window(self.piece[at], self.byte[at], self.place[at], self.last[at], self.word[at], self.times[at])
+
+    def walk(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(gate without trust, bit, slots by input), each for all bits (highest first) of all places.
+
+        A context has a hash for either half of the byte; the bits of a half are told apart in its last four bits, so
+        their slots lie side by side in memory.
+        """
+        node, y = _NODES.take(self.byte, axis=1), _ONES.take(self.byte, axis=1)
+        half = (self.byte.astype(np.uint64) >> np.uint64(4)) + np.uint64(1)
+        slots = []
         with np.errstate(over="ignore"):
-            for bit in range(7, -1, -1):
-                m = node * _B
-                slots = [((h + m) * _C >> np.uint64(64 - BITS)).view(np.int64) for h in self.hashes]
-                y = byte >> np.uint64(bit) & np.uint64(1)
-                yield (self.place * 8 + bit) * LEVELS, y.astype(np.float32), slots
-                node = node * np.uint64(2) + y
+            half *= _B
+            for h in self.hashes:
+                at = np.empty(node.shape, np.int64)
+                np.bitwise_xor(node[:4], (h >> np.uint64(64 - BITS)).view(np.int64), out=at[:4])
+                h += half
+                h *= _C
+                h ^= h >> np.uint64(31)
+                h *= _A
+                np.bitwise_xor(node[4:], (h >> np.uint64(64 - BITS)).view(np.int64), out=at[4:])
+                slots.append(at)
+        return self.place.astype(np.int64) * (8 * LEVELS) + _GATE, y, slots
 
 
 def windows(pieces: list[bytes], size: int = WINDOW) -> Iterator[Window]:
     """All coded places of the pieces, about `size` at a time; a long piece goes on in the next window with its contexts whole."""
     pad = bytes([EDGE]) * max(ORDERS)
-    raw = np.frombuffer(pad + b"".join(pad[1:] + p for p in pieces), np.uint8)
+    raw = np.frombuffer(pad + b"".join(pad[1:] + p for p in pieces) + bytes(8), np.uint8)
     lead, length = len(pad), np.array([len(p) + len(pad) - 1 for p in pieces], np.int64)
     ends = lead + np.cumsum(length)
     first = ends - length
     # the hash and the length of the word that reaches into the window
     carry, reach, was_space = 0, 0, True
+    stop = len(raw) - 8
     with np.errstate(over="ignore"):
-        for at in range(lead, len(raw), size):
-            part = raw[at - lead : at + size]
+        for at in range(lead, stop, size):
+            part = raw[at - lead : min(at + size, stop)]
+            n = len(part) - lead
             own = part[lead:].astype(np.uint64)
-            n = len(own)
-            here = np.arange(n)
-            piece = np.searchsorted(ends, at + here, side="right")
-            offset = at + here - first[piece]
-            space = _SPACE[part]
+            here = _HERE[:n]
+            low, high = np.searchsorted(ends, (at, at + n - 1), side="right")
+            within = np.minimum(ends[low : high + 1], at + n) - np.maximum(first[low : high + 1], at)
+            piece = np.repeat(np.arange(low, high + 1, dtype=np.int32), within)
+            space = _SPACE.take(part)
             space[lead - 1] = was_space
             # words begin after white space; so does each piece, with the bytes before it
-            starts = (~space[lead:] & space[lead - 1 : -1]) | (offset == 0)
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((own + np.uint64(1)) * _POWER[:n], dtype=np.uint64)])
-            since = np.maximum.accumulate(np.where(starts, here, -1))
-            since = np.concatenate([[-1], since[:-1]])
-            inside = since >= 0
-            word = np.where(inside, (total[:-1] - total[np.maximum(since, 0)]) * _BACK[np.maximum(since, 0)], np.uint64(carry) + np.uint64(pow(_R, reach, 1 << 64)) * total[:-1])
-            dist = np.where(inside, here - since, here + reach)
-            place = np.where(space[lead - 1 : -1], 0, np.minimum(dist, PLACES - 1))
+            starts = ~space[lead:] & space[lead - 1 : -1]
+            begun = first[low : high + 1] - at
+            starts[begun[begun >= 0]] = True
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum((own + np.uint64(1)) * _POWER[:n], out=total[1:])
+            since = np.empty(n, np.int64)
+            since[0] = -1
+            np.maximum.accumulate(np.where(starts[:-1], here[:-1], -1), out=since[1:])
+            word = total[:-1] - total.take(since, mode="clip")
+            word *= _BACK.take(since, mode="clip")
+            dist = here - since
+            into = int(np.searchsorted(since, 0))
+            if into:
+                word[:into] = np.uint64(carry) + np.uint64(pow(_R, reach, 1 << 64)) * total[:into]
+                dist[:into] = here[:into] + reach
+            place = np.where(space[lead - 1 : -1], 0, np.minimum(dist, PLACES - 1)).astype(np.uint8)
             # one byte at the end of the pads isn't coded either
-            coded = np.flatnonzero(offset >= lead)
+            coded = np.ones(n, bool)
+            skipped = (begun[:, None] + np.arange(lead)).ravel()
+            coded[skipped[(skipped >= 0) & (skipped < n)]] = False
             last = int(np.flatnonzero(starts)[-1]) if starts.any() else -1
             if last >= 0:
                 carry, reach = int((total[n] - total[last]) * _BACK[last]), n - last
             else:
                 carry, reach = (carry + pow(_R, reach, 1 << 64) * int(total[n])) % (1 << 64), reach + n
             was_space = bool(space[-1])
-            if not len(coded):
-                continue
-            hashes, context = [], np.zeros(len(coded), np.uint64)
-            for back in range(1, max(ORDERS) + 1):
-                context = context | part[lead - back + coded].astype(np.uint64) << np.uint64(8 * (back - 1))
-                if back in ORDERS:
-                    hashes.append(context)
-            hashes.append(word[coded] ^ dist[coded].astype(np.uint64) << np.uint64(48))
-            for k, h in enumerate(hashes):
-                h = (h + _MIX[k]) * _A
-                h = (h ^ h >> np.uint64(29)) * _B
-                hashes[k] = h ^ h >> np.uint64(32)
-            yield Window(piece[coded], own[coded], part[lead - 1 + coded].astype(np.int64), place[coded], hashes)
+            # the bytes before a place, the nearest in the lowest bits
+            context = np.ndarray((n,), "<u8", raw, at - lead, (1,)).byteswap() >> np.uint64(8 * (8 - lead))
+            word ^= dist.view(np.uint64) << np.uint64(48)
+            w = Window(piece[coded], part[lead:][coded], place[coded], context[coded], word[coded])
+            w.size = n
+            yield w
 
 
-def count(pieces: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
-    """Add what the pieces say to counts, of shape (2, INPUTS, SLOTS)."""
-    ones = bool((times == 1).all())
-    cells: list[list[np.ndarray]] = [[] for _ in range(INPUTS)]
-    weights: list[np.ndarray] = []
-    held = 0
-
-    def add() -> None:
-        t = None if ones else np.concatenate(weights)
-        for k in range(INPUTS):
-            found = np.bincount(np.concatenate(cells[k]), t, minlength=2 * SLOTS)
-            counts[:, k] += found.reshape(2, SLOTS)
-            cells[k].clear()
-        weights.clear()
+def _keys(w: Window) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of contexts and byte, what places are sorted by).
 
+    The latter has five bits of each of the last four bytes, so that slots are met in few places at a time, then eleven
+    of a hash of the contexts and eleven of the key, above 22 that are free.
+    """
+    with np.errstate(over="ignore"):
+        both = w.last * _A
+        both ^= both >> np.uint64(32)
+        both += w.word
+        both *= _B
+        both ^= both >> np.uint64(29)
+        both *= _C
+        key = both + w.byte
+        key *= _A
+        key ^= key >> np.uint64(32)
+        order = w.last & np.uint64(31)
+        for back in (8, 16, 24):
+            order <<= np.uint64(5)
+            order |= w.last >> np.uint64(back) & np.uint64(31)
+        order <<= np.uint64(11)
+        order |= both >> np.uint64(53)
+        order <<= np.uint64(11)
+        order |= key & np.uint64(2047)
+        order <<= np.uint64(_LOW)
+    return key, order
+
+
+def _distinct(piece: np.ndarray, byte: np.ndarray, place: np.ndarray, last: np.ndarray, word: np.ndarray, key: np.ndarray, order: np.ndarray, times: np.ndarray, each: bool) -> tuple[Window, np.ndarray | None, np.ndarray]:
+    n = len(key)
+    order |= np.arange(n, dtype=np.uint64)
+    order.sort()
+    order &= np.uint64((1 << _LOW) - 1)
+    order = order.view(np.int64)
+    # where places that differ agree in what they are sorted by, equal ones may come in several runs
+    begin = np.ones(n, bool)
+    for i in range(0, n, WINDOW):
+        k = key.take(order[i : i + WINDOW + 1])
+        np.not_equal(k[1:], k[:-1], out=begin[i + 1 : i + len(k)])
+    begins = np.flatnonzero(begin)
+    number = np.diff(begins, append=n)
+    once = bool((times == 1).all())
+    pieces = piece.take(order) if each or not once else None
+    weight = number.astype(np.float32) if once or not n else np.add.reduceat(times.take(pieces), begins).astype(np.float32)
+    at = order.take(begins)
+    return Window(piece.take(at), byte.take(at), place.take(at), last.take(at), word.take(at), weight), pieces, number
+
+
+def distinct(pieces: list[bytes], times: np.ndarray | None = None, each: bool = False) -> Iterator[tuple[Window, np.ndarray | None, np.ndarray]]:
+    """Of every STEP bytes, places with equal contexts and bytes as one, how many there are of each, and, with `each`, the pieces of all in that order."""
+    times = np.ones(len(pieces)) if times is None else times
+    most = min(STEP, sum(map(len, pieces)) + max(ORDERS) * len(pieces))
+    held = [np.empty(most, kind) for kind in (np.int32, np.uint8, np.uint8, np.uint64, np.uint64, np.uint64, np.uint64)]
+    n = size = 0
     for w in windows(pieces):
-        t = None if ones else times[w.piece]
-        for _, y, slots in w.walk():
-            one = y.astype(np.int64) << BITS
+        for column, part in zip(held, (w.piece, w.byte, w.place, w.last, w.word, *_keys(w)), strict=True):
+            column[n : n + len(part)] = part
+        n, size = n + len(w.piece), size + w.size
+        if size >= STEP:
+            yield _distinct(*(c[:n] for c in held), times, each)
+            n = size = 0
+    if size:
+        yield _distinct(*(c[:n] for c in held), times, each)
+
+
+def count(pieces: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
+    """Add what the pieces say to counts, of shape (2, INPUTS, SLOTS)."""
+    flat = counts.reshape(-1)
+    for found, _, _ in distinct(pieces, times):
+        for w in found.parts(WALKED):
+            _, y, slots = w.walk()
+            one = y * np.int64(INPUTS * SLOTS)
+            t = np.broadcast_to(w.times, y.shape).ravel()
             for k in range(INPUTS):
-                cells[k].append(slots[k] + one)
-            if not ones:
-                weights.append(t)
-        held += len(w.piece)
-        if held >= COLLECTED:
-            add()
-            held = 0
-    if held:
-        add()
+                at = slots[k]
+                at += one
+                at += k * SLOTS
+                np.add.at(flat, at.ravel(), t)
 
 
 def level(seen: np.ndarray) -> np.ndarray:
@@ -166,18 +274,15 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _without_own(counts: np.ndarray, slots: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Odds at the slots, and level, as they were without one occurrence of the bit itself."""
-    zero = np.stack([counts[0, k].take(s) for k, s in enumerate(slots)])
-    one = np.stack([counts[1, k].take(s) for k, s in enumerate(slots)])
-    one -= y
-    zero -= 1 - y
-    np.maximum(one, 0, out=one)
-    np.maximum(zero, 0, out=zero)
-    trust = level(zero[-1] + one[-1])
-    one += np.float32(PRIOR)
-    zero += np.float32(PRIOR)
-    return np.log(one / zero), trust
+def without_own(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Odds in every slot, of shape (INPUTS, 2 * SLOTS), and levels of the longest context's, as they were without one 0, then without one 1."""
+    x = np.empty((INPUTS, 2, SLOTS), np.float32)
+    for k in range(INPUTS):
+        zero, one = counts[0, k], counts[1, k]
+        x[k, 0] = np.log((one + np.float32(PRIOR)) / (np.maximum(zero - 1, 0) + np.float32(PRIOR)))
+        x[k, 1] = np.log((np.maximum(one - 1, 0) + np.float32(PRIOR)) / (zero + np.float32(PRIOR)))
+    zero, one = counts[0, -1], counts[1, -1]
+    return x.reshape(INPUTS, 2 * SLOTS), np.concatenate([level(np.maximum(zero - 1, 0) + one), level(zero + np.maximum(one - 1, 0))])
 
 
 def first_weights() -> np.ndarray:
@@ -188,32 +293,41 @@ def step_of(z: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(z * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
-def _mixed(x: list[np.ndarray] | np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    z = np.zeros(len(gate), np.float32)
+def _mixed(x: list[np.ndarray], gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    z = np.zeros(gate.shape, np.float32)
     for k in range(INPUTS):
-        z += weights[:, k].take(gate) * x[k]
+        z += np.ascontiguousarray(weights[:, k]).take(gate) * x[k]
     return z
 
 
-def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray, weights: np.ndarray, seen: np.ndarray) -> None:
-    """One online pass over all places: weights move with every step and bit.
+def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray | None, weights: np.ndarray, seen: np.ndarray, own: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+    """One online pass over all places: weights move with every LEARNED distinct ones, each as often as it came.
 
     It also adds to seen, of shape (2, 256 * STEPS), how often bits and ones came with each byte before and
-    step of mixed odds, as they were before the weights moved.
+    step of mixed odds, as they were before the weights moved.  own: without_own(counts), where that is known; counts
+    aren't asked for then.
     """
-    for w in windows(pieces, STEP):
-        t = times[w.piece].astype(np.float32)
-        for first, y, slots in w.walk():
-            x, trust = _without_own(counts, slots, y)
-            gate = first + trust
+    odd, trust = own or without_own(counts)
+    for found, _, _ in distinct(pieces, times):
+        for w in found.parts(LEARNED, scattered=True):
+            gate, y, slots = w.walk()
+            one = y * np.int64(SLOTS)
+            t = np.broadcast_to(w.times, y.shape)
+            x = []
+            for k in range(INPUTS):
+                slots[k] += one
+                x.append(odd[k].take(slots[k]))
+            gate = gate + trust.take(slots[-1])
             z = _mixed(x, gate, weights)
             error = t * (y - sigmoid(z))
-            total = np.bincount(gate, t, minlength=GATES) + 50.0
+            # gates tell bits apart, so that those of a place don't wait for each other
+            cells = gate.ravel()
+            total = np.bincount(cells, t.ravel(), minlength=GATES) + 50.0
             for k in range(INPUTS):
-                weights[:, k] += RATE * np.bincount(gate, x[k] * error, minlength=GATES) / total
-            cell = w.before * STEPS + step_of(z)
-            seen[0] += np.bincount(cell, t, minlength=seen.shape[1])
-            seen[1] += np.bincount(cell, t * y, minlength=seen.shape[1])
+                weights[:, k] += RATE * np.bincount(cells, (x[k] * error).ravel(), minlength=GATES) / total
+            cell = (w.before * STEPS + step_of(z)).ravel()
+            seen[0] += np.bincount(cell, t.ravel(), minlength=seen.shape[1])
+            seen[1] += np.bincount(cell, (t * y).ravel(), minlength=seen.shape[1])
 
 
 def refining(seen: np.ndarray) -> np.ndarray:
@@ -222,15 +336,18 @@ def refining(seen: np.ndarray) -> np.ndarray:
 
 
 def cost(pieces: list[bytes], table: np.ndarray, trust: np.ndarray, weights: np.ndarray, refine: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each piece."""
+    """log10 of the probability of each piece; the same for equal pieces, whatever lies beside them."""
     out = np.zeros(len(pieces))
-    w = weights.astype(np.float32)
-    for part in windows(pieces):
-        total = np.zeros(len(part.piece))
-        for first, y, slots in part.walk():
-            z = _mixed([table[k].take(s) for k, s in enumerate(slots)], first + trust.take(slots[-1]), w)
-            p = 0.5 * (sigmoid(z) + refine.take(part.before * STEPS + step_of(z)))
-            p = np.clip(p.astype(np.float64), 1e-7, 1 - 1e-7)
-            total += np.log10(np.where(y == 1, p, 1 - p))
-        out += np.bincount(part.piece, total, minlength=len(pieces))
+    weights = weights.astype(np.float32)
+    for found, piece, number in distinct(pieces, each=True):
+        costs = []
+        for w in found.parts(WALKED):
+            gate, y, slots = w.walk()
+            z = _mixed([table[k].take(s) for k, s in enumerate(slots)], gate + trust.take(slots[-1]), weights)
+            p = np.float32(0.5) * (sigmoid(z) + refine.take(w.before * STEPS + step_of(z)))
+            p = np.clip(p, np.float32(1e-7), np.float32(1 - 1e-7))
+            costs.append(np.log(np.where(y, p, 1 - p)).sum(axis=0))
+        # in units of which float64 sums are exact, so that their order doesn't matter
+        each = np.rint(np.concatenate(costs) * (np.log10(np.e) / UNIT)) * UNIT
+        out += np.bincount(piece, np.repeat(each, number), minlength=len(pieces))
     return out

@@ -100,3 +100,38 @@ def test_small_corpora_are_learnt_from_once():
 
     (a, sa), (b, sb) = learnt([piece] * 2), learnt([piece], [piece])
     assert (a == b).all() and (sa == sb).all() and sa[0].sum() == 2 * 8 * (len(piece) - 1)
+
+
+def test_equal_places_are_dealt_with_once():
+    """Copies add no distinct places; their counts, costs and what is learnt are those of all places one by one."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    texts = [b"\xff" + b" ".join(rng.choice([b"alpha", b"Beta", b"ga", b"d\xc3\xa9lta"], 60)) + b"\xff" for _ in range(20)]
+    pieces = texts * 5
+    (once, _, _), (found, piece, number) = next(mixing.distinct(texts)), next(mixing.distinct(pieces, each=True))
+    assert len(found.byte) == len(once.byte) < number.sum() / 5
+    assert number.sum() == len(piece) == sum(len(p) - 1 for p in pieces) and (found.times == number).all()
+    assert (np.bincount(piece) == [len(p) - 1 for p in pieces]).all()
+    one_by_one = {tuple(map(int, x)) for w in mixing.windows(pieces) for x in zip(w.byte, w.place, w.last, w.word, strict=True)}
+    assert one_by_one == {tuple(map(int, x)) for x in zip(found.byte, found.place, found.last, found.word, strict=True)}
+
+    counts, plain = np.zeros((2, 2, mixing.INPUTS, mixing.SLOTS), np.float32)
+    mixing.count(pieces, np.ones(len(pieces)), counts)
+    for w in mixing.windows(pieces):
+        _, y, slots = w.walk()
+        for k in range(mixing.INPUTS):
+            for v in (0, 1):
+                plain[v, k] += np.bincount(slots[k][y == v], minlength=mixing.SLOTS)
+    assert (counts == plain).all()
+    twice = np.zeros_like(counts)
+    mixing.count(texts, np.full(len(texts), 5.0), twice)
+    assert (counts == twice).all()
+
+    weights, seen = mixing.first_weights(), np.zeros((2, 256 * mixing.STEPS))
+    mixing.learn(pieces, np.ones(len(pieces)), counts, weights, seen)
+    assert seen[0].sum() == 8 * number.sum()
+    table, trust = mixing.odds(counts)
+    cost = mixing.cost(pieces, table, trust, weights, mixing.refining(seen))
+    alone = [mixing.cost([p], table, trust, weights, mixing.refining(seen))[0] for p in texts]
+    assert (cost == alone * 5).all()
