@@ -19,7 +19,9 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,7 +33,7 @@ from cadastra.llm.held import held
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 RUN = re.compile(r"\s\s")
 #: Encoded words and their characters that a worker keeps between batches, and characters dealt with at a time.
-CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 250_000, 16_000_000, 2_000_000
+CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 250_000, 16_000_000, 250_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -197,17 +199,51 @@ def load(path: str) -> TrieBpe:
     return held(("bpe", path), lambda: TrieBpe(path))
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
-    """Consecutive texts of bounded total length; a longer text comes alone."""
-    part, size = [], 0
-    for t in texts:
-        if part and size + len(t) > most:
-            yield part
-            part, size = [], 0
-        part.append(t)
-        size += len(t)
-    if part:
-        yield part
+def slices(column: pa.Array, most: int = SLICE_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts (null: empty) of bounded total length; a longer text comes alone.  Only these are Python's at a time."""
+    begin, size = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(column), 0).to_pylist()):
+        if i > begin and size + n > most:
+            yield [t or "" for t in column.slice(begin, i - begin).to_pylist()]
+            begin, size = i, 0
+        size += n
+    if begin < len(column):
+        yield [t or "" for t in column.slice(begin).to_pylist()]
+
+
+def _id_lists(packed: list[bytes]) -> pa.Array:
+    """Packed ids as lists, without a Python number for each."""
+    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
+    ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(packed))])
+    return pa.ListArray.from_arrays(pa.array(offsets), ids)
+
+
+def encoded(batches: Iterator[pa.RecordBatch], path: str, keep: tuple[str, ...], ids: bool, texts: bool) -> Iterator[pa.RecordBatch]:
+    """Batches of the columns `keep` and a text, as encode() has them; of a batch, however large, a slice of texts is dealt with at a time."""
+    bpe = load(path)
+    for batch in batches:
+        done = 0
+        for part in slices(batch.column(len(keep))):
+            packed = bpe.encode_batch(part)
+            decoded = [bpe.decode(p) for p in packed]
+            columns = [batch.column(i).slice(done, len(part)) for i in range(len(keep))]
+            columns += [
+                pa.array([len(p) // 4 for p in packed], pa.int64()),
+                pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+            ]
+            names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
+            if ids:
+                columns.append(_id_lists(packed))
+                names.append("token_ids")
+            if texts:
+                columns.append(pa.array([d.decode() for d in decoded], pa.string()))
+                names.append("decoded")
+            done += len(part)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            del part, packed, decoded, columns
+        # what Arrow took for the batch and its results goes back, not to a store of its own
+        pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = False, texts: bool = False) -> DataFrame:
@@ -228,27 +264,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
         schema = schema.add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            done = 0
-            for part in slices([t or "" for t in batch.column(len(keep)).to_pylist()]):
-                packed = bpe.encode_batch(part)
-                decoded = [bpe.decode(p) for p in packed]
-                columns = [batch.column(i).slice(done, len(part)) for i in range(len(keep))]
-                columns += [
-                    pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
-                    pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
-                ]
-                names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
-                if ids:
-                    columns.append(pa.array([memoryview(p).cast("I").tolist() for p in packed], pa.list_(pa.int32())))
-                    names.append("token_ids")
-                if texts:
-                    columns.append(pa.array([d.decode() for d in decoded], pa.string()))
-                    names.append("decoded")
-                done += len(part)
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        return encoded(batches, path, keep, ids, texts)
 
     return source.mapInArrow(run, schema)
 

@@ -43,3 +43,27 @@ def test_documents(spark):
 
 def test_empty_table(spark):
     assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), bpe.vocabulary()).count() == 0
+
+
+def test_memory_is_that_of_a_slice():
+    """A batch of many texts takes Python objects for some of them at a time, and none for each token; rows stay in order."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [None, "", *(f"{i} " + "the quick brown fox, " * 5000 for i in range(60)), None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    ours = bpe.load(bpe.vocabulary())
+    want = [list(struct.unpack(f"<{len(p) // 4}I", p)) for t in texts for p in ours.encode_batch([t or ""])]
+    tracemalloc.start()
+    n = 0
+    for out in bpe.encoded(iter([batch]), bpe.vocabulary(), ("doc_id",), ids=True, texts=False):
+        for r in range(out.num_rows):
+            assert out.column("doc_id")[r].as_py() == n
+            assert out.column("n_tokens")[r].as_py() == len(want[n])
+            assert out.column("token_ids").slice(r, 1).flatten().equals(pa.array(want[n], pa.int32()))
+            n += 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts)
+    assert peak < 16_000_000
