@@ -13,6 +13,11 @@ in its place.
    map; the results, of fixed size, are summed.
 4. Each block gets the base of its own words, and scores its documents by
    both.
+
+Scoring walks texts that look alike together, whose places are more often equal;
+weights are learnt in the order of the texts, so that no kind of text is the last;
+words of a block are held as arrays, a number for each, and are Python's only
+for the texts that are walked together.
 """
 
 from __future__ import annotations
@@ -20,9 +25,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +41,8 @@ from cadastra.llm.common import remainder, shared_dir, stored, table
 BLOCK_CHARS, WORD_BYTES = 40_000_000, 48
 #: The most tasks that fit the model; bytes of texts that are walked together.
 MOST_TASKS, TOGETHER = 64, mx.STEP - (1 << 18)
+#: Bytes of texts among which those that look alike are found; of a text's opening that are looked at; entries of words that wait to be summed.
+NEAR, OPENING, WAITING = 1 << 25, 600, 1 << 20
 #: Slots whose counts travel in a row.
 CHUNK = 1 << 14
 #: Bytes before a text, and its end: no UTF-8 text has that byte.
@@ -62,32 +71,95 @@ def dealt(docs: DataFrame, text: str, train: Column, keep: list) -> DataFrame:
     return rows.withColumn("__block", F.pmod(F.xxhash64("__text", *[c for c in rows.columns if c not in ("__train", "__text")]), F.lit(blocks)).cast("int"))
 
 
+def near(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """(where they begin, consecutive texts, null as empty) of at most NEAR bytes; a longer text comes alone."""
+    column = column.cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + NEAR, side="right")))
+        yield begin, [t or b"" for t in column.slice(begin, end - begin).to_pylist()]
+        begin = end
+
+
+def alike(texts: list[bytes]) -> list[int]:
+    """An order of the texts in which those of one language, template or origin are neighbours: by the most frequent word of their opening, then by that."""
+
+    def look(i: int) -> tuple[bytes, bytes]:
+        opening = texts[i][:OPENING]
+        words = Counter(opening.split())
+        return max(words, key=words.get) if words else b"", opening
+
+    return sorted(range(len(texts)), key=look)
+
+
+def together(texts: list[bytes], order: list[int]) -> Iterator[list[int]]:
+    """Numbers of texts, about TOGETHER bytes at a time."""
+    held, size = [], 0
+    for i in order:
+        held.append(i)
+        size += len(texts[i]) + 2
+        if size >= TOGETHER:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _runs(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(begin, end) of rows that agree in the columns."""
+    n = len(columns[0])
+    change = np.zeros(max(0, n - 1), bool)
+    for c in columns:
+        change |= c[1:] != c[:-1]
+    edges = [0, *(np.flatnonzero(change) + 1).tolist(), n]
+    return ((b, e) for b, e in zip(edges, edges[1:], strict=False) if e > b)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Keys, each once, with the sums of their numbers, as a single part."""
+    keys, numbers = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(keys)
+    keys = keys.take(order)
+    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return [(keys.take(begins), np.add.reduceat(numbers.take(order), begins))]
+
+
 def gathered(rows: DataFrame) -> DataFrame:
     """(block, key, n): distinct words of each block with their counts in training documents."""
 
-    def out(block: int, found: Counter) -> Iterator[pa.RecordBatch]:
-        items = list(found.items())
-        for i in range(0, len(items), 20_000):
-            part = items[i : i + 20_000]
-            columns = [pa.array([block] * len(part), pa.int32()), pa.array([key_of(w) for w, _ in part], pa.int64()), pa.array([n for _, n in part], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "key", "n"])
+    def out(block: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for keys, numbers in _summed(parts) if parts else ():
+            for i in range(0, len(keys), 20_000):
+                own = keys[i : i + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block, np.int32)), pa.array(own), pa.array(numbers[i : i + 20_000])], names=["block", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, found = None, Counter()
+        at, parts, waiting = None, [], 0
         for batch in batches:
-            for block, train, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if block != at:
+            blocks, train = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for begin, end in _runs(blocks):
+                if blocks[begin] != at:
                     if at is not None:
-                        yield from out(at, found)
-                    at, found = block, Counter()
-                words = text.encode().lower().split()
-                if train:
-                    found.update(words)
-                else:
-                    for w in words:
-                        found.setdefault(w, 0)
+                        yield from out(at, parts)
+                    at, parts, waiting = int(blocks[begin]), [], 0
+                for first, texts in near(batch.column(2).slice(begin, end - begin)):
+                    for some in together(texts, range(len(texts))):
+                        found, others = Counter(), set()
+                        for i in some:
+                            (found if train[begin + first + i] else others).update(texts[i].lower().split())
+                        others.difference_update(found)
+                        keys = np.fromiter(map(key_of, chain(found, others)), np.int64, len(found) + len(others))
+                        numbers = np.zeros(len(keys), np.int64)
+                        numbers[: len(found)] = list(found.values())
+                        if len(keys):
+                            parts.append((keys, numbers))
+                            waiting += len(keys)
+                        if waiting > WAITING:
+                            parts = _summed(parts)
+                            waiting = 0
         if at is not None:
-            yield from out(at, found)
+            yield from out(at, parts)
 
     # ordered by block, so that a worker holds one block's words at a time
     ordered = rows.select("__block", "__train", "__text").repartition("__block").sortWithinPartitions("__block")
@@ -96,16 +168,10 @@ def gathered(rows: DataFrame) -> DataFrame:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     """Texts of the batches as the mixture's pieces, about TOGETHER bytes at a time."""
-    held, size = [], 0
     for batch in batches:
-        for text in batch.column(0):
-            held.append(EDGE + (text.as_py() or "").encode() + EDGE)
-            size += len(held[-1])
-            if size >= TOGETHER:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+        for _, texts in near(batch.column(0)):
+            for some in together(texts, range(len(texts))):
+                yield [EDGE + texts[i] + EDGE for i in some]
 
 
 class MixtureModel:
@@ -165,6 +231,31 @@ def fit(training: DataFrame) -> MixtureModel:
     return MixtureModel(counts, weights / size if size else mx.first_weights(), mx.refining(seen))
 
 
+def _entries(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Keys of a block's words, sorted, with the base of each and whether it is known."""
+    if not parts:
+        return [np.empty(0, np.int64), np.empty(0), np.empty(0, bool)]
+    keys, base, known = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(keys)
+    return [keys.take(order).astype(np.int64), base.take(order).astype(np.float64), known.take(order).astype(bool)]
+
+
+def _base(texts: list[bytes], keys: np.ndarray, base: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, known ones, sum of their base) of each text."""
+    words = [t.lower().split() for t in texts]
+    number = np.array([len(w) for w in words], np.int64)
+    each = {w: i for i, w in enumerate(set().union(*words))}
+    own = np.fromiter(map(key_of, each), np.int64, len(each))
+    order = np.argsort(own)
+    at = np.empty(len(each), np.int64)
+    at[order] = np.searchsorted(keys, own.take(order))
+    if not (keys.take(at) == own).all():
+        raise KeyError("a word of a block that isn't among its words")
+    at = at.take(np.fromiter(map(each.__getitem__, chain.from_iterable(words)), np.int64, int(number.sum())))
+    text = np.repeat(np.arange(len(texts)), number)
+    return number, np.bincount(text, known.take(at), len(texts)).astype(np.int64), np.bincount(text, base.take(at), len(texts))
+
+
 def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "text") -> DataFrame:
     """`keep`, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the whole text by the mixture) and bits_per_byte, for each row.
 
@@ -195,42 +286,30 @@ def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "t
     end_base, end_known = math.log10(ends + 1) - unit, int(ends > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = None
-        by_key: dict[int, tuple[float, bool]] = {}
-
-        class Values(dict):
-            def __missing__(self, word: bytes) -> tuple[float, bool]:
-                self[word] = v = by_key[key_of(word)]
-                return v
-
-        value_of = Values()
+        at, parts, entries = None, [], None
         for batch in batches:
-            block, is_text, *values, texts = (batch.column(i).to_pylist() for i in range(6))
-            entries = zip(*values, strict=True)
-            picked, results, raw, scores, size = [], [], [], [], 0
-            for i, (key, base, known) in enumerate(entries):
-                if block[i] != at:
-                    at = block[i]
-                    by_key.clear()
-                    value_of.clear()
-                if not is_text[i]:
-                    by_key[key] = (base, known)
+            blocks, is_text = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for begin, end in _runs(blocks, is_text):
+                if blocks[begin] != at:
+                    at, parts, entries = blocks[begin], [], None
+                if not is_text[begin]:
+                    parts.append([batch.column(i).slice(begin, end - begin).to_numpy(zero_copy_only=False) for i in (2, 3, 4)])
                     continue
-                raw.append(texts[i].encode())
-                found = list(map(value_of.__getitem__, raw[-1].lower().split()))
-                base, known = map(math.fsum, zip(*found, strict=True)) if found else (0.0, 0)
-                results.append((len(found) + 1, int(known) + end_known, total, base + end_base, len(raw[-1])))
-                picked.append(i)
-                size += len(raw[-1])
-                if size >= TOGETHER:
-                    scores.extend(shared.value.cost(raw).tolist())
-                    raw, size = [], 0
-            if raw:
-                scores.extend(shared.value.cost(raw).tolist())
-            results = [(*r[:4], s, -s * math.log2(10) / r[4] if r[4] else None) for r, s in zip(results, scores, strict=True)]
-            own_columns = [batch.column(6 + j).take(pa.array(picked, pa.int64())) for j in range(len(kept))]
-            columns = [pa.array([r[j] for r in results], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*own_columns, *columns], names=[*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+                if entries is None:
+                    entries, parts = _entries(parts), []
+                for first, texts in near(batch.column(5).slice(begin, end - begin)):
+                    n_tokens, n_known = np.empty((2, len(texts)), np.int64)
+                    base, score, size = np.empty((3, len(texts)))
+                    for some in together(texts, alike(texts)):
+                        raw = [texts[i] for i in some]
+                        n_tokens[some], n_known[some], base[some] = _base(raw, *entries)
+                        score[some] = shared.value.cost(raw)
+                        size[some] = [len(t) for t in raw]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        bits = -score * math.log2(10) / size
+                    own = [batch.column(6 + j).slice(begin + first, len(texts)) for j in range(len(kept))]
+                    columns = [pa.array(n_tokens + 1), pa.array(n_known + end_known), pa.array(np.full(len(texts), total, np.int64)), pa.array(base + end_base), pa.array(score), pa.array(bits, mask=size == 0)]
+                    yield pa.RecordBatch.from_arrays([*own, *columns], names=[*kept, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
     schema = rows.select(*kept).schema
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"), ("bits_per_byte", "double")):

@@ -15,7 +15,10 @@ Every bit only depends on bytes before it, and those are known beforehand, so
 many places are walked at once.  What a byte costs, and what is learned from
 it, depends on its contexts only: among every STEP bytes, places with equal
 contexts and bytes are found by sorting and dealt with once, as often as they
-came.
+came.  Counting needs no places at all: a sort by the nearest bytes lays equal
+contexts of every order side by side, each with the byte that followed, and
+each is counted once.  Elsewhere, what short contexts say is looked up once for
+neighbours that share them.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ GATES = PLACES * 8 * LEVELS
 RATE, LEARNED = 0.5, 4096
 #: Bytes among which equal places are dealt with as one; distinct places walked at once elsewhere.
 STEP, WALKED = 1 << 22, 1 << 14
+#: Steps of learning for which what tables have is looked up at once.
+TOGETHER = 16
 #: Bits of the number of a place among them.
 _LOW = 22
 #: What costs are multiples of.
@@ -45,16 +50,33 @@ STEPS, GUESS = 33, 40.0
 EDGE = 0xFF
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _R = 0xD6E8FEB86659FD93
+_FREE = np.uint64((1 << 64) - 256)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32, EDGE]] = True
-#: By byte, for its bits from the highest: the bits before in that half of the byte, after a one; the bit; its gate in place 0.
+#: By byte, for its bits from the highest: the bits before in that half of the byte, after a one; the bit.
 _NODES = np.array([[(16 | v) >> (4 - j) for v in half] for half in ([b >> 4 for b in range(256)], [b & 15 for b in range(256)]) for j in range(4)], np.int64)
 _ONES = np.array([[b >> j & 1 for b in range(256)] for j in range(7, -1, -1)], np.uint8)
-_GATE = np.arange(7, -1, -1)[:, None] * LEVELS
+#: The same with the bits of a byte side by side; by place in the word, the gates of its bits.
+_NODES_OF, _ONES_OF = np.ascontiguousarray(_NODES.T), np.ascontiguousarray(_ONES.T)
+_GATES_OF = (np.arange(PLACES)[:, None] * 8 + np.arange(7, -1, -1)) * LEVELS
+_ZEROS_OF = 1 - _ONES_OF.astype(np.float32)
+#: The same as bits, each beyond a slot's: where tables have the slots for ones after those for zeros.
+_NODES_BY_BIT = _NODES_OF + _ONES_OF * np.int64(SLOTS)
+_NODES_BY_COUNT = _NODES_OF + _ONES_OF * np.int64(INPUTS * SLOTS)
+#: By place in the word and half of a byte, where its rows of weights begin; gates of a half's bits by place, half and levels.
+_HALVES = (np.arange(PLACES)[:, None] * 2 + np.arange(2)) * LEVELS**4
+_PATTERN = (_GATES_OF.reshape(PLACES, 2, 1, 4) + (np.arange(LEVELS**4)[:, None] >> 2 * np.arange(4) & 3)).reshape(-1, 4)
+#: Inputs whose contexts many neighbours share.
+SHORT = 4
 _HERE = np.arange(WINDOW)
 _MIX = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for k in range(INPUTS)]
 
 
+with np.errstate(over="ignore"):
+    #: By byte, what its first half adds to the hash for the second.
+    _HALF = ((np.arange(256, dtype=np.uint64) >> np.uint64(4)) + np.uint64(1)) * _B
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
@@ -82,17 +104,7 @@ class Window:
     @property
     def hashes(self) -> list[np.ndarray]:
         """Hashes of the contexts."""
-        out = []
-        with np.errstate(over="ignore"):
-            for k in range(INPUTS):
-                h = self.last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else self.word.copy()
-                h += _MIX[k]
-                h *= _A
-                h ^= h >> np.uint64(29)
-                h *= _B
-                h ^= h >> np.uint64(32)
-                out.append(h)
-        return out
+        return [_hash(self.last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else self.word.copy(), k) for k in range(INPUTS)]
 
     def parts(self, size: int, scattered: bool = False) -> Iterator[Window]:
         """About size places at a time: neighbours, or scattered over all of them."""
@@ -102,26 +114,60 @@ class Window:
             yield Window(self.piece[at], self.byte[at], self.place[at], self.last[at], self.word[at], self.times[at])
 
     def walk(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """(gate without trust, bit, slots by input), each for all bits (highest first) of all places.
+        """(gate without trust, bit, slots by input), each for all bits (highest first) of all places."""
+        return _GATES_OF.take(self.place, axis=0).T, _ONES_OF.take(self.byte, axis=0).T, [_slots(h, self.byte, _NODES_OF).T for h in self.hashes]
+
+    def odds(self, tables: np.ndarray, nodes: np.ndarray, order: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+        """(what the table of each input has for all bits of a place, slots of the last input), places going first, in the order asked for.
 
-        A context has a hash for either half of the byte; the bits of a half are told apart in its last four bits, so
-        their slots lie side by side in memory.
+        nodes: bits as they are counted into slots.  Neighbours that share a short context and their byte share a look.
         """
-        node, y = _NODES.take(self.byte, axis=1), _ONES.take(self.byte, axis=1)
-        half = (self.byte.astype(np.uint64) >> np.uint64(4)) + np.uint64(1)
-        slots = []
-        with np.errstate(over="ignore"):
-            half *= _B
-            for h in self.hashes:
-                at = np.empty(node.shape, np.int64)
-                np.bitwise_xor(node[:4], (h >> np.uint64(64 - BITS)).view(np.int64), out=at[:4])
-                h += half
-                h *= _C
-                h ^= h >> np.uint64(31)
-                h *= _A
-                np.bitwise_xor(node[4:], (h >> np.uint64(64 - BITS)).view(np.int64), out=at[4:])
-                slots.append(at)
-        return self.place.astype(np.int64) * (8 * LEVELS) + _GATE, y, slots
+        x = []
+        change = self.byte[1:] != self.byte[:-1]
+        for k in range(SHORT):
+            context = self.last & np.uint64((1 << 8 * ORDERS[k]) - 1)
+            begin = np.concatenate([[True], change | (context[1:] != context[:-1])])
+            at = np.flatnonzero(begin)
+            found = tables[k].take(_slots(_hash(context.take(at), k), self.byte.take(at), nodes))
+            run = np.cumsum(begin) - 1
+            x.append(found.take(run if order is None else run.take(order), axis=0))
+        byte, last, word = (c if order is None else c.take(order) for c in (self.byte, self.last, self.word))
+        for k in range(SHORT, INPUTS):
+            slots = _slots(_hash(last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else word.copy(), k), byte, nodes)
+            x.append(tables[k].take(slots))
+        return x, slots
+
+
+def _hash(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of contexts of an input, in place of these; the lowest byte is left free for the byte that follows."""
+    with np.errstate(over="ignore"):
+        h += _MIX[k]
+        h *= _A
+        h ^= h >> np.uint64(29)
+        h *= _B
+        h ^= h >> np.uint64(32)
+        h &= _FREE
+    return h
+
+
+def _slots(h: np.ndarray, byte: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Slots of the eight bits of each byte after contexts of these hashes.
+
+    A context has a hash for either half of the byte; the bits of a half are told apart in its last four bits, so
+    their slots lie side by side in memory.
+    """
+    halves = np.empty((len(h), 2), np.uint64)
+    with np.errstate(over="ignore"):
+        np.right_shift(h, np.uint64(64 - BITS), out=halves[:, 0])
+        g = _HALF.take(byte)
+        g += h
+        g *= _C
+        g ^= g >> np.uint64(31)
+        g *= _A
+        np.right_shift(g, np.uint64(64 - BITS), out=halves[:, 1])
+    out = nodes.take(byte, axis=0)
+    out ^= np.repeat(halves.view(np.int64).ravel(), 4).reshape(-1, 8)
+    return out
 
 
 def windows(pieces: list[bytes], size: int = WINDOW) -> Iterator[Window]:
@@ -183,27 +229,28 @@ def windows(pieces: list[bytes], size: int = WINDOW) -> Iterator[Window]:
 def _keys(w: Window) -> tuple[np.ndarray, np.ndarray]:
     """(hash of contexts and byte, what places are sorted by).
 
-    The latter has five bits of each of the last four bytes, so that slots are met in few places at a time, then eleven
-    of a hash of the contexts and eleven of the key, above 22 that are free.
+    The latter has five bits of the byte before, of the byte and of the three bytes before that, so that equal short
+    contexts are neighbours and slots are met in few places at a time, then seventeen of a hash of the contexts and the
+    byte, above 22 that are free.
     """
     with np.errstate(over="ignore"):
-        both = w.last * _A
-        both ^= both >> np.uint64(32)
-        both += w.word
-        both *= _B
-        both ^= both >> np.uint64(29)
-        both *= _C
-        key = both + w.byte
+        key = w.last * _A
+        key ^= key >> np.uint64(32)
+        key += w.word
+        key *= _B
+        key ^= key >> np.uint64(29)
+        key *= _C
+        key += w.byte
         key *= _A
         key ^= key >> np.uint64(32)
         order = w.last & np.uint64(31)
+        order <<= np.uint64(5)
+        order |= w.byte & np.uint8(31)
         for back in (8, 16, 24):
             order <<= np.uint64(5)
             order |= w.last >> np.uint64(back) & np.uint64(31)
-        order <<= np.uint64(11)
-        order |= both >> np.uint64(53)
-        order <<= np.uint64(11)
-        order |= key & np.uint64(2047)
+        order <<= np.uint64(17)
+        order |= key >> np.uint64(47)
         order <<= np.uint64(_LOW)
     return key, order
 
@@ -245,19 +292,65 @@ def distinct(pieces: list[bytes], times: np.ndarray | None = None, each: bool =
         yield _distinct(*(c[:n] for c in held), times, each)
 
 
+def _add(sorted_: np.ndarray, shift: int, k: int, times: float, flat: np.ndarray, hashes) -> None:
+    """Add runs of values that are equal but for their lowest bits; hashes(values): the hashes of their contexts, and their bytes."""
+    top = sorted_ >> np.uint64(shift) if shift else sorted_
+    begins = np.concatenate([[0], np.flatnonzero(top[1:] != top[:-1]) + 1])
+    number = np.diff(begins, append=len(sorted_)) * times
+    own = flat[k * SLOTS :]
+    for i in range(0, len(begins), WALKED):
+        h, byte = hashes(sorted_.take(begins[i : i + WALKED]))
+        at = _slots(h, byte, _NODES_BY_COUNT)
+        np.add.at(own, at.ravel(), np.repeat(number[i : i + WALKED].astype(np.float32), 8))
+
+
+def _nearest(order: int, k: int):
+    """Hashes of contexts of an order, and bytes, from values of the byte before, the byte, and the bytes before that."""
+
+    def hashes(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        byte = (v >> np.uint64(40)).astype(np.uint8)
+        context = v >> np.uint64(48)
+        for back in range(1, order):
+            context |= (v >> np.uint64(8 * (5 - back)) & np.uint64(255)) << np.uint64(8 * back)
+        return _hash(context, k), byte
+
+    return hashes
+
+
+def _of_words(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return v & _FREE, (v & np.uint64(255)).astype(np.uint8)
+
+
 def count(pieces: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
     """Add what the pieces say to counts, of shape (2, INPUTS, SLOTS)."""
     flat = counts.reshape(-1)
-    for found, _, _ in distinct(pieces, times):
-        for w in found.parts(WALKED):
-            _, y, slots = w.walk()
-            one = y * np.int64(INPUTS * SLOTS)
-            t = np.broadcast_to(w.times, y.shape).ravel()
-            for k in range(INPUTS):
-                at = slots[k]
-                at += one
-                at += k * SLOTS
-                np.add.at(flat, at.ravel(), t)
+    for t in np.unique(times):
+        own = [p for p, x in zip(pieces, times, strict=True) if x == t]
+        most = min(STEP + WINDOW, sum(map(len, own)) + max(ORDERS) * len(own))
+        near, words = np.empty((2, most), np.uint64)
+        n = size = 0
+
+        def add(near: np.ndarray, words: np.ndarray, t: float = float(t)) -> None:
+            near.sort()
+            for k, order in enumerate(ORDERS):
+                _add(near, 8 * (6 - order), k, t, flat, _nearest(order, k))
+            words.sort()
+            _add(words, 0, INPUTS - 1, t, flat, _of_words)
+
+        for w in windows(own):
+            m = len(w.piece)
+            # the byte before, the byte, the five bytes before that, the nearest first
+            v = w.last.byteswap()
+            v = (v & np.uint64(255 << 56)) >> np.uint64(8) | (v & np.uint64((1 << 56) - 1)) >> np.uint64(16)
+            v |= w.byte.astype(np.uint64) << np.uint64(40)
+            near[n : n + m] = v
+            np.bitwise_or(_hash(w.word.copy(), INPUTS - 1), w.byte, out=words[n : n + m])
+            n, size = n + m, size + w.size
+            if size >= STEP:
+                add(near[:n], words[:n])
+                n = size = 0
+        if n:
+            add(near[:n], words[:n])
 
 
 def level(seen: np.ndarray) -> np.ndarray:
@@ -293,10 +386,22 @@ def step_of(z: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(z * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
-def _mixed(x: list[np.ndarray], gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    z = np.zeros(gate.shape, np.float32)
-    for k in range(INPUTS):
-        z += np.ascontiguousarray(weights[:, k]).take(gate) * x[k]
+def _by_pattern(weights: np.ndarray) -> list[np.ndarray]:
+    """Weights of each input for half a byte: rows by place in the word, half and the levels of its four bits."""
+    return [np.ascontiguousarray(weights[:, k]).take(_PATTERN) for k in range(INPUTS)]
+
+
+def _mixed(x: list[np.ndarray], place: np.ndarray, levels: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Sums of what inputs say, with the weights of the gates; rows: _by_pattern(weights)."""
+    four = levels.view("<u4")
+    at = (four | four >> 6 | four >> 12 | four >> 18) & 255
+    at = (at + _HALVES.take(place, axis=0)).ravel()
+    z = rows[0].take(at, axis=0).reshape(levels.shape)
+    z *= x[0]
+    for k in range(1, INPUTS):
+        part = rows[k].take(at, axis=0).reshape(levels.shape)
+        part *= x[k]
+        z += part
     return z
 
 
@@ -309,25 +414,33 @@ def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray | None, wei
     """
     odd, trust = own or without_own(counts)
     for found, _, _ in distinct(pieces, times):
-        for w in found.parts(LEARNED, scattered=True):
-            gate, y, slots = w.walk()
-            one = y * np.int64(SLOTS)
-            t = np.broadcast_to(w.times, y.shape)
-            x = []
-            for k in range(INPUTS):
-                slots[k] += one
-                x.append(odd[k].take(slots[k]))
-            gate = gate + trust.take(slots[-1])
-            z = _mixed(x, gate, weights)
-            error = t * (y - sigmoid(z))
-            # gates tell bits apart, so that those of a place don't wait for each other
-            cells = gate.ravel()
-            total = np.bincount(cells, t.ravel(), minlength=GATES) + 50.0
-            for k in range(INPUTS):
-                weights[:, k] += RATE * np.bincount(cells, (x[k] * error).ravel(), minlength=GATES) / total
-            cell = (w.before * STEPS + step_of(z)).ravel()
-            seen[0] += np.bincount(cell, t.ravel(), minlength=seen.shape[1])
-            seen[1] += np.bincount(cell, (t * y).ravel(), minlength=seen.shape[1])
+        # what many steps need is looked up at once, as neighbours; a step's places are scattered over all
+        for many in found.parts(LEARNED * TOGETHER, scattered=True):
+            steps = -(-len(many.byte) // LEARNED)
+            order = np.concatenate([np.arange(i, len(many.byte), steps) for i in range(steps)])
+            every, slots = many.odds(odd, _NODES_BY_BIT, order)
+            levels, places = trust.take(slots), many.place.take(order)
+            del slots
+            byte, before, often = many.byte.take(order), many.before.take(order) * STEPS, many.times.take(order)
+            end = 0
+            for i in range(steps):
+                begin, end = end, end + len(range(i, len(order), steps))
+                at = slice(begin, end)
+                x, y = [e[at] for e in every], _ONES_OF.take(byte[at], axis=0)
+                t = np.repeat(often[at], 8)
+                z = _mixed(x, places[at], levels[at], _by_pattern(weights))
+                error = y - sigmoid(z)
+                error *= t.reshape(y.shape)
+                # gates tell bits apart, so that those of a place don't wait for each other
+                cells = (_GATES_OF.take(places[at], axis=0) + levels[at]).ravel()
+                total = np.bincount(cells, t, minlength=GATES) + 50.0
+                for k in range(INPUTS):
+                    weights[:, k] += RATE * np.bincount(cells, (x[k] * error).ravel(), minlength=GATES) / total
+                cell = step_of(z).ravel()
+                cell += np.repeat(before[at], 8)
+                seen[0] += np.bincount(cell, t, minlength=seen.shape[1])
+                t *= y.ravel()
+                seen[1] += np.bincount(cell, t, minlength=seen.shape[1])
 
 
 def refining(seen: np.ndarray) -> np.ndarray:
@@ -338,15 +451,25 @@ def refining(seen: np.ndarray) -> np.ndarray:
 def cost(pieces: list[bytes], table: np.ndarray, trust: np.ndarray, weights: np.ndarray, refine: np.ndarray) -> np.ndarray:
     """log10 of the probability of each piece; the same for equal pieces, whatever lies beside them."""
     out = np.zeros(len(pieces))
-    weights = weights.astype(np.float32)
+    rows = _by_pattern(weights.astype(np.float32))
     for found, piece, number in distinct(pieces, each=True):
         costs = []
         for w in found.parts(WALKED):
-            gate, y, slots = w.walk()
-            z = _mixed([table[k].take(s) for k, s in enumerate(slots)], gate + trust.take(slots[-1]), weights)
-            p = np.float32(0.5) * (sigmoid(z) + refine.take(w.before * STEPS + step_of(z)))
-            p = np.clip(p, np.float32(1e-7), np.float32(1 - 1e-7))
-            costs.append(np.log(np.where(y, p, 1 - p)).sum(axis=0))
+            x, slots = w.odds(table, _NODES_OF)
+            z = _mixed(x, w.place, trust.take(slots), rows)
+            cell = step_of(z).ravel()
+            cell += np.repeat(w.before * STEPS, 8)
+            p = sigmoid(z)
+            p += refine.take(cell).reshape(p.shape)
+            p *= np.float32(0.5)
+            np.clip(p, np.float32(1e-7), np.float32(1 - 1e-7), out=p)
+            # of a zero, what is left of one
+            p -= _ZEROS_OF.take(w.byte, axis=0)
+            p = np.abs(p, out=p).ravel()
+            # products of four don't leave the range of float32
+            p = p[0::2] * p[1::2]
+            p = np.log(p[0::2] * p[1::2])
+            costs.append(p[0::2] + p[1::2])
         # in units of which float64 sums are exact, so that their order doesn't matter
         each = np.rint(np.concatenate(costs) * (np.log10(np.e) / UNIT)) * UNIT
         out += np.bincount(piece, np.repeat(each, number), minlength=len(pieces))

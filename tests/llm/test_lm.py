@@ -135,3 +135,40 @@ def test_equal_places_are_dealt_with_once():
     cost = mixing.cost(pieces, table, trust, weights, mixing.refining(seen))
     alone = [mixing.cost([p], table, trust, weights, mixing.refining(seen))[0] for p in texts]
     assert (cost == alone * 5).all()
+
+
+def test_words_of_a_block_are_numbers():
+    """A block's words take an array's place each, not Python objects; what texts look up is what they hold."""
+    import tracemalloc
+
+    import numpy as np
+
+    n = 200_000
+    keys, base, known = np.arange(n) * 7 - n, np.arange(n) / 8, np.arange(n) % 3 > 0
+    tracemalloc.start()
+    entries = lm._entries([[keys[i::4], base[i::4], known[i::4]] for i in range(4)])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 20 * n
+    assert (entries[0] == keys).all() and (entries[1] == base).all() and (entries[2] == known).all()
+
+    words = sorted({b"a", b"bc", "é".encode(), b"x" * 300}, key=lm.key_of)
+    own = lm._entries([[np.array([lm.key_of(w) for w in words]), np.arange(4) + 0.5, np.array([True, False, True, True])]])
+    number, known, base = lm._base([b"", words[0] + b" \n" + words[1].upper() + b" " + words[0], b"  ", words[3]], *own)
+    assert (number.tolist(), known.tolist(), base.tolist()) == ([0, 3, 0, 1], [0, 2, 0, 1], [0, 2.5, 0, 3.5])
+
+
+def test_texts_are_cut_and_ordered_whole(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm, "NEAR", 20)
+    monkeypatch.setattr(lm, "TOGETHER", 12)
+    texts = ["the cat the", None, "x" * 50, "", "der hund der", "the dog the", "é" * 9]
+    found = list(lm.near(pa.array(["left out", *texts]).slice(1)))
+    assert [t for _, part in found for t in part] == [(t or "").encode() for t in texts]
+    assert all(sum(map(len, part)) <= 20 or len(part) == 1 for _, part in found)
+    assert [b for b, _ in found] == [sum(len(p) for _, p in found[:i]) for i in range(len(found))]
+    raw = [(t or "").encode() for t in texts]
+    order = lm.alike(raw)
+    assert sorted(order) == list(range(len(raw))) and abs(order.index(0) - order.index(5)) == 1
+    assert [i for some in lm.together(raw, order) for i in some] == order
