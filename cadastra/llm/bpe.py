@@ -54,6 +54,7 @@ class TrieBpe:
         self.id_of = vocab
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.letters_are_whole = not any(t.replace(" ", "").isalpha() for t in self.special)
         top = max([*vocab.values(), *self.special.values()])
         self.bytes_of: list[bytes] = [b""] * (top + 1)
         for t, i in vocab.items():
@@ -69,8 +70,14 @@ class TrieBpe:
             self.rank[left, right] = r
             self.made.setdefault(vocab[self.bytes_of[left] + self.bytes_of[right]], (r, left, right))
         self.beginnings = {t[:i] for t in vocab for i in range(1, len(t) + 1)}
-        self.apart: dict[tuple[int, int], bool] = {}
-        self.found: dict[bytes, tuple[tuple[int, int], ...]] = {}
+        self.length_of = [len(t) for t in self.bytes_of]
+        self.packed = [struct.pack("<I", i) for i in range(top + 1)]
+        self.apart: dict[int, bool] = {}
+        #: Beginnings of tokens that text was seen to end with: (256 times the number, the tokens that end it, longest first), by number.
+        self.states: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
+        self.tails, self.number_of = [b""], {b"": 0}
+        #: The state after 256 times the number of one, and a byte.
+        self.then: dict[int, tuple[int, tuple[tuple[int, int], ...]]] = {}
         #: Packed ids by piece, and by what follows a single space.
         self.known: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
@@ -100,20 +107,29 @@ class TrieBpe:
             else:
                 before, b = 2 * rb[0] + 2, rb[1]
 
-    def endings_of(self, tail: bytes) -> tuple[tuple[int, int], ...]:
-        """(id, length) of every vocabulary entry that ends this text, longest first."""
-        found = tuple((self.id_of[tail[i:]], len(tail) - i) for i in range(len(tail)) if tail[i:] in self.id_of)
-        self.found[tail] = found
-        return found
+    def step(self, key: int) -> tuple[int, tuple[tuple[int, int], ...]]:
+        """The state after that of 256 times its number, and a byte: of the longest ending that could still grow into a token.
+
+        With it comes (id, length) of every vocabulary entry that ends the text, longest first.
+        """
+        tail = self.tails[key >> 8] + bytes([key & 255])
+        while tail not in self.beginnings:
+            tail = tail[1:]
+        number = self.number_of.get(tail)
+        if number is None:
+            number = self.number_of[tail] = len(self.tails)
+            self.tails.append(tail)
+            self.states.append((number << 8, tuple((self.id_of[tail[i:]], len(tail) - i) for i in range(len(tail)) if tail[i:] in self.id_of)))
+        state = self.then[key] = self.states[number]
+        return state
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of distinct words, by depth-first traversal of their trie."""
-        found_of, beginnings, apart = self.found, self.beginnings, self.apart
+        then, apart, length_of, packed = self.then, self.apart, self.length_of, self.packed
         out: dict[str, bytes] = {}
         before = b""
         last: list[int] = []  # last[i]: the token that ends the prefix of i + 1 bytes
-        sizes: list[int] = []  # its length
-        starts: list[int] = []  # where the longest ending that could still grow into a token starts
+        states: list[int] = []  # 256 times the number of the state there
         for raw, word in sorted((w.encode(), w) for w in words):
             n, shared = len(raw), 0
             most = min(n, len(before))
@@ -122,28 +138,29 @@ class TrieBpe:
             else:
                 while raw[shared] == before[shared]:
                     shared += 1
-            del last[shared:], sizes[shared:], starts[shared:]
-            start = starts[-1] if shared else 0
-            for end in range(shared + 1, n + 1):
-                while (tail := raw[start:end]) not in beginnings:
-                    start += 1
-                for t, size in found_of.get(tail) or self.endings_of(tail):
+            del last[shared:], states[shared:]
+            state, end = states[-1] if shared else 0, shared
+            for byte in raw[shared:]:
+                end += 1
+                state, endings = then.get(state | byte) or self.step(state | byte)
+                for t, size in endings:
                     if size == end:
                         break
-                    pair = (last[end - size - 1], t)
+                    pair = last[end - size - 1] << 32 | t
                     ok = apart.get(pair)
                     if ok is None:
-                        ok = apart[pair] = self.stay_apart(*pair)
+                        ok = apart[pair] = self.stay_apart(pair >> 32, t)
                     if ok:
                         break
                 last.append(t)
-                sizes.append(size)
-                starts.append(start)
+                states.append(state)
             ids, i = [], n
             while i:
-                ids.append(last[i - 1])
-                i -= sizes[i - 1]
-            out[word] = struct.pack(f"<{len(ids)}I", *reversed(ids))
+                t = last[i - 1]
+                ids.append(packed[t])
+                i -= length_of[t]
+            ids.reverse()
+            out[word] = b"".join(ids)
             before = raw
         return out
 
@@ -157,7 +174,9 @@ class TrieBpe:
 
     def encode_units(self, units: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of distinct texts; the pieces of all of them go through one trie."""
-        cut = {u: self.pieces(u) for u in units}
+        # ASCII letters are one piece, with a space before them or without, where no special token is in them
+        whole = self.letters_are_whole
+        cut = {u: [u] if whole and u.isascii() and (u.isalpha() or (u[:1] == " " and u[1:].isalpha())) else self.pieces(u) for u in units}
         known = self.known
         known.update(self.encode_words(set().union(*cut.values()).difference(known)))
         return {u: known[p[0]] if len(p) == 1 else b"".join(map(known.__getitem__, p)) for u, p in cut.items()}
@@ -170,7 +189,7 @@ class TrieBpe:
         is dealt with as its parts between spaces; each part, with its space,
         is encoded once.  Other texts go whole.
         """
-        for kept in (self.known, self.found, self.apart):
+        for kept in (self.known, self.then, self.apart):
             if len(kept) > CACHE_WORDS:
                 kept.clear()
         self.known.update({s: struct.pack("<I", i) for s, i in self.special.items()})
@@ -191,7 +210,11 @@ class TrieBpe:
     def decode(self, packed: bytes) -> bytes:
         """UTF-8 of the decoded text; bytes that aren't UTF-8 become U+FFFD, as the decoder of such files does."""
         raw = b"".join(map(self.bytes_of.__getitem__, memoryview(packed).cast("I").tolist()))
-        return raw.decode("utf-8", "replace").encode()
+        try:
+            raw.decode()
+        except UnicodeDecodeError:
+            return raw.decode("utf-8", "replace").encode()
+        return raw
 
 
 def load(path: str) -> TrieBpe:

@@ -67,3 +67,33 @@ def test_memory_is_that_of_a_slice():
     tracemalloc.stop()
     assert n == len(texts)
     assert peak < 16_000_000
+
+
+def test_states_are_found_once(monkeypatch):
+    """Words are walked by states that are worked out once, as many as tokens have beginnings at most; forgetting steps changes nothing."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("etaoinshrdluxé'9") for _ in range(rng.randint(1, 30))) for _ in range(500)]
+    ours, theirs = bpe.TrieBpe(bpe.vocabulary()), library()
+    want = [struct.pack(f"<{len(ids)}I", *ids) for ids in (theirs.encode(w, add_special_tokens=False).ids for w in words)]
+    assert ours.encode_batch(words) == want
+    assert 1 < len(ours.states) == len(ours.tails) <= len(ours.beginnings) + 1
+    known = len(ours.states)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 0)
+    assert ours.encode_batch(words) == want and len(ours.states) == known
+
+
+def test_special_tokens_of_letters(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(bpe.vocabulary(), encoding="utf-8") as f:
+        spec = json.load(f)
+    top = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    spec["added_tokens"].append({**spec["added_tokens"][0], "content": "qux", "id": top + 1})
+    path = tmp_path / "letters.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    theirs = Tokenizer.from_file(str(path))
+    texts = ["aquxb", "qux", "a qux b", "quxqux aqu"]
+    for text, packed in zip(texts, bpe.TrieBpe(str(path)).encode_batch(texts), strict=True):
+        assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == theirs.encode(text, add_special_tokens=False).ids
