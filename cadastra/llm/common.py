@@ -54,6 +54,16 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Let the heap of each executor give the machine back what earlier jobs left free in it.
+
+    A heap grows with what jobs allocate, up to its limit, and by itself hardly shrinks, so that Python workers of
+    later jobs stand beside it.  One short task for each core; where the JVM is told to leave such calls alone, nothing happens.
+    """
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).collect()
+
+
 def remainder(key: str | Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo; a null key counts as empty text."""
     col = F.col(key) if isinstance(key, str) else key

@@ -8,15 +8,30 @@ memory than the largest of them.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
+
 _kept: dict[tuple, Any] = {}
 
 
+def give_back() -> None:
+    """Free memory goes back to the machine: Python's, Arrow's and, where the C library can do that, its own."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def held(owner: tuple, make: Callable[[], Any]) -> Any:
     """What `owner` keeps in this process; made where it isn't there.  Other owners' things are dropped."""
     if owner not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            give_back()
         _kept[owner] = make()
     return _kept[owner]

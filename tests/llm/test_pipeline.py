@@ -13,7 +13,7 @@ from test_pii import plain
 
 import corpus_pipeline as cp
 from cadastra.llm import quality
-from cadastra.llm.common import remainder, stored
+from cadastra.llm.common import remainder, shared_dir, stored
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +118,35 @@ def test_stages_take_edges_and_empty_tables(spark, sf_dir, edges, stage):
         assert next(r for r in rows if r.doc_id == 6).n_tokens > 100_000
     else:
         assert len(rows) <= len(before) and all(r.doc_id is None or r.doc_id < 9 for r in rows)
+
+
+def test_stages_give_memory_back(spark, sf_dir):
+    """Each stage begins with a heap that gave back what is free in it."""
+    docs = stored(spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20), f"{shared_dir(spark)}/few")
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    for name, f in cp.STAGES:
+        before = whole()
+        f(spark, docs, sf_dir)
+        assert whole() > before, name
+
+
+def test_workers_give_memory_back():
+    """What another operator had kept isn't just free for the worker, but the machine's again, even if something newer lies behind it."""
+    import subprocess
+    import sys
+
+    code = """
+import psutil
+from cadastra.llm.held import held
+size = lambda: psutil.Process().memory_info().rss >> 20
+before = size()
+held(("large",), lambda: [bytes(2000) for _ in range(100_000)])
+behind = [bytes(2000) for _ in range(100)]
+between = size()
+held(("small",), dict)
+print(between - before, size() - before)
+"""
+    # in a process of its own, where no other test has left anything free
+    grown, left = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert grown > 150 and left < 50
