@@ -25,7 +25,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import mixing as mx
-from cadastra.llm.common import remainder, shared_dir, stored, table
+from cadastra.llm.common import give_back, remainder, shared_dir, stored, table
 
 #: Characters of a block; bytes of a word that are coded at a time.
 BLOCK_CHARS, WORD_BYTES = 40_000_000, 48
@@ -62,6 +61,23 @@ def key_of(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys of the distinct words of the texts, A-Z lower-cased; for each occurrence its text and which of these it is)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    found = lists.values.dictionary_encode()
+    each, which = found.dictionary.view(pa.binary()).to_pylist(), found.indices.to_numpy()
+    text = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    if b"" in each:
+        # what lies before white space at the beginning of a text, or after that at its end
+        nothing = each.index(b"")
+        del each[nothing]
+        some = np.flatnonzero(which != nothing)
+        text, which = text.take(some), which.take(some)
+        which -= which > nothing
+    keys = np.fromiter(map(xxhash.xxh3_64_intdigest, each), np.uint64, len(each))
+    return (keys ^ np.uint64(1 << 63)).view(np.int64), text, which
+
+
 def dealt(docs: DataFrame, text: str, train: Column, keep: list) -> DataFrame:
     """docs as (block, train, text, keep); about BLOCK_CHARS in a block."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -145,15 +161,10 @@ def gathered(rows: DataFrame) -> DataFrame:
                     at, parts, waiting = int(blocks[begin]), [], 0
                 for first, texts in near(batch.column(2).slice(begin, end - begin)):
                     for some in together(texts, range(len(texts))):
-                        found, others = Counter(), set()
-                        for i in some:
-                            (found if train[begin + first + i] else others).update(texts[i].lower().split())
-                        others.difference_update(found)
-                        keys = np.fromiter(map(key_of, chain(found, others)), np.int64, len(found) + len(others))
-                        numbers = np.zeros(len(keys), np.int64)
-                        numbers[: len(found)] = list(found.values())
+                        keys, text, which = _words([texts[i] for i in some])
+                        learnt = train.take(np.array(some) + (begin + first))
                         if len(keys):
-                            parts.append((keys, numbers))
+                            parts.append((keys, np.bincount(which[learnt.take(text)], minlength=len(keys))))
                             waiting += len(keys)
                         if waiting > WAITING:
                             parts = _summed(parts)
@@ -181,6 +192,11 @@ class MixtureModel:
         self.table, self.trust = mx.odds(counts)
         self.weights, self.refine = weights, refine
 
+    def __setstate__(self, state: dict) -> None:
+        """Unpickled tables are copied to where numpy lays large arrays, in large pages of memory."""
+        self.__dict__.update(state)
+        self.table, self.trust = self.table.astype(np.float32), self.trust.astype(np.uint8)
+
     def cost(self, texts: list[bytes]) -> np.ndarray:
         """log10 of the probability of each text with its end."""
         return mx.cost([EDGE + t + EDGE for t in texts], self.table, self.trust, self.weights, self.refine)
@@ -210,6 +226,7 @@ def fit(training: DataFrame) -> MixtureModel:
     for r in rows.mapInArrow(counted, "chunk int, counts binary").groupBy("chunk").applyInArrow(summed, "chunk int, counts binary").toLocalIterator():
         flat[r.chunk] = np.frombuffer(bytes(r.counts), np.float32)
     counts = flat.reshape(2, mx.INPUTS, mx.SLOTS)
+    give_back(spark)
     shared = spark.sparkContext.broadcast(mx.without_own(counts))
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,18 +259,14 @@ def _entries(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
 
 def _base(texts: list[bytes], keys: np.ndarray, base: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, known ones, sum of their base) of each text."""
-    words = [t.lower().split() for t in texts]
-    number = np.array([len(w) for w in words], np.int64)
-    each = {w: i for i, w in enumerate(set().union(*words))}
-    own = np.fromiter(map(key_of, each), np.int64, len(each))
+    own, text, which = _words(texts)
     order = np.argsort(own)
-    at = np.empty(len(each), np.int64)
+    at = np.empty(len(own), np.int64)
     at[order] = np.searchsorted(keys, own.take(order))
-    if not (keys.take(at) == own).all():
+    if not (keys.take(at, mode="clip") == own).all():
         raise KeyError("a word of a block that isn't among its words")
-    at = at.take(np.fromiter(map(each.__getitem__, chain.from_iterable(words)), np.int64, int(number.sum())))
-    text = np.repeat(np.arange(len(texts)), number)
-    return number, np.bincount(text, known.take(at), len(texts)).astype(np.int64), np.bincount(text, base.take(at), len(texts))
+    n = len(texts)
+    return np.bincount(text, minlength=n), np.bincount(text, known.take(at).take(which), n).astype(np.int64), np.bincount(text, base.take(at).take(which), n)
 
 
 def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "text") -> DataFrame:
@@ -283,6 +296,7 @@ def scored(docs: DataFrame, path: str, train: Column, keep: list, text: str = "t
     first = own.select(F.col("block").alias("__block"), F.lit(0).alias("__is"), "key", "base", "known", F.lit(None).cast("string").alias("__text"), *nothing)
     then = rows.select("__block", F.lit(1).alias("__is"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("base"), F.lit(None).cast("boolean").alias("known"), "__text", *kept)
     both = first.unionByName(then).repartition("__block").sortWithinPartitions("__block", "__is")
+    give_back(spark)
     end_base, end_known = math.log10(ends + 1) - unit, int(ends > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

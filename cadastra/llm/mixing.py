@@ -17,7 +17,7 @@ it, depends on its contexts only: among every STEP bytes, places with equal
 contexts and bytes are found by sorting and dealt with once, as often as they
 came.  Counting needs no places at all: a sort by the nearest bytes lays equal
 contexts of every order side by side, each with the byte that followed, and
-each is counted once.  Elsewhere, what short contexts say is looked up once for
+each is counted once.  Elsewhere, what contexts say is looked up once for
 neighbours that share them.
 """
 
@@ -66,7 +66,7 @@ _NODES_BY_COUNT = _NODES_OF + _ONES_OF * np.int64(INPUTS * SLOTS)
 #: By place in the word and half of a byte, where its rows of weights begin; gates of a half's bits by place, half and levels.
 _HALVES = (np.arange(PLACES)[:, None] * 2 + np.arange(2)) * LEVELS**4
 _PATTERN = (_GATES_OF.reshape(PLACES, 2, 1, 4) + (np.arange(LEVELS**4)[:, None] >> 2 * np.arange(4) & 3)).reshape(-1, 4)
-#: Inputs whose contexts many neighbours share.
+#: Inputs whose contexts neighbours share even where places are scattered.
 SHORT = 4
 _HERE = np.arange(WINDOW)
 _MIX = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for k in range(INPUTS)]
@@ -117,25 +117,29 @@ class Window:
         """(gate without trust, bit, slots by input), each for all bits (highest first) of all places."""
         return _GATES_OF.take(self.place, axis=0).T, _ONES_OF.take(self.byte, axis=0).T, [_slots(h, self.byte, _NODES_OF).T for h in self.hashes]
 
-    def odds(self, tables: np.ndarray, nodes: np.ndarray, order: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-        """(what the table of each input has for all bits of a place, slots of the last input), places going first, in the order asked for.
+    def odds(self, tables: np.ndarray, trust: np.ndarray, nodes: np.ndarray, shared: int, order: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+        """(what the table of each input has for all bits of a place, levels of the last input), places going first, in the order asked for.
 
-        nodes: bits as they are counted into slots.  Neighbours that share a short context and their byte share a look.
+        nodes: bits as they are counted into slots.  Neighbours that share a context and their byte share a look, for
+        the first so many inputs.
         """
         x = []
         change = self.byte[1:] != self.byte[:-1]
-        for k in range(SHORT):
-            context = self.last & np.uint64((1 << 8 * ORDERS[k]) - 1)
+        byte, last, word = (c if order is None else c.take(order) for c in (self.byte, self.last, self.word))
+        for k in range(INPUTS):
+            if k >= shared:
+                slots = _slots(_hash(last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else word.copy(), k), byte, nodes)
+                x.append(tables[k].take(slots))
+                continue
+            context = self.last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else self.word
             begin = np.concatenate([[True], change | (context[1:] != context[:-1])])
             at = np.flatnonzero(begin)
-            found = tables[k].take(_slots(_hash(context.take(at), k), self.byte.take(at), nodes))
+            slots = _slots(_hash(context.take(at), k), self.byte.take(at), nodes)
             run = np.cumsum(begin) - 1
-            x.append(found.take(run if order is None else run.take(order), axis=0))
-        byte, last, word = (c if order is None else c.take(order) for c in (self.byte, self.last, self.word))
-        for k in range(SHORT, INPUTS):
-            slots = _slots(_hash(last & np.uint64((1 << 8 * ORDERS[k]) - 1) if k < len(ORDERS) else word.copy(), k), byte, nodes)
-            x.append(tables[k].take(slots))
-        return x, slots
+            run = run if order is None else run.take(order)
+            x.append(tables[k].take(slots).take(run, axis=0))
+        levels = trust.take(slots)
+        return x, levels if shared < INPUTS else levels.take(run, axis=0)
 
 
 def _hash(h: np.ndarray, k: int) -> np.ndarray:
@@ -226,12 +230,12 @@ def windows(pieces: list[bytes], size: int = WINDOW) -> Iterator[Window]:
             yield w
 
 
-def _keys(w: Window) -> tuple[np.ndarray, np.ndarray]:
+def _keys(w: Window, back: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of contexts and byte, what places are sorted by).
 
-    The latter has five bits of the byte before, of the byte and of the three bytes before that, so that equal short
-    contexts are neighbours and slots are met in few places at a time, then seventeen of a hash of the contexts and the
-    byte, above 22 that are free.
+    The latter has five bits of the byte before, of the byte and of so many bytes before that, so that equal contexts are
+    neighbours and slots are met in few places at a time, then as many as go below those of a hash of the contexts and the
+    byte, above 22 that are free.  With five bytes, contexts of every length are neighbours, those of short words too.
     """
     with np.errstate(over="ignore"):
         key = w.last * _A
@@ -246,16 +250,17 @@ def _keys(w: Window) -> tuple[np.ndarray, np.ndarray]:
         order = w.last & np.uint64(31)
         order <<= np.uint64(5)
         order |= w.byte & np.uint8(31)
-        for back in (8, 16, 24):
+        for i in range(1, back + 1):
             order <<= np.uint64(5)
-            order |= w.last >> np.uint64(back) & np.uint64(31)
-        order <<= np.uint64(17)
-        order |= key >> np.uint64(47)
+            order |= w.last >> np.uint64(8 * i) & np.uint64(31)
+        rest = 64 - _LOW - 5 * (back + 2)
+        order <<= np.uint64(rest)
+        order |= key >> np.uint64(64 - rest)
         order <<= np.uint64(_LOW)
     return key, order
 
 
-def _distinct(piece: np.ndarray, byte: np.ndarray, place: np.ndarray, last: np.ndarray, word: np.ndarray, key: np.ndarray, order: np.ndarray, times: np.ndarray, each: bool) -> tuple[Window, np.ndarray | None, np.ndarray]:
+def _distinct(piece: np.ndarray, near: np.ndarray, word: np.ndarray, key: np.ndarray, order: np.ndarray, times: np.ndarray, each: bool) -> tuple[Window, np.ndarray | None, np.ndarray]:
     n = len(key)
     order |= np.arange(n, dtype=np.uint64)
     order.sort()
@@ -272,18 +277,25 @@ def _distinct(piece: np.ndarray, byte: np.ndarray, place: np.ndarray, last: np.n
     pieces = piece.take(order) if each or not once else None
     weight = number.astype(np.float32) if once or not n else np.add.reduceat(times.take(pieces), begins).astype(np.float32)
     at = order.take(begins)
-    return Window(piece.take(at), byte.take(at), place.take(at), last.take(at), word.take(at), weight), pieces, number
+    last = near.take(at)
+    byte, place = (last >> np.uint64(48)).astype(np.uint8), (last >> np.uint64(56)).astype(np.uint8)
+    last &= np.uint64((1 << 48) - 1)
+    return Window(piece.take(at), byte, place, last, word.take(at), weight), pieces, number
 
 
 def distinct(pieces: list[bytes], times: np.ndarray | None = None, each: bool = False) -> Iterator[tuple[Window, np.ndarray | None, np.ndarray]]:
     """Of every STEP bytes, places with equal contexts and bytes as one, how many there are of each, and, with `each`, the pieces of all in that order."""
     times = np.ones(len(pieces)) if times is None else times
+    # what costs come to doesn't depend on the order of places; what is learnt does, and scattered ones don't share long contexts
+    back = 5 if each else 3
     most = min(STEP, sum(map(len, pieces)) + max(ORDERS) * len(pieces))
-    held = [np.empty(most, kind) for kind in (np.int32, np.uint8, np.uint8, np.uint64, np.uint64, np.uint64, np.uint64)]
+    held = [np.empty(most, kind) for kind in (np.int32, np.uint64, np.uint64, np.uint64, np.uint64)]
     n = size = 0
     for w in windows(pieces):
-        for column, part in zip(held, (w.piece, w.byte, w.place, w.last, w.word, *_keys(w)), strict=True):
+        for column, part in zip(held, (w.piece, w.last, w.word, *_keys(w, back)), strict=True):
             column[n : n + len(part)] = part
+        # byte and place lie above the last bytes
+        held[1][n : n + len(w.piece)] |= (w.place.astype(np.uint64) << np.uint64(8) | w.byte) << np.uint64(48)
         n, size = n + len(w.piece), size + w.size
         if size >= STEP:
             yield _distinct(*(c[:n] for c in held), times, each)
@@ -413,34 +425,38 @@ def learn(pieces: list[bytes], times: np.ndarray, counts: np.ndarray | None, wei
     aren't asked for then.
     """
     odd, trust = own or without_own(counts)
+    # what was unpickled has a type of its own, and adding in place is several times slower with that
+    odd, trust = odd.view(np.float32), trust.view(np.uint8)
     for found, _, _ in distinct(pieces, times):
         # what many steps need is looked up at once, as neighbours; a step's places are scattered over all
         for many in found.parts(LEARNED * TOGETHER, scattered=True):
             steps = -(-len(many.byte) // LEARNED)
             order = np.concatenate([np.arange(i, len(many.byte), steps) for i in range(steps)])
-            every, slots = many.odds(odd, _NODES_BY_BIT, order)
-            levels, places = trust.take(slots), many.place.take(order)
-            del slots
+            every, levels = many.odds(odd, trust, _NODES_BY_BIT, SHORT, order)
+            places = many.place.take(order)
             byte, before, often = many.byte.take(order), many.before.take(order) * STEPS, many.times.take(order)
             end = 0
             for i in range(steps):
                 begin, end = end, end + len(range(i, len(order), steps))
                 at = slice(begin, end)
                 x, y = [e[at] for e in every], _ONES_OF.take(byte[at], axis=0)
-                t = np.repeat(often[at], 8)
+                t = np.repeat(often[at], 8).astype(np.float64)
                 z = _mixed(x, places[at], levels[at], _by_pattern(weights))
                 error = y - sigmoid(z)
-                error *= t.reshape(y.shape)
+                error *= often[at][:, None]
                 # gates tell bits apart, so that those of a place don't wait for each other
                 cells = (_GATES_OF.take(places[at], axis=0) + levels[at]).ravel()
-                total = np.bincount(cells, t, minlength=GATES) + 50.0
+                total = np.full(GATES, 50.0)
+                np.add.at(total, cells, t)
+                moves = np.zeros((INPUTS, GATES), np.float32)
                 for k in range(INPUTS):
-                    weights[:, k] += RATE * np.bincount(cells, (x[k] * error).ravel(), minlength=GATES) / total
+                    np.add.at(moves[k], cells, (x[k] * error).ravel())
+                weights += (RATE * moves / total).T
                 cell = step_of(z).ravel()
                 cell += np.repeat(before[at], 8)
-                seen[0] += np.bincount(cell, t, minlength=seen.shape[1])
+                np.add.at(seen[0], cell, t)
                 t *= y.ravel()
-                seen[1] += np.bincount(cell, t, minlength=seen.shape[1])
+                np.add.at(seen[1], cell, t)
 
 
 def refining(seen: np.ndarray) -> np.ndarray:
@@ -455,8 +471,8 @@ def cost(pieces: list[bytes], table: np.ndarray, trust: np.ndarray, weights: np.
     for found, piece, number in distinct(pieces, each=True):
         costs = []
         for w in found.parts(WALKED):
-            x, slots = w.odds(table, _NODES_OF)
-            z = _mixed(x, w.place, trust.take(slots), rows)
+            x, levels = w.odds(table, trust, _NODES_OF, INPUTS)
+            z = _mixed(x, w.place, levels, rows)
             cell = step_of(z).ravel()
             cell += np.repeat(w.before * STEPS, 8)
             p = sigmoid(z)

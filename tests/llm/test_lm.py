@@ -172,3 +172,41 @@ def test_texts_are_cut_and_ordered_whole(monkeypatch):
     order = lm.alike(raw)
     assert sorted(order) == list(range(len(raw))) and abs(order.index(0) - order.index(5)) == 1
     assert [i for some in lm.together(raw, order) for i in some] == order
+
+
+def test_heap_is_given_back_before_learning_and_scoring(spark, shared):
+    """Heaps that earlier steps let grow give back what is free in them, twice, before workers hold tables."""
+    docs = spark.createDataFrame([(i, f"word{i % 7} and more {i}") for i in range(40)], "doc_id long, text string")
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    before = whole()
+    assert lm.scored(docs, shared, F.col("doc_id") % 2 == 0, [F.col("doc_id")]).count() == 40
+    assert whole() >= before + 2
+
+
+def test_words_are_what_python_splits():
+    texts = [b"", b"  a  B b ", b"\t\r\n", "É é\x0b\x0cx\x1cy z\xa0q".encode(), b"b\xff \xc3 A", b" a"]
+    keys, text, which = lm._words(texts)
+    assert len(set(keys.tolist())) == len(keys)
+    found = Counter((int(t), int(keys[w])) for t, w in zip(text, which, strict=True))
+    assert found == Counter((i, lm.key_of(w)) for i, t in enumerate(texts) for w in t.lower().split())
+
+
+def test_sent_tables_teach_and_score_the_same():
+    import pickle
+
+    import numpy as np
+
+    pieces = [lm.EDGE + b"one two three two one" * 20 + lm.EDGE]
+    counts = np.zeros((2, mixing.INPUTS, mixing.SLOTS), np.float32)
+    mixing.count(pieces, np.ones(1), counts)
+    own = mixing.without_own(counts)
+    learnt = []
+    for tables in (own, pickle.loads(pickle.dumps(own))):
+        weights, seen = mixing.first_weights(), np.zeros((2, 256 * mixing.STEPS))
+        mixing.learn(pieces, np.ones(1), None, weights, seen, tables)
+        learnt.append((weights, seen))
+    assert (learnt[0][0] == learnt[1][0]).all() and (learnt[0][1] == learnt[1][1]).all()
+    model = lm.MixtureModel(counts, learnt[0][0], mixing.refining(learnt[0][1]))
+    sent = pickle.loads(pickle.dumps(model))
+    assert sent.table.base is None and (sent.cost([b"one two"]) == model.cost([b"one two"])).all()
