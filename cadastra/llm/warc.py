@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import shared_dir, stored, table
+from cadastra.llm.common import give_back, shared_dir, stored, table
 from cadastra.llm.files import opened
 
 #: Payloads from which on equal ones are stored once; bytes after which a task starts another archive.
@@ -196,8 +196,10 @@ def read(index: DataFrame, path: str, payloads: bool = False) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    give_back(spark)
     path = shared_dir(spark)
     index = write(table(spark, sf_dir, "pages"), path)
+    give_back(spark)
     return read(index, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -58,3 +58,12 @@ def test_a_tie_on_the_largest_key(spark, shared):
     pages = spark.createDataFrame([(5, "http://a", BIG), (5, "http://b", BIG), (4, "http://c", BIG)], "page_id long, url string, html string")
     found = warc.read(warc.write(pages, shared), shared).collect()
     assert sorted((r.key, r.record_type, r.refers_to) for r in found) == [(4, "revisit", 5), (5, "response", None), (5, "response", None)]
+
+
+def test_op2_gives_memory_back(spark, sf_dir):
+    """What earlier jobs left free in the heap is the machine's again before the query's first job, and before archives are read back."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    before = whole()
+    warc.op2(spark, sf_dir)
+    assert whole() - before >= 2
