@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import shingles as sh
-from cadastra.llm.common import shared_dir, stored, table
+from cadastra.llm.common import give_back, shared_dir, stored, table
 from cadastra.llm.components import components
 
 LEAST_DEPTH, REGION = 3, 4096
@@ -333,6 +333,7 @@ def near_duplicates(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     rows = stored(signed(docs, key, text, width), f"{path}/rows")
     units = stored(classes(rows), f"{path}/units")
     loose = components(stored(forest_edges(units), f"{path}/forest"), f"{path}/loose")
+    give_back(docs.sparkSession)
     found = components(links(docs, units, loose, path, key, text, width, percent), f"{path}/found")
     member = units.select("node", "k").join(found, "node", "left")
     least = member.where("root is not null").groupBy("root").agg(F.min("k").alias("least"))
@@ -341,6 +342,7 @@ def near_duplicates(docs: DataFrame, path: str, key: str = "doc_id", text: str =
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    give_back(spark)
     found = near_duplicates(table(spark, sf_dir, "documents"), shared_dir(spark), width=4)
     known = F.nullif(F.col("k"), F.lit(NO_KEY))
     return found.select(known.alias("doc_id"), "n_shingles", F.nullif(F.col("component"), F.lit(NO_KEY)).alias("component_id"), (F.col("k") == F.col("component")).alias("kept"))

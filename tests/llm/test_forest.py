@@ -82,3 +82,12 @@ def test_recall_at_the_threshold(depth, least):
         sketch = sh.sketches(pair)
         found += prefix >= depth and sh.apart(sketch[0], sketch[1]) <= sh.MOST_APART
     assert found / n >= least
+
+
+def test_op3_gives_memory_back(spark, sf_dir):
+    """What earlier jobs left free in the heap is the machine's again before the query's first job, and before links are confirmed."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    before = whole()
+    forest.op3(spark, sf_dir)
+    assert whole() - before >= 2
