@@ -34,6 +34,10 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 RUN = re.compile(r"\s\s")
 #: Encoded words and their characters that a worker keeps between batches, and characters dealt with at a time.
 CACHE_WORDS, CACHE_CHARS, SLICE_CHARS = 250_000, 16_000_000, 250_000
+#: In place of the token before a word's first; in place of a byte, where the bytes of a state are.
+START = TAIL = -1
+#: States after one more byte; (id, length, whether it stays apart from a token before it) of tokens.
+State = tuple[dict, tuple[tuple[int, int, dict[int, bool]], ...]]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -72,12 +76,13 @@ class TrieBpe:
         self.beginnings = {t[:i] for t in vocab for i in range(1, len(t) + 1)}
         self.length_of = [len(t) for t in self.bytes_of]
         self.packed = [struct.pack("<I", i) for i in range(top + 1)]
-        self.apart: dict[int, bool] = {}
-        #: Beginnings of tokens that text was seen to end with: (256 times the number, the tokens that end it, longest first), by number.
-        self.states: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
-        self.tails, self.number_of = [b""], {b"": 0}
-        #: The state after 256 times the number of one, and a byte.
-        self.then: dict[int, tuple[int, tuple[tuple[int, int], ...]]] = {}
+        #: By token: whether it stays apart from a token before it; from START it does.
+        self.apart: dict[int, dict[int, bool]] = {}
+        #: Beginnings of tokens that text was seen to end with: (states after one more byte, the tokens that end it, longest first).
+        #: The tokens come as (id, length, what they stay apart from); under TAIL are the beginning's bytes.
+        self.states: dict[bytes, State] = {b"": ({TAIL: b""}, ())}
+        #: Entries of the dictionaries of states and of what stays apart.
+        self.steps = self.judged = 0
         #: Packed ids by piece, and by what follows a single space.
         self.known: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
@@ -107,29 +112,49 @@ class TrieBpe:
             else:
                 before, b = 2 * rb[0] + 2, rb[1]
 
-    def step(self, key: int) -> tuple[int, tuple[tuple[int, int], ...]]:
-        """The state after that of 256 times its number, and a byte: of the longest ending that could still grow into a token.
+    @property
+    def tails(self) -> list[bytes]:
+        """The beginnings that there are states of."""
+        return list(self.states)
 
-        With it comes (id, length) of every vocabulary entry that ends the text, longest first.
+    def step(self, after: dict, byte: int) -> State:
+        """The state after one (of which `after` is the first part) and a byte: of the longest ending that could still grow into a token.
+
+        With it comes every vocabulary entry that ends the text, longest first.
         """
-        tail = self.tails[key >> 8] + bytes([key & 255])
+        tail = after[TAIL] + bytes([byte])
         while tail not in self.beginnings:
             tail = tail[1:]
-        number = self.number_of.get(tail)
-        if number is None:
-            number = self.number_of[tail] = len(self.tails)
-            self.tails.append(tail)
-            self.states.append((number << 8, tuple((self.id_of[tail[i:]], len(tail) - i) for i in range(len(tail)) if tail[i:] in self.id_of)))
-        state = self.then[key] = self.states[number]
+        state = self.states.get(tail)
+        if state is None:
+            found = [(self.id_of[tail[i:]], len(tail) - i) for i in range(len(tail)) if tail[i:] in self.id_of]
+            state = self.states[tail] = ({TAIL: tail}, tuple((t, size, self.apart.setdefault(t, {START: True})) for t, size in found))
+        after[byte] = state
+        self.steps += 1
         return state
 
+    def forget(self, most: int) -> None:
+        """Of encoded words, steps and what stays apart, where they are more, nothing is kept; the states stay."""
+        if len(self.known) > most:
+            self.known.clear()
+        if self.steps > most:
+            for tail, (after, _) in self.states.items():
+                after.clear()
+                after[TAIL] = tail
+            self.steps = 0
+        if self.judged > most:
+            for beside in self.apart.values():
+                beside.clear()
+                beside[START] = True
+            self.judged = 0
+
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of distinct words, by depth-first traversal of their trie."""
-        then, apart, length_of, packed = self.then, self.apart, self.length_of, self.packed
+        length_of, packed = self.length_of, self.packed
         out: dict[str, bytes] = {}
         before = b""
-        last: list[int] = []  # last[i]: the token that ends the prefix of i + 1 bytes
-        states: list[int] = []  # 256 times the number of the state there
+        last: list[int] = [START]  # last[i]: the token that ends the prefix of i bytes
+        states: list[dict] = [self.states[b""][0]]  # the state there
         for raw, word in sorted((w.encode(), w) for w in words):
             n, shared = len(raw), 0
             most = min(n, len(before))
@@ -138,25 +163,22 @@ class TrieBpe:
             else:
                 while raw[shared] == before[shared]:
                     shared += 1
-            del last[shared:], states[shared:]
-            state, end = states[-1] if shared else 0, shared
+            del last[shared + 1 :], states[shared + 1 :]
+            after = states[-1]
             for byte in raw[shared:]:
-                end += 1
-                state, endings = then.get(state | byte) or self.step(state | byte)
-                for t, size in endings:
-                    if size == end:
-                        break
-                    pair = last[end - size - 1] << 32 | t
-                    ok = apart.get(pair)
+                after, endings = after.get(byte) or self.step(after, byte)
+                for t, size, apart in endings:
+                    ok = apart.get(last[-size])
                     if ok is None:
-                        ok = apart[pair] = self.stay_apart(pair >> 32, t)
+                        ok = apart[last[-size]] = self.stay_apart(last[-size], t)
+                        self.judged += 1
                     if ok:
                         break
                 last.append(t)
-                states.append(state)
+                states.append(after)
             ids, i = [], n
             while i:
-                t = last[i - 1]
+                t = last[i]
                 ids.append(packed[t])
                 i -= length_of[t]
             ids.reverse()
@@ -172,11 +194,11 @@ class TrieBpe:
             out += [part] if i % 2 else PIECES.findall(part)
         return out
 
-    def encode_units(self, units: Iterable[str]) -> dict[str, bytes]:
-        """Packed ids of distinct texts; the pieces of all of them go through one trie."""
+    def encode_units(self, units: Iterable[str], plain: bool = False) -> dict[str, bytes]:
+        """Packed ids of distinct texts; the pieces of all of them go through one trie.  plain: no special token is in them."""
         # ASCII letters are one piece, with a space before them or without, where no special token is in them
-        whole = self.letters_are_whole
-        cut = {u: [u] if whole and u.isascii() and (u.isalpha() or (u[:1] == " " and u[1:].isalpha())) else self.pieces(u) for u in units}
+        whole, pieces = self.letters_are_whole, PIECES.findall if plain else self.pieces
+        cut = {u: [u] if whole and u.isascii() and (u.isalpha() or (u[:1] == " " and u[1:].isalpha())) else pieces(u) for u in units}
         known = self.known
         known.update(self.encode_words(set().union(*cut.values()).difference(known)))
         return {u: known[p[0]] if len(p) == 1 else b"".join(map(known.__getitem__, p)) for u, p in cut.items()}
@@ -189,9 +211,7 @@ class TrieBpe:
         is dealt with as its parts between spaces; each part, with its space,
         is encoded once.  Other texts go whole.
         """
-        for kept in (self.known, self.then, self.apart):
-            if len(kept) > CACHE_WORDS:
-                kept.clear()
+        self.forget(CACHE_WORDS)
         self.known.update({s: struct.pack("<I", i) for s, i in self.special.items()})
         parts = [None if RUN.search(t) or any(s in t for s in self.special) else t.split(" ") for t in texts]
         heads = self.encode_units({p[0] if p else t for t, p in zip(texts, parts, strict=True)})
@@ -203,7 +223,7 @@ class TrieBpe:
             self.chars = sum(map(len, after))
         new = words.difference(after)
         self.chars += sum(map(len, new))
-        after.update((u[1:], ids) for u, ids in self.encode_units([f" {p}" for p in new]).items())
+        after.update((u[1:], ids) for u, ids in self.encode_units([f" {p}" for p in new], plain=True).items())
         get = after.__getitem__
         return [heads[p[0]] + b"".join(map(get, p[1:])) if p else heads[t] for t, p in zip(texts, parts, strict=True)]
 

@@ -82,6 +82,22 @@ def test_states_are_found_once(monkeypatch):
     assert ours.encode_batch(words) == want and len(ours.states) == known
 
 
+def test_steps_and_judgements_lie_with_what_they_belong_to(monkeypatch):
+    """Steps are found by byte in their state, judgements by token in the later one; as many as are counted, and bounded."""
+    rng = random.Random(8)
+    words = ["", *("".join(rng.choice("etaoinshrdluxé'9") for _ in range(rng.randint(1, 30))) for _ in range(500))]
+    ours, theirs = bpe.TrieBpe(bpe.vocabulary()), library()
+    want = [struct.pack(f"<{len(ids)}I", *ids) for ids in (theirs.encode(w, add_special_tokens=False).ids for w in words)]
+    kept = lambda: (sum(len(after) - 1 for after, _ in ours.states.values()), sum(len(beside) - 1 for beside in ours.apart.values()))
+    assert ours.encode_batch(words) == want
+    assert kept() == (ours.steps, ours.judged) and min(kept()) > 500
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 100)
+    ours.encode_batch(["a"])
+    assert kept() == (ours.steps, ours.judged) and max(kept()) < 10
+    ours.after_space.clear()
+    assert ours.encode_batch(words) == want
+
+
 def test_special_tokens_of_letters(tmp_path):
     import json
 
