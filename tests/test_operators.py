@@ -139,3 +139,15 @@ def test_recipe_checks():
         rc.check({"source": "x", "pipeline": [{"step": "sort_rows", "by": ["a"]}, {"step": "declare_columns", "columns": {}}]})
     assert rc.patched({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}}) == {"a": {"b": 3, "c": 2}}
     assert rc.dependencies({"source": "s", "pipeline": [{"step": "link_by_id", "reference": "r"}]}) == ["s", "r"]
+
+
+def test_sale_pairs_need_no_exchange_of_pairs(spark):
+    sales = spark.createDataFrame([(1, "deed", "A", 10, None, 5.0, 1, None, None), (2, "deed", "B", 10, None, 5.0, 2, None, None), (3, "deed", "C", 10, None, 7.0, 3, " a ", "correct"),
+                                   (4, "assessor_last_sale", "assessor_last_sale:A", 10, None, 5.0, 4, None, None), (5, "assessor_last_sale", "x", 10, None, 5.0, 5, None, None)],
+                                  "transaction_id int, kind string, document string, period int, day date, price double, read int, previous string, reason string")
+    things = spark.createDataFrame([(i, thing) for i in range(1, 6) for thing in (["p"] if i == 2 else ["p", "q"])], "transaction_id int, thing string")
+    out = sa.sale_record_pairs(sales, things, 0.5, corrections=("correct",))
+    got = rows(out, "transaction_id", "other_transaction_id", "label")
+    assert got == sorted([(4, 1, "deed_echo_document"), (4, 2, "deed_echo_period_price"), (5, 1, "deed_echo_period_price"), (5, 2, "deed_echo_period_price"), (5, 4, "roll_restated"), (1, 2, "double_closing"),
+                          (1, 3, "restates_document"), (2, 3, "resale_within_window")], key=str)
+    assert "min(rank" not in out._jdf.queryExecution().optimizedPlan().toString()
