@@ -194,8 +194,10 @@ def match_ranges(spine: DataFrame, reference: DataFrame, row_id: str, ref_id: st
     pair = ad.number_range(F.col(number))
     ends = spine.where(pair.isNotNull()).select(row_id, place, ad.normal_street(F.col(street)).alias("__s"), F.explode(F.array(pair["low"], pair["high"])).alias("__n"))
     ref = reference.select(F.col(ref_id).alias("__ref"), F.col(place), ad.normal_street(F.col(street)).alias("__s"), ad.clean_number(F.col(number)).alias("__n")).where("__s <> '' and __n <> ''")
-    met = ends.join(ref, [place, "__s", "__n"])
-    return met.groupBy(row_id).agg(F.min("__ref").alias(ref_id), F.count_distinct("__ref").alias("__k")).where("__k = 1").select(row_id, ref_id)
+    # the least and the largest reference of an address tell whether there is one alone
+    ref = ref.groupBy(place, "__s", "__n").agg(F.min("__ref").alias("__low"), F.max("__ref").alias("__high"))
+    met = ends.join(ref, [place, "__s", "__n"]).groupBy(row_id).agg(F.min("__low").alias(ref_id), F.max("__high").alias("__high"))
+    return met.where(F.col(ref_id) == F.col("__high")).select(row_id, ref_id)
 
 
 def first_postal_code(sources: list[tuple[str, Column]]) -> tuple[Column, Column]:

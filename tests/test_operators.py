@@ -151,3 +151,17 @@ def test_sale_pairs_need_no_exchange_of_pairs(spark):
     assert got == sorted([(4, 1, "deed_echo_document"), (4, 2, "deed_echo_period_price"), (5, 1, "deed_echo_period_price"), (5, 2, "deed_echo_period_price"), (5, 4, "roll_restated"), (1, 2, "double_closing"),
                           (1, 3, "restates_document"), (2, 3, "resale_within_window")], key=str)
     assert "min(rank" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ranges_are_matched_without_their_pairs(spark):
+    from cadastra.operators import parcels as pa
+
+    spine = spark.createDataFrame([(1, "2-8"), (2, "4-6"), (3, "8-10"), (4, "7")], "i int, n string").withColumns({"s": F.lit("Oak Street"), "p": F.lit("t")})
+    ref = spark.createDataFrame([(10, "2"), (10, "8"), (11, "4"), (12, "4"), (None, "6"), (13, "10")], "r int, n string").withColumns({"s": F.lit("OAK ST"), "p": F.lit("t")})
+    out = pa.match_ranges(spine, ref, "i", "r", "n", "s", "p")
+    assert rows(out, "i", "r") == [(1, 10)]
+    many = ref.crossJoin(spark.range(50)).drop("id")
+    joined = pa.match_ranges(spine, many, "i", "r", "n", "s", "p")
+    assert rows(joined, "i", "r") == [(1, 10)]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") >= 2
