@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Accuracy of the sketch that encloses a median: its ranks are off by a part in SKETCH at most.
+SKETCH = 4000
+
 
 def share_of(df: DataFrame, by: str, matches: Column, out: str, least: int = 1, without_self: bool = False) -> DataFrame:
     """Share of the rows of the group that match; null below the least size and without a key."""
@@ -33,6 +36,25 @@ def percentile(df: DataFrame, by: str, value: str, out: str) -> DataFrame:
     return df.join(ranks, [by, value], "left")
 
 
+def median_of(df: DataFrame, value: str, out: str) -> DataFrame:
+    """One row with the exact median of all stated values; null where there is none.
+
+    A sketch gives two values that enclose it; what lies below them is counted, and only the values between them, a share of
+    4 / SKETCH of the rows, are ranked in one place.  Where the sketch missed, that side is left open.
+    """
+    v = df.select(F.col(value).cast("double").alias("v")).where("v is not null")
+    near = v.agg(F.percentile_approx("v", F.array(F.lit(0.5 - 2 / SKETCH), F.lit(0.5 + 2 / SKETCH)), F.lit(SKETCH)).alias("q")).select(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    seen = v.join(F.broadcast(near)).agg(F.min("lo").alias("lo"), F.min("hi").alias("hi"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(F.col("v") <= F.col("hi")).alias("upto"))
+    i, j = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    low = F.col("below") <= i
+    span = seen.select(i.alias("i"), j.alias("j"), F.when(low, F.col("lo")).alias("lo"), F.when(F.col("upto") > j, F.col("hi")).alias("hi"), F.when(low, F.col("below")).otherwise(0).alias("below"))
+    within = v.join(F.broadcast(span)).where((F.col("lo").isNull() | (F.col("v") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
+    counts = within.groupBy("v", "i", "j", "below").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.col("below") + F.sum("n").over(Window.orderBy("v"))
+    ranked = counts.select("v", "i", "j", upto.alias("upto"))
+    return ranked.agg((0.5 * F.min(F.when(F.col("upto") > F.col("i"), F.col("v"))) + 0.5 * F.min(F.when(F.col("upto") > F.col("j"), F.col("v")))).alias(out))
+
+
 def cohort_threshold(df: DataFrame, by: str, value: str, floor: float, fraction: float, least: int, fallback: float, out: str) -> DataFrame:
     """Value over its group's threshold max(floor, fraction * mean); in groups of fewer than `least` the fallback is the threshold."""
     stats = df.groupBy(by).agg(F.avg(value).alias("__mean"), F.count(value).alias("__n"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import predicates as pr
 from cadastra.functions import scalar as sc
+from cadastra.operators import groups as gr
 from cadastra.plans.catalogue import load, query
 
 c = F.col
@@ -30,7 +31,7 @@ def scalar_unary_math(spark, d):
 )
 def scalar_median_centred(spark, d):
     rows = load(spark, d, "lineitem")
-    middle = rows.agg(F.median("l_extendedprice").alias("m"))
+    middle = gr.median_of(rows, "l_extendedprice", "m")
     return rows.join(F.broadcast(middle)).select("l_orderkey", "l_linenumber", F.round(F.asinh(c("l_extendedprice") / c("m")), 6).alias("centred"))
 
 

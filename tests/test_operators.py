@@ -165,3 +165,14 @@ def test_ranges_are_matched_without_their_pairs(spark):
     assert rows(joined, "i", "r") == [(1, 10)]
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") >= 2
+
+
+def test_median_of_a_table(spark):
+    import random
+
+    rng = random.Random(5)
+    for values in ([1.0], [3.0, 1.0], [], [None], [2.0] * 9 + [5.0, None], [rng.choice([1.5, rng.uniform(-1e6, 1e6)]) for _ in range(20001)], [rng.uniform(0, 1) for _ in range(20000)]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        out = gr.median_of(df, "v", "m")
+        assert [tuple(r) for r in out.collect()] == [tuple(r) for r in df.agg(F.median("v")).collect()]
+    assert "percentile(" not in out._jdf.queryExecution().optimizedPlan().toString().replace("percentile_approx(", "")
