@@ -122,3 +122,24 @@ def test_many_pairs_at_once_equal_one_by_one():
 
     pairs = [(shape(int(rng.integers(3, 14))), shape(int(rng.integers(3, 14))) + shape(4)) for _ in range(60)] + [(shape(30), shape(30)), ([], shape(5)), ([], []), (SQUARE, HOLED), (SQUARE, SQUARE)]
     assert sh.overlaps(pairs) == pytest.approx(np.array([sh.overlap(a, b) for a, b in pairs]), abs=1e-9)
+
+
+def test_equal_places_meet_once(spark):
+    """Towers of rows on few places: pairs of places are worked out, rows are put to them afterwards."""
+    rows = spark.range(3000).select(F.col("id").alias("i"), (F.col("id") % 3).cast("double").alias("a_xmin"), F.lit(0.0).alias("a_ymin"), ((F.col("id") % 3) + 1.5).alias("a_xmax"), F.lit(1.0).alias("a_ymax"))
+    right = rows.where("i < 2500").select(F.col("i").alias("j"), *(F.col(f"a_{c}").alias(f"b_{c}") for c in ov.BOX))
+    met = ov.meeting_places(ov.places(rows, "a"), ov.places(right, "b"), 1.0)
+    assert met.count() == 7 and ov.each(met).count() == ov.meeting(rows, right, 1.0).count()
+    of = [sum(1 for k in range(2500) if k % 3 == m) for m in range(3)]
+    assert ov.each(met).count() == 1000 * (of[0] + of[1] + sum(of) + of[1] + of[2])
+    big = ov.places(spark.range(2500).select("id", *(F.lit(v).alias(f"a_{c}") for c, v in zip(ov.BOX, (0.0, 0.0, 1.0, 1.0), strict=True))), "a")
+    assert sorted(len(r[0]) for r in big.select("a__rows").collect()) == [2500 - 2 * ov.ALIKE, ov.ALIKE, ov.ALIKE]
+
+
+def test_crowded_cells_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(ov, "BLOCK", 4)
+    a = spark.range(40).select(F.lit(0).alias("k"), F.col("id").alias("i"))
+    b = spark.range(30).select(F.lit(0).alias("k"), F.col("id").alias("j"))
+    out = ov.dealt(a, b, ["k"], ["i"], ["j"])
+    assert out.distinct().count() == out.count() == 1200
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
