@@ -143,3 +143,10 @@ def test_crowded_cells_are_dealt_out(spark, monkeypatch):
     out = ov.dealt(a, b, ["k"], ["i"], ["j"])
     assert out.distinct().count() == out.count() == 1200
     assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_losers_among_equal_shapes(spark):
+    shapes = [(k, [ring((x, 0), (x + w, 0), (x + w, 1), (x, 1))]) for k, x, w in ((5, 0, 4), (3, 0, 4), (9, 0, 4), (1, 3, 4), (7, 0.5, 3), (2, 0.5, 4), (8, 90, 1))]
+    df = spark.createDataFrame([*shapes, (None, shapes[0][1])], "k int, shape array<array<double>>")
+    assert sorted(r.k for r in ov.without_overlaps(df, "k", 1.0).collect() if r.k) == [1, 2, 8]
+    assert df.count() == 8 and ov.without_overlaps(df, "k", 1.0).where("k is null").count() == 1
