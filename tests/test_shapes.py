@@ -145,6 +145,26 @@ def test_crowded_cells_are_dealt_out(spark, monkeypatch):
     assert out.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_plain_overlaps_are_used_and_exact():
+    rng = np.random.default_rng(2)
+    boxes = [[ring((x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1))] for x, y in ((0, 0), (1, 0), (0.5, 0.25), (0, 1))]
+    diamonds = [[[x + r, 0.0, x, r, x - r, 0.0, x, -r, x + r, 0.0]] for x, r in ((0.0, 1.0), (2.0, 1.0), (0.5, 0.5))]
+    turned = lambda: sorted(rng.uniform(0, 2 * np.pi, 6))
+    pairs = [(p, q) for group in (boxes, diamonds) for p in group for q in group]
+    for _ in range(200):
+        p, q = ([ring(*((x + math.cos(t), y + math.sin(t)) for t in turned()))] for x, y in rng.uniform(-0.8, 0.8, (2, 2)))
+        pairs.append((p, q))
+    want = np.array([sh.overlap(a, b) for a, b in pairs])
+    assert sh.overlaps(pairs) == pytest.approx(want, abs=1e-9)
+    assert sh.overlaps([(boxes[0], boxes[1]), (diamonds[0], diamonds[1]), (boxes[0], boxes[3])])[:, 2].tolist() == [0, 0, 0]
+    crossed = sh._crossed_overlaps
+    try:
+        sh._crossed_overlaps = None
+        sh.overlaps(pairs)
+    finally:
+        sh._crossed_overlaps = crossed
+
+
 def test_losers_among_equal_shapes(spark):
     shapes = [(k, [ring((x, 0), (x + w, 0), (x + w, 1), (x, 1))]) for k, x, w in ((5, 0, 4), (3, 0, 4), (9, 0, 4), (1, 3, 4), (7, 0.5, 3), (2, 0.5, 4), (8, 90, 1))]
     df = spark.createDataFrame([*shapes, (None, shapes[0][1])], "k int, shape array<array<double>>")
