@@ -242,15 +242,21 @@ def zonal_statistics(pixels: DataFrame, zones: DataFrame, zone_id: str, value: s
     A pixel (row, col) is the square of width `size` whose lower left corner is (x0 + col * size, y0 + row * size).  Null values
     don't count.  variety: distinct values; majority, minority: of the largest and least weight, ties to the smaller value;
     median: the least value up to which half of the weight lies.  Zones that cover no pixel have a count of 0 and else nulls.
-    Pixels are gathered by tiles of TILE squared; a zone meets the tiles of its box, and one row for each of its values is kept.
+    Pixels are gathered by tiles of TILE squared; a zone meets the tiles of its box, equal ones once, and one row for each of its
+    values is kept.
     """
     tile = lambda c: F.floor(F.col(c) / TILE).cast("long")
     tiles = pixels.where(F.col(value).isNotNull()).groupBy(tile("row").alias("ty"), tile("col").alias("tx")).agg(F.collect_list(F.struct("row", "col", F.col(value).cast("double").alias("v"))).alias("p"))
-    b = with_box(zones.select(zone_id, F.col(shape).alias("zone")), "zone", "z").dropna(subset=["z_xmin"])
+    b = with_box(zones.select(F.col(shape).alias("zone")).distinct(), "zone", "z").dropna(subset=["z_xmin"])
     span = lambda lo, hi, at: F.explode(F.sequence(F.floor((F.col(lo) - at) / (size * TILE)).cast("long"), F.floor((F.col(hi) - at) / (size * TILE)).cast("long")))
     met = b.withColumn("tx", span("z_xmin", "z_xmax", x0)).withColumn("ty", span("z_ymin", "z_ymax", y0)).join(tiles, ["tx", "ty"])
+    # of a tile, a zone takes along what its box touches
+    touches = lambda k, at, lo, hi: (at + k * size <= F.col(hi)) & (at + (k + 1) * size >= F.col(lo))
+    near = F.filter("p", lambda q: touches(q["col"], x0, "z_xmin", "z_xmax") & touches(q["row"], y0, "z_ymin", "z_ymax"))
+    met = met.select("zone", near.alias("p")).where(F.size("p") > 0).repartition(tasks(zones))
     covered = sh.covered_values("zone", F.col("p.row").cast("array<double>"), F.col("p.col").cast("array<double>"), F.col("p.v"), F.lit(x0), F.lit(y0), F.lit(size))
-    each = met.select(zone_id, F.explode(covered).alias("c")).groupBy(zone_id, F.col("c.value").alias("v")).agg(F.sum("c.weight").alias("w"))
+    found = met.select("zone", covered.alias("c")).join(zones.select(zone_id, F.col(shape).alias("zone")), "zone")
+    each = found.select(zone_id, F.explode("c").alias("c")).groupBy(zone_id, F.col("c.value").alias("v")).agg(F.sum("c.weight").alias("w"))
     from pyspark.sql.window import Window
 
     run = F.sum("w").over(Window.partitionBy(zone_id).orderBy("v"))
