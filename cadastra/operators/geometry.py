@@ -5,13 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.operators.overlays import BOX, meeting
-
-
-def cells(df: DataFrame, size: float, cx: str = "cx", cy: str = "cy") -> DataFrame:
-    """A row for each grid cell that a box touches."""
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size).cast("long"), F.floor(F.col(b) / size).cast("long")))
-    return df.select("*", span("xmin", "xmax").alias(cx)).select("*", span("ymin", "ymax").alias(cy))
+from cadastra.operators import overlays as ov
+from cadastra.operators.overlays import BOX
 
 
 def area(prefix: str = "") -> Column:
@@ -19,17 +14,40 @@ def area(prefix: str = "") -> Column:
     return (c - a) * (d - b)
 
 
-def overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float) -> DataFrame:
-    """(left id, right id, area, iou) of pairs that intersect and don't merely touch.
+def _boxes(df: DataFrame, side: str, *others: str) -> DataFrame:
+    return df.select(*others, *(F.col(c).alias(f"{side}_{c}") for c in BOX))
+
+
+def _common() -> Column:
+    return (F.least("a_xmax", "b_xmax") - F.greatest("a_xmin", "b_xmin")) * (F.least("a_ymax", "b_ymax") - F.greatest("a_ymin", "b_ymin"))
 
-    Pairs meet in grid cells of their level (`overlays.meeting`): a box lies in a few cells however large it is.
+
+def overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float, how: str = "intersection", digits: int | None = None) -> DataFrame:
+    """(left id, right id, area, iou) of pairs that intersect and don't merely touch; rounded to `digits`, once for equal boxes.
+
+    Pairs meet in grid cells of their level (`overlays.meeting_places`): a box lies in a few cells however large it is, and equal
+    ones meet once.  identity adds the left boxes that meet none, with their area and null iou.
     """
-    a = left.select(left_id, *(F.col(c).alias(f"a_{c}") for c in BOX))
-    b = right.select(right_id, *(F.col(c).alias(f"b_{c}") for c in BOX))
-    x0, y0 = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin")
-    x1, y1 = F.least("a_xmax", "b_xmax"), F.least("a_ymax", "b_ymax")
-    inter = (x1 - x0) * (y1 - y0)
-    return meeting(a, b, size).select(left_id, right_id, inter.alias("area"), F.try_divide(inter, area("a_") + area("b_") - inter).alias("iou"))
+    fit = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
+    met = ov.meeting_places(ov.places(_boxes(left, "a", left_id), "a"), ov.places(_boxes(right, "b", right_id), "b"), size)
+    inter = _common()
+    measured = met.select("a__rows", "b__rows", fit(inter).alias("area"), fit(F.try_divide(inter, area("a_") + area("b_") - inter)).alias("iou"))
+    pairs = ov.each(measured).select(left_id, right_id, "area", "iou")
+    if how == "intersection":
+        return pairs
+    alone = left.join(met.select(*(F.col(f"a_{c}").alias(c) for c in BOX)).distinct(), list(BOX), "left_anti")
+    nothing = F.lit(None).cast(right.schema[right_id].dataType)
+    return pairs.unionByName(alone.select(left_id, nothing.alias(right_id), fit(area()).alias("area"), F.lit(None).cast("double").alias("iou")))
+
+
+def covered_shares(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float, digits: int) -> DataFrame:
+    """`shares` of each box of left by those of right, areas rounded to `digits`: equal boxes are met once, and no pair of rows is made."""
+    a = _boxes(left, "a").distinct()
+    b = _boxes(right, "b", right_id).groupBy(*(f"b_{c}" for c in BOX)).agg(F.min(right_id).alias("b_first"), F.count(F.lit(1)).alias("b_n"))
+    pairs = ov.meeting_places(a, b, size).withColumn("area", F.round(_common(), digits))
+    largest = F.min(F.struct((-F.col("area")).alias("a"), F.col("b_first").alias("r")))["r"]
+    best = pairs.groupBy(*(F.col(f"a_{c}").alias(c) for c in BOX)).agg(F.sum(F.col("area") * F.col("b_n")).alias("covered"), largest.alias("dominant"))
+    return left.select(left_id, *BOX).join(best, list(BOX), "left").select(left_id, F.coalesce(F.least(F.lit(1.0), F.try_divide(F.col("covered"), area())), F.lit(0.0)).alias("share"), "dominant")
 
 
 def shares(pairs: DataFrame, entities: DataFrame, entity_id: str, reference_id: str) -> DataFrame:
@@ -42,28 +60,37 @@ def shares(pairs: DataFrame, entities: DataFrame, entity_id: str, reference_id:
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, point_id: str, box_id: str, size: float) -> DataFrame:
     """(point, box): the smallest box that holds the point, ties to the smaller id."""
-    a = points.select(point_id, "x", "y", F.floor(F.col("x") / size).cast("long").alias("cx"), F.floor(F.col("y") / size).cast("long").alias("cy"))
-    b = cells(boxes.select(box_id, *BOX), size)
-    inside = a.join(b, ["cx", "cy"]).where(F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax")))
-    return inside.groupBy(point_id).agg(F.min_by(box_id, F.struct(area().alias("a"), F.col(box_id).alias("i"))).alias(box_id))
+    b = _boxes(boxes, "b", box_id).groupBy(*(f"b_{c}" for c in BOX)).agg(F.min(box_id).alias("b_id"))
+    return ov.smallest_at(points, ov.at_points(ov.point_places(points), b, size), point_id, area("b_"), box_id)
 
 
 def nearest(points: DataFrame, targets: DataFrame, point_id: str, target_id: str, reach: float) -> DataFrame:
-    """(point, target, distance): the nearest target within reach, ties to the smaller id.  Cells are as wide as the reach, so nine of them hold all candidates."""
+    """(point, target, distance): the nearest target within reach, ties to the smaller id.
+
+    Cells are as wide as the reach, so the nine around a target hold all points in question.  Points and targets of one place are met once.
+    """
     around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    a = points.select(point_id, "x", "y", F.floor(F.col("x") / reach).cast("long").alias("gx"), F.floor(F.col("y") / reach).cast("long").alias("gy"))
-    a = a.select("*", around.alias("dx")).select("*", around.alias("dy")).select(point_id, "x", "y", (F.col("gx") + F.col("dx")).alias("cx"), (F.col("gy") + F.col("dy")).alias("cy"))
-    b = targets.select(target_id, F.col("x").alias("tx"), F.col("y").alias("ty"), F.floor(F.col("x") / reach).cast("long").alias("cx"), F.floor(F.col("y") / reach).cast("long").alias("cy"))
+    cell = lambda c: F.floor(F.col(c) / reach).cast("long")
+    placed = points.select(point_id, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    a = placed.select("x", "y").dropna().distinct().select("x", "y", cell("x").alias("cx"), cell("y").alias("cy"))
+    b = targets.groupBy(F.col("x").alias("tx"), F.col("y").alias("ty")).agg(F.min(target_id).alias("t")).select("*", cell("tx").alias("gx"), cell("ty").alias("gy"))
+    b = b.select("*", around.alias("dx")).select("*", around.alias("dy")).select("tx", "ty", "t", (F.col("gx") + F.col("dx")).alias("cx"), (F.col("gy") + F.col("dy")).alias("cy"))
     d = F.sqrt(F.pow(F.col("x") - F.col("tx"), 2) + F.pow(F.col("y") - F.col("ty"), 2))
-    close = a.join(b, ["cx", "cy"]).withColumn("distance", d).where(F.col("distance") <= reach)
-    return close.groupBy(point_id).agg(F.min(F.struct("distance", F.col(target_id).alias("t"))).alias("m")).select(point_id, F.col("m.t").alias(target_id), F.col("m.distance").alias("distance"))
+    close = ov.dealt(a, b, ["cx", "cy"], ["x", "y"], ["tx", "ty"]).withColumn("distance", d).where(F.col("distance") <= reach)
+    best = close.groupBy("x", "y").agg(F.min(F.struct("distance", "t")).alias("m"))
+    return placed.join(best, ["x", "y"]).groupBy(point_id).agg(F.min("m").alias("m")).select(point_id, F.col("m.t").alias(target_id), F.col("m.distance").alias("distance"))
 
 
 def zonal(pixels: DataFrame, boxes: DataFrame, box_id: str, value: str, size: float) -> DataFrame:
-    """Per box: number, mean, least and largest of the pixels whose centre (x, y) it holds, half-open."""
-    a = pixels.where(F.col(value).isNotNull()).select("x", "y", value, F.floor(F.col("x") / size).cast("long").alias("cx"), F.floor(F.col("y") / size).cast("long").alias("cy"))
-    inside = a.join(cells(boxes.select(box_id, *BOX), size), ["cx", "cy"]).where((F.col("x") >= F.col("xmin")) & (F.col("x") < F.col("xmax")) & (F.col("y") >= F.col("ymin")) & (F.col("y") < F.col("ymax")))
-    return inside.groupBy(box_id).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
+    """Per box: number, mean, least and largest of the pixels whose centre (x, y) it holds, half-open.  Pixels of one place are added up first, equal boxes met once."""
+    v = F.col(value)
+    stated = pixels.where(v.isNotNull()).select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), value).dropna()
+    sums = stated.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.sum(v.cast("double")).alias("s"), F.min(v).alias("low"), F.max(v).alias("high"))
+    met = ov.at_points(sums, _boxes(boxes, "b").distinct(), size).where((F.col("x") < F.col("b_xmax")) & (F.col("y") < F.col("b_ymax")))
+    together = [F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("low").alias("low"), F.max("high").alias("high")]
+    of_box = met.groupBy(*(F.col(f"b_{c}").alias(c) for c in BOX)).agg(*together)
+    found = boxes.select(box_id, *BOX).join(of_box, list(BOX)).groupBy(box_id).agg(*together)
+    return found.select(box_id, "n", (F.col("s") / F.col("n")).alias("mean"), "low", "high")
 
 
 def focal_coverage(pixels: DataFrame, radius: int, value: str, out: str) -> DataFrame:

@@ -32,21 +32,17 @@ MET = f"(select a, b, (least(x1, u1) - greatest(x0, u0)) * (least(y1, v1) - grea
 
 @query("overlay_intersection", f"select a, b, round(area, 6) as area, round(area / (own + lot - area), 6) as iou from {MET}")
 def overlay_intersection(spark, d):
-    return ge.overlay(_boxes(spark, d), _lots(spark, d), "a", "b", 8.0).select("a", "b", F.round("area", 6).alias("area"), F.round("iou", 6).alias("iou"))
+    return ge.overlay(_boxes(spark, d), _lots(spark, d), "a", "b", 8.0, digits=6)
 
 
 @query("overlay_shares", f"with m as (select a, sum(area) as s, max(own) as own, arg_min(b, (-round(area, 9), b)) as dominant from {MET} group by 1) select p_partkey as a, round(coalesce(least(1.0, s / own), 0.0), 6) as share, dominant from part left join m on a = p_partkey")
 def overlay_shares(spark, d):
-    pairs = ge.overlay(_boxes(spark, d), _lots(spark, d), "a", "b", 8.0).withColumn("area", F.round("area", 9))
-    return ge.shares(pairs, _boxes(spark, d), "a", "b").withColumn("share", F.round("share", 6))
+    return ge.covered_shares(_boxes(spark, d), _lots(spark, d), "a", "b", 8.0, digits=9).withColumn("share", F.round("share", 6))
 
 
 @query("overlay_identity", f"select a, b, round(area, 6) as area from {MET} union all select a, null, round((x1 - x0) * (y1 - y0), 6) from {BOXES} where a not in (select a from {MET})")
 def overlay_identity(spark, d):
-    boxes = _boxes(spark, d)
-    met = ge.overlay(boxes, _lots(spark, d), "a", "b", 8.0).select("a", "b", "area")
-    alone = boxes.join(met, "a", "left_anti").select("a", F.lit(None).cast("long").alias("b"), ge.area().alias("area"))
-    return met.union(alone).withColumn("area", F.round("area", 6))
+    return ge.overlay(_boxes(spark, d), _lots(spark, d), "a", "b", 8.0, how="identity", digits=6).select("a", "b", "area")
 
 
 @query("points_in_boxes", f"select event_id, min(b) as b from {POINTS} join {LOTS} on x between u0 and u1 and y between v0 and v1 group by 1")

@@ -165,6 +165,17 @@ def test_plain_overlaps_are_used_and_exact():
         sh._crossed_overlaps = crossed
 
 
+def test_overlays_without_pairs_of_rows(spark):
+    from cadastra.operators import geometry as ge
+
+    boxes = spark.createDataFrame([(i, float(i % 3), 0.0, i % 3 + 1.5, 1.0) for i in range(12)] + [(12, 50.0, 0.0, 51.0, 1.0), (13, None, 0.0, 1.0, 1.0)], "i int, xmin double, ymin double, xmax double, ymax double")
+    lots = spark.createDataFrame([(j, float(j % 2), 0.0, j % 2 + 1.0, 0.5) for j in range(9, 0, -1)], "j int, xmin double, ymin double, xmax double, ymax double")
+    want = ge.shares(ge.overlay(boxes, lots, "i", "j", 1.0), boxes, "i", "j")
+    assert sorted(map(tuple, ge.covered_shares(boxes, lots, "i", "j", 1.0, 9).collect())) == sorted(map(tuple, want.collect()))
+    both = ge.overlay(boxes, lots, "i", "j", 1.0, how="identity")
+    assert sorted((r.i, r.area) for r in both.where("j is null").collect() if r.i < 13) == [(2, 1.5), (5, 1.5), (8, 1.5), (11, 1.5), (12, 1.0)] and both.where("i = 13").count() == 1
+
+
 def test_losers_among_equal_shapes(spark):
     shapes = [(k, [ring((x, 0), (x + w, 0), (x + w, 1), (x, 1))]) for k, x, w in ((5, 0, 4), (3, 0, 4), (9, 0, 4), (1, 3, 4), (7, 0.5, 3), (2, 0.5, 4), (8, 90, 1))]
     df = spark.createDataFrame([*shapes, (None, shapes[0][1])], "k int, shape array<array<double>>")
