@@ -181,16 +181,9 @@ def without_overlaps(df: DataFrame, key: str, unit: float, ratio: float = 0.5, s
 
 def points_in_shapes(points: DataFrame, zones: DataFrame, point_id: str, zone_id: str, unit: float, shape: str = "shape") -> DataFrame:
     """(point, zone): the smallest shape that holds the point, ties to the smaller id."""
-    a = points.select(point_id, "x", "y", F.col("x").alias("a_xmin"), F.col("y").alias("a_ymin"), F.col("x").alias("a_xmax"), F.col("y").alias("a_ymax"))
-    b = with_box(zones.select(zone_id, F.col(shape).alias("b_shape")), "b_shape", "b")
-    b = _levels(b.dropna(subset=["b_xmin"]), "b", unit)
-    levels = sorted(r[0] for r in b.select("b_level").distinct().collect())
-    if not levels:
-        return a.select(point_id).limit(0).select(point_id, F.lit(None).cast(zones.schema[zone_id].dataType).alias(zone_id))
-    placed = _celled(a, "a", unit, F.explode(F.array(*map(F.lit, levels))))
-    met = placed.join(_celled(b, "b", unit, F.col("b_level")), ["level", "cx", "cy"]).where(F.col("x").between(F.col("b_xmin"), F.col("b_xmax")) & F.col("y").between(F.col("b_ymin"), F.col("b_ymax")))
-    inside = met.where(sh.holds(F.col("b_shape"), F.col("x"), F.col("y")))
-    return inside.groupBy(point_id).agg(F.min(F.struct(sh.area(F.col("b_shape")).alias("size"), F.col(zone_id).alias("zone")))["zone"].alias(zone_id))
+    shapes = zones.groupBy(F.col(shape).alias("b_shape")).agg(F.min(zone_id).alias("b_id")).withColumn("b_size", sh.area(F.col("b_shape")))
+    inside = at_points(point_places(points), with_box(shapes, "b_shape", "b"), unit).where(sh.held("b_shape", "x", "y"))
+    return smallest_at(points, inside, point_id, F.col("b_size"), zone_id)
 
 
 def point_places(points: DataFrame) -> DataFrame:

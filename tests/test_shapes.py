@@ -183,6 +183,25 @@ def test_losers_among_equal_shapes(spark):
     assert df.count() == 8 and ov.without_overlaps(df, "k", 1.0).where("k is null").count() == 1
 
 
+def test_points_of_one_place_are_met_once(spark):
+    from cadastra.operators import geometry as ge
+
+    points = spark.range(600).select(F.col("id").alias("p"), (F.col("id") % 4 * 1.0).alias("x"), F.lit(1.0).alias("y"), F.col("id").cast("double").alias("v"))
+    boxes = spark.createDataFrame([(j, 0.0 if j % 2 else 2.0, 0.0, 3.0, 2.0) for j in range(8, 0, -1)] + [(20, -100.0, -100.0, 100.0, 100.0)], "j int, xmin double, ymin double, xmax double, ymax double")
+    places = ov.point_places(points)
+    assert ov.at_points(places, boxes.select(*(F.col(c).alias(f"b_{c}") for c in ov.BOX)).distinct(), 1.0).count() == 4 + 2 + 4
+    got = {r.p % 4: r.j for r in ge.points_in_boxes(points, boxes, "p", "j", 1.0).collect()}
+    assert got == {0: 1, 1: 1, 2: 2, 3: 2}
+    zones = {r.j: (r.n, r["mean"], r.low, r.high) for r in ge.zonal(points, boxes, "j", "v", 1.0).collect()}
+    assert zones[1] == zones[3] == (450, pytest.approx(299.0), 0.0, 598.0) and zones[2][0] == 150 and zones[20][0] == 600
+    near = {r.p % 4: (r.j, r.distance) for r in ge.nearest(points, boxes.select("j", F.col("xmin").alias("x"), F.col("ymin").alias("y")), "p", "j", 2.0).collect()}
+    assert near == {0: (1, 1.0), 1: (1, pytest.approx(2**0.5)), 2: (2, 1.0), 3: (2, pytest.approx(2**0.5))}
+    shaped = boxes.select("j", sh.box(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")).alias("shape"))
+    assert {r.p % 4: r.j for r in ov.points_in_shapes(points, shaped, "p", "j", 1.0).collect()} == {0: 1, 1: 1, 2: 2, 3: 20}
+    held = shaped.crossJoin(places).select(sh.held("shape", "x", "y").alias("h"), sh.holds(F.col("shape"), F.col("x"), F.col("y")).alias("w")).collect()
+    assert all(r.h == r.w for r in held)
+
+
 def test_equal_zones_are_laid_over_pixels_once(spark):
     pixels = spark.range(10000).select((F.col("id") / 100).cast("int").alias("row"), (F.col("id") % 100).cast("int").alias("col"), (F.col("id") % 5).alias("v"))
     zones = spark.range(50).select(F.col("id").alias("z"), sh.box(F.lit(10.5), F.lit(60.0), F.lit(14.0), F.lit(66.0)).alias("shape"))
