@@ -413,13 +413,12 @@ def clipped(points: np.ndarray, axis: int, at: float, above: bool) -> np.ndarray
     if len(points) < 2:
         return points[:0]
     d = (points[:, axis] - at) * (1 if above else -1)
-    out = []
-    for i in range(len(points) - 1):
-        if d[i] >= 0:
-            out.append(points[i])
-        if (d[i] >= 0) != (d[i + 1] >= 0):
-            out.append(points[i] + (points[i + 1] - points[i]) * (d[i] / (d[i] - d[i + 1])))
-    return np.array([*out, out[0]]) if len(out) > 2 else points[:0]
+    inside = d >= 0
+    cut = np.flatnonzero(inside[:-1] != inside[1:])
+    crossing = points[cut] + (points[cut + 1] - points[cut]) * (d[cut] / (d[cut] - d[cut + 1]))[:, None]
+    kept = np.flatnonzero(inside[:-1])
+    out = np.concatenate([points[kept], crossing])[np.argsort(np.concatenate([2 * kept, 2 * cut + 1]), kind="stable")]
+    return np.concatenate([out, out[:1]]) if len(out) > 2 else points[:0]
 
 
 def pieces(rings: list[np.ndarray], most: int) -> list[list[list[float]]]:

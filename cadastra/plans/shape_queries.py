@@ -139,7 +139,8 @@ def shape_pieces(spark, d):
     corners = [(1, 0), (0, 1), (-1, 0), (0, -1), (1, 0)]
     points = [(a[0] + (b[0] - a[0]) * k / n, a[1] + (b[1] - a[1]) * k / n) for a, b in zip(corners, corners[1:], strict=False) for k in range(n)] + [(1, 0)]
     ring = F.array(*(e for p, q in points for e in (x + r * p, y + r * q)))
-    cut = load(spark, d, "supplier").select(c("s_suppkey").alias("b"), F.explode(sh.subdivided(F.array(ring), F.lit(30))).alias("piece"))
+    rows = load(spark, d, "supplier")
+    cut = rows.repartition(ov.tasks(rows), "s_suppkey").select(c("s_suppkey").alias("b"), F.explode(sh.subdivided(F.array(ring), F.lit(30))).alias("piece"))
     return cut.groupBy("b").agg(F.round(F.sum(sh.area(c("piece"))), 6).alias("area"), (F.max(sh.vertices(c("piece"))) <= 30).alias("bounded"))
 
 

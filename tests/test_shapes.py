@@ -208,3 +208,11 @@ def test_equal_zones_are_laid_over_pixels_once(spark):
     out = ov.zonal_statistics(pixels, zones, "z", "v", 1.0)
     assert out.select("count").distinct().collect() == [(21.0,)] and out.count() == 50
     assert "Aggregate [zone" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pieces_are_cut_in_many_tasks(spark, sf_dir):
+    from cadastra.plans import catalogue
+
+    assert "RepartitionByExpression" in catalogue.queries()["shape_pieces"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    line = np.array([(0.0, 0.0), (4, 0), (4, 4), (2, -1), (0, 4), (0, 0)])
+    assert sh.clipped(line, 1, 1.0, True).tolist() == [[4, 1], [4, 4], [2.8, 1], [1.2, 1], [0, 4], [0, 1], [4, 1]]
