@@ -204,7 +204,7 @@ def test_points_of_one_place_are_met_once(spark):
 
 def test_equal_zones_are_laid_over_pixels_once(spark):
     pixels = spark.range(10000).select((F.col("id") / 100).cast("int").alias("row"), (F.col("id") % 100).cast("int").alias("col"), (F.col("id") % 5).alias("v"))
-    zones = spark.range(50).select(F.col("id").alias("z"), sh.box(F.lit(10.5), F.lit(60.0), F.lit(14.0), F.lit(66.0)).alias("shape"))
+    zones = spark.range(50).select(F.col("id").alias("z"), sh.box(F.col("id") % 1 + 10.5, F.lit(60.0), F.lit(14.0), F.lit(66.0)).alias("shape"))
     out = ov.zonal_statistics(pixels, zones, "z", "v", 1.0)
     assert out.select("count").distinct().collect() == [(21.0,)] and out.count() == 50
     assert "Aggregate [zone" in out._jdf.queryExecution().optimizedPlan().toString()
